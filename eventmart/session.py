@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
     # Column names of the raw tables contain dots and mixed case; keep the
     # case-insensitive resolution the by-name loader relies on.
     "spark.sql.caseSensitive": "false",

@@ -234,6 +234,130 @@ FROM events_enriched
 GROUP BY 1, 2, 3, 4"""
 
 
+
+def _body(sql: str) -> str:
+    """Strip the leading WITH-clause of a mart query, keeping its final SELECT."""
+    return sql[sql.rindex("\nSELECT") + 1:]
+
+
+ALL_MODELS = (
+    f"WITH {STAGING},\nevents_enriched AS (\n  {EVENTS_ENRICHED_BODY}\n),\n"
+    f"agg_events_by_city AS (\n{_body(SQL_AGG_EVENTS_BY_CITY)}\n),\n"
+    f"agg_groups_by_category AS (\n{_body(SQL_AGG_GROUPS_BY_CATEGORY)}\n),\n"
+    f"agg_groups_by_topic AS (\n{_body(SQL_AGG_GROUPS_BY_TOPIC)}\n),\n"
+    f"agg_events_by_group AS (\n{_body(SQL_AGG_EVENTS_BY_GROUP)}\n)\n"
+)
+
+# Declared column tests (model → columns), restated for the oracle.
+NOT_NULL = [
+    ("stg_events", "event_id"), ("stg_events", "group_id"), ("stg_groups", "group_id"),
+    ("stg_venues", "venue_id"), ("stg_categories", "category_id"), ("stg_topics", "topic_id"),
+    ("stg_groups_topics", "group_id"), ("stg_groups_topics", "topic_id"),
+    ("events_enriched", "event_id"), ("events_enriched", "group_id"),
+    ("agg_events_by_city", "venue_city"), ("agg_events_by_city", "total_events"),
+    ("agg_groups_by_category", "category_name"), ("agg_groups_by_category", "total_groups"),
+    ("agg_groups_by_topic", "topic_name"), ("agg_groups_by_topic", "total_groups"),
+    ("agg_events_by_group", "group_id"), ("agg_events_by_group", "total_events"),
+]
+UNIQUE = [("stg_events", "event_id"), ("stg_groups", "group_id"), ("events_enriched", "event_id")]
+
+SQL_DQ_NOT_NULL = ALL_MODELS + "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+    f"count(*) FILTER (WHERE {c} IS NULL) AS failures, "
+    f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END AS status "
+    f"FROM {m}"
+    for m, c in NOT_NULL
+)
+
+SQL_DQ_UNIQUE = ALL_MODELS + "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS model, '{c}' AS column_name, 'unique' AS test, count(*) AS failures, "
+    f"CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status "
+    f"FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+    for m, c in UNIQUE
+)
+
+SQL_HAVING_DUPLICATES = f"WITH {RAW_EVENTS}\n" + """SELECT event_id, count(*) AS n
+FROM raw_events GROUP BY event_id HAVING count(*) > 1"""
+
+STAGE_BATCH = """stage AS (
+  SELECT
+    CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
+    CASE event_type WHEN 'view' THEN 'upcoming' WHEN 'click' THEN 'Cancelled'
+                    WHEN 'signup' THEN 'UPCOMING' WHEN 'purchase' THEN NULL
+                    ELSE event_type END AS event_status,
+    user_id AS yes_rsvp_count,
+    CAST(floor(value) AS BIGINT) AS maybe_rsvp_count,
+    CAST(floor(value) AS BIGINT) - 5 AS waitlist_count,
+    epoch_ms(ts) AS updated
+  FROM events
+)"""
+
+AUDIT_LOG = """audit AS (
+  SELECT
+    'eventmart_incremental' AS dag_id,
+    'run_' || day AS run_id,
+    'audit' AS task_id,
+    'events_delta_' || day || '_' || et || '.csv' AS file_name,
+    CAST(NULL AS VARCHAR) AS table_name,
+    CAST(NULL AS VARCHAR) AS source_key,
+    CAST(NULL AS VARCHAR) AS normalized_key,
+    'incremental/events/events_delta_' || day || '.csv' AS s3_key,
+    CAST(NULL AS VARCHAR) AS detected_encoding,
+    n AS row_count,
+    CASE WHEN et = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+    CASE WHEN et = 'click' THEN 'DELTA_GENERATED'
+         WHEN et IN ('purchase', 'error') THEN 'DELTA_UPLOADED'
+         ELSE 'FILE_NORMALIZED' END AS event_type
+  FROM (SELECT event_type AS et, strftime(ts, '%Y%m%d') AS day, count(*) AS n
+        FROM events GROUP BY 1, 2)
+)"""
+
+SQL_FILE_AUDIT_EXPECTED_ROWS = f"WITH {AUDIT_LOG}\n" + """SELECT dag_id, run_id,
+  coalesce(max(CASE WHEN event_type IN ('DELTA_GENERATED', 'DELTA_UPLOADED')
+                     AND status = 'SUCCESS' THEN row_count END), 0) AS expected_rows
+FROM audit GROUP BY dag_id, run_id"""
+
+
+def _check(order: int, name: str, value: str, ok: str, message: str) -> str:
+    return (f"SELECT {order} AS check_order, '{name}' AS check_name, "
+            f"CAST({value} AS BIGINT) AS metric_value, "
+            f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status, "
+            f"CASE WHEN {ok} THEN NULL ELSE {message} END AS error_message FROM m, e")
+
+
+SQL_DQ_STAGE_CHECKS = f"WITH {STAGE_BATCH},\n{AUDIT_LOG},\n" + """m AS (
+  SELECT
+    count(*) AS row_count,
+    count(*) FILTER (WHERE event_id IS NULL) AS null_event_id,
+    (SELECT count(*) FROM (SELECT event_id FROM stage GROUP BY 1 HAVING count(*) > 1))
+      AS duplicate_event_id,
+    count(*) FILTER (WHERE coalesce(yes_rsvp_count, 0) < 0 OR coalesce(maybe_rsvp_count, 0) < 0
+                        OR coalesce(waitlist_count, 0) < 0) AS negative_rsvp_values,
+    count(*) FILTER (WHERE event_status IS NOT NULL
+                       AND lower(event_status) NOT IN ('upcoming', 'cancelled')) AS invalid_status
+  FROM stage
+),
+e AS (
+  SELECT coalesce(max(row_count), 0) AS expected FROM audit
+  WHERE dag_id = 'eventmart_incremental' AND run_id = 'run_20240101'
+    AND event_type IN ('DELTA_GENERATED', 'DELTA_UPLOADED') AND status = 'SUCCESS'
+)
+""" + "\nUNION ALL\n".join([
+    _check(0, "row_count", "row_count", "row_count > 0", "'stage table is empty'"),
+    _check(1, "null_event_id", "null_event_id", "null_event_id = 0",
+           "'there are NULL event_id values'"),
+    _check(2, "duplicate_event_id", "duplicate_event_id", "duplicate_event_id = 0",
+           "'there are duplicated event_id values'"),
+    _check(3, "negative_rsvp_values", "negative_rsvp_values", "negative_rsvp_values = 0",
+           "'there are negative RSVP metrics'"),
+    _check(4, "invalid_status", "invalid_status", "invalid_status = 0",
+           "'event_status outside the allowed domain'"),
+    _check(5, "stage_matches_delta_row_count", "row_count", "row_count = expected",
+           "'stage row_count does not match delta row_count: stage ' || row_count "
+           "|| ', delta ' || expected"),
+])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -241,4 +365,9 @@ def oracle_sql() -> dict[str, str]:
         "agg_groups_by_category": SQL_AGG_GROUPS_BY_CATEGORY,
         "agg_groups_by_topic": SQL_AGG_GROUPS_BY_TOPIC,
         "agg_events_by_group": SQL_AGG_EVENTS_BY_GROUP,
+        "dq_stage_checks": SQL_DQ_STAGE_CHECKS,
+        "dq_not_null": SQL_DQ_NOT_NULL,
+        "dq_unique": SQL_DQ_UNIQUE,
+        "having_duplicates": SQL_HAVING_DUPLICATES,
+        "file_audit_expected_rows": SQL_FILE_AUDIT_EXPECTED_ROWS,
     }
