@@ -102,3 +102,31 @@ QUERIES.update({
     "having_duplicates": q_having_duplicates,
     "file_audit_expected_rows": q_file_audit_expected_rows,
 })
+
+
+# ---------------------------------------------------------------------------
+# Keyed upsert
+# ---------------------------------------------------------------------------
+
+from eventmart.config.schemas import EVENT_UPDATE_COLUMNS  # noqa: E402
+from eventmart.operators import upsert as upsert_ops  # noqa: E402
+
+
+def q_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target ⟵ delta; the delta is broadcast when its counted size allows."""
+    target = standins.target_events(spark, sf_dir)
+    delta = standins.delta_events(spark, sf_dir)
+    return upsert_ops.upsert(target, delta, "event_id", EVENT_UPDATE_COLUMNS)
+
+
+def q_merge_events_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same merge through the large-delta plan (full outer sort-merge join)."""
+    target = standins.target_events(spark, sf_dir)
+    delta = standins.delta_events(spark, sf_dir)
+    return upsert_ops.upsert(target, delta, "event_id", EVENT_UPDATE_COLUMNS, broadcast_rows=0)
+
+
+QUERIES.update({
+    "merge_events": q_merge_events,
+    "merge_events_shuffled": q_merge_events_shuffled,
+})

@@ -288,7 +288,7 @@ STAGE_BATCH = """stage AS (
     user_id AS yes_rsvp_count,
     CAST(floor(value) AS BIGINT) AS maybe_rsvp_count,
     CAST(floor(value) AS BIGINT) - 5 AS waitlist_count,
-    epoch_ms(ts) AS updated
+    (epoch_us(ts) // 1000) AS updated
   FROM events
 )"""
 
@@ -358,6 +358,54 @@ e AS (
 ])
 
 
+TARGET_EVENTS = """tgt AS (
+  SELECT
+    CAST(event_id AS VARCHAR) AS event_id,
+    'Event ' || event_type || ' ' || event_id AS event_name,
+    'upcoming' AS event_status,
+    user_id AS group_id,
+    (epoch_us(ts) // 1000) AS created,
+    (epoch_us(ts) // 1000) AS updated,
+    user_id AS yes_rsvp_count,
+    CAST(floor(value) AS BIGINT) AS maybe_rsvp_count,
+    CAST(floor(value) AS BIGINT) - 5 AS waitlist_count
+  FROM events
+)"""
+
+DELTA_EVENTS = """src AS (
+  SELECT
+    CASE WHEN event_type = 'click' THEN CAST(event_id AS VARCHAR)
+         ELSE 'delta-' || event_id END AS event_id,
+    'Delta ' || event_id AS event_name,
+    CASE WHEN event_type = 'click' AND value < 50 THEN 'cancelled' ELSE 'upcoming' END
+      AS event_status,
+    (epoch_us(ts) // 1000) AS created,
+    (epoch_us(ts) // 1000) + 3600000 AS updated,
+    user_id AS yes_rsvp_count,
+    CASE WHEN event_type = 'click' AND user_id < 50 THEN NULL
+         ELSE CAST(floor(value + 7) AS BIGINT) END AS maybe_rsvp_count,
+    CAST(floor(value + 7) AS BIGINT) - 5 AS waitlist_count
+  FROM events
+  WHERE event_type IN ('click', 'purchase')
+)"""
+
+SQL_MERGE_EVENTS = f"WITH {TARGET_EVENTS},\n{DELTA_EVENTS}\n" + """SELECT
+  t.event_id, t.event_name,
+  CASE WHEN s.present THEN s.event_status ELSE t.event_status END AS event_status,
+  t.group_id, t.created,
+  CASE WHEN s.present THEN s.updated ELSE t.updated END AS updated,
+  CASE WHEN s.present THEN s.yes_rsvp_count ELSE t.yes_rsvp_count END AS yes_rsvp_count,
+  CASE WHEN s.present THEN s.maybe_rsvp_count ELSE t.maybe_rsvp_count END AS maybe_rsvp_count,
+  CASE WHEN s.present THEN s.waitlist_count ELSE t.waitlist_count END AS waitlist_count
+FROM tgt t
+LEFT JOIN (SELECT *, true AS present FROM src) s ON t.event_id = s.event_id
+UNION ALL
+SELECT s.event_id, s.event_name, s.event_status, CAST(NULL AS BIGINT) AS group_id, s.created,
+       s.updated, s.yes_rsvp_count, s.maybe_rsvp_count, s.waitlist_count
+FROM src s
+WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.event_id = s.event_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -370,4 +418,6 @@ def oracle_sql() -> dict[str, str]:
         "dq_unique": SQL_DQ_UNIQUE,
         "having_duplicates": SQL_HAVING_DUPLICATES,
         "file_audit_expected_rows": SQL_FILE_AUDIT_EXPECTED_ROWS,
+        "merge_events": SQL_MERGE_EVENTS,
+        "merge_events_shuffled": SQL_MERGE_EVENTS,
     }
