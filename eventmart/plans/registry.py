@@ -130,3 +130,83 @@ QUERIES.update({
     "merge_events": q_merge_events,
     "merge_events_shuffled": q_merge_events_shuffled,
 })
+
+
+# ---------------------------------------------------------------------------
+# CSV sources (S1–S6, S11–S13): Spark writes benchmark data as CSV files, then
+# the production readers load them back.
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from eventmart.session import scratch_path  # noqa: E402
+from eventmart.sources import csv as csv_src  # noqa: E402
+from eventmart.sources import encoding as enc_src  # noqa: E402
+from eventmart.sources import inference  # noqa: E402
+
+
+def q_csv_load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events → CSV (NULL written as the ``NULL`` token) → strings → inferred types."""
+    path = scratch_path(spark, "csv_load_typed")
+    csv_src.write_csv(standins.raw_events(spark, sf_dir), path, nullValue="NULL")
+    text = csv_src.null_tokens_to_null(csv_src.read_csv_text(spark, path))
+    return inference.infer_and_cast(text)
+
+
+def q_csv_bind_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delta files whose header is reordered, re-cased, has an extra and lacks a column,
+    bound by name to the events table's schema."""
+    target = standins.target_events(spark, sf_dir)
+    delta = standins.delta_events(spark, sf_dir)
+    shuffled = delta.select(
+        F.col("waitlist_count").alias("WAITLIST_COUNT"),
+        F.col("event_status").alias("Event_Status"),
+        F.lit("x").alias("extra_note"),
+        F.col("updated").alias("Updated"),
+        "maybe_rsvp_count", "event_id", "created", "yes_rsvp_count",
+        F.col("event_name").alias("EVENT_NAME"),
+    )
+    path = scratch_path(spark, "csv_bind_by_name")
+    csv_src.write_csv(shuffled, path)
+    return csv_src.read_by_name(spark, path, target.schema)
+
+
+# Stand-in charsets, by document language.
+DOCUMENT_CHARSETS = {"en": "UTF-8", "fr": "UTF-8", "de": "ISO-8859-1", "es": "ISO-8859-1"}
+
+
+def q_encoding_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as CSV in UTF-8 or Latin-1 (by language), then detected and decoded.
+
+    Files are split by whether their texts are pure ASCII, so each file's label
+    is a function of its rows: ASCII or UTF-8 files are ``utf-8-sig``, other
+    Latin-1 files ``cp1252``.
+    """
+    docs = standins.read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    root = scratch_path(spark, "encoding_detect")
+    ascii_only = ~F.col("text").rlike("[^\\x00-\\x7F]")
+    for charset in sorted(set(DOCUMENT_CHARSETS.values())):
+        langs = [k for k, v in DOCUMENT_CHARSETS.items() if v == charset]
+        part = docs.filter(F.col("lang").isin(*langs)).withColumn("ascii_only", ascii_only)
+        part.write.mode("overwrite").partitionBy("ascii_only") \
+            .options(**csv_src.WRITE_OPTIONS).option("quoteAll", "true") \
+            .option("encoding", charset).option("maxRecordsPerFile", 2000) \
+            .csv(f"{root}/{charset.lower()}")
+    rows, _ = enc_src.load_csv_any_encoding(spark, root, multi_line=True, recursive=True)
+    return rows.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "detected_encoding", "text")
+
+
+def q_file_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-language label counts of the files written by the encoding query."""
+    return q_encoding_detect(spark, sf_dir).groupBy("lang", "detected_encoding").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum(F.length("text")).alias("characters"))
+
+
+QUERIES.update({
+    "csv_load_typed": q_csv_load_typed,
+    "csv_bind_by_name": q_csv_bind_by_name,
+    "encoding_detect": q_encoding_detect,
+    "file_encodings": q_file_encodings,
+})

@@ -406,6 +406,36 @@ FROM src s
 WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.event_id = s.event_id)"""
 
 
+# Columns of the raw events stand-in that are entirely NULL: inference types them as text.
+ALL_NULL_EVENT_COLUMNS = {
+    "photo_url", "why", "how_to_find_us", "fee.description", "group.created",
+    "group.group_lat", "group.group_lon", "venue.state", "venue.country", "venue.address_1",
+    "venue.address_2", "venue.lat", "venue.lon", "venue.localized_country_name",
+    "venue.phone", "venue.zip",
+}
+
+SQL_CSV_LOAD_TYPED = f"WITH {RAW_EVENTS}\nSELECT " + ", ".join(
+    (f'CAST("{src}" AS VARCHAR) AS "{src}"' if src in ALL_NULL_EVENT_COLUMNS else f'"{src}"')
+    for src, _ in schemas.STG_EVENTS
+) + " FROM raw_events"
+
+SQL_CSV_BIND_BY_NAME = f"WITH {DELTA_EVENTS}\n" + """SELECT event_id, event_name, event_status,
+  CAST(NULL AS BIGINT) AS group_id, created, updated, yes_rsvp_count, maybe_rsvp_count,
+  waitlist_count
+FROM src"""
+
+SQL_ENCODING_DETECT = """SELECT doc_id, lang,
+  CASE WHEN lang IN ('en', 'fr') THEN 'utf-8-sig'
+       WHEN regexp_matches(text, '[^\x00-\x7F]') THEN 'cp1252'
+       ELSE 'utf-8-sig' END AS detected_encoding,
+  text
+FROM documents"""
+
+SQL_FILE_ENCODINGS = f"WITH d AS ({SQL_ENCODING_DETECT})\n" + """SELECT lang, detected_encoding,
+  count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters
+FROM d GROUP BY 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -420,4 +450,8 @@ def oracle_sql() -> dict[str, str]:
         "file_audit_expected_rows": SQL_FILE_AUDIT_EXPECTED_ROWS,
         "merge_events": SQL_MERGE_EVENTS,
         "merge_events_shuffled": SQL_MERGE_EVENTS,
+        "csv_load_typed": SQL_CSV_LOAD_TYPED,
+        "csv_bind_by_name": SQL_CSV_BIND_BY_NAME,
+        "encoding_detect": SQL_ENCODING_DETECT,
+        "file_encodings": SQL_FILE_ENCODINGS,
     }
