@@ -210,3 +210,45 @@ QUERIES.update({
     "encoding_detect": q_encoding_detect,
     "file_encodings": q_file_encodings,
 })
+
+
+# ---------------------------------------------------------------------------
+# Incremental stream
+# ---------------------------------------------------------------------------
+
+from eventmart.config.settings import load_settings  # noqa: E402
+from eventmart.plans.flows import Pipeline, RunContext  # noqa: E402
+from eventmart.sinks.tables import write_bucketed  # noqa: E402
+
+
+def q_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delta CSV files processed by the streaming runner (gate + merge per micro-batch).
+
+    The events table is stored bucketed; the delta is written as CSV files (by
+    kind: updates and inserts), announced in the audit log with Spark-counted
+    row counts, then consumed with ``availableNow``.  The result is the final
+    events table, which must equal the batch upsert.
+    """
+    from eventmart.streaming.incremental import announce_files, start_incremental
+
+    root = scratch_path(spark, "incremental_stream")
+    pipeline = Pipeline(spark, load_settings(), warehouse_root=f"{root}/warehouse",
+                        event_buckets=8, use_catalog=False)
+    pipeline.setup()
+    raw_db = pipeline.settings.catalog.raw_db
+    write_bucketed(pipeline.store, standins.target_events(spark, sf_dir), raw_db, "events",
+                   "event_id", pipeline.event_buckets)
+    delta = standins.delta_events(spark, sf_dir).withColumn(
+        "kind", F.when(F.col("event_id").startswith("delta-"), "insert").otherwise("update"))
+    delta_dir = f"{root}/incoming"
+    delta.write.partitionBy("kind").options(**csv_src.WRITE_OPTIONS).csv(delta_dir)
+    announce_files(pipeline, delta_dir, RunContext(run_id="announce"))
+    query = start_incremental(pipeline, delta_dir, f"{root}/checkpoint", available_now=True,
+                              files_per_batch=4, build=False)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return pipeline.store.read(raw_db, "events").drop("event_bucket")
+
+
+QUERIES.update({"incremental_stream": q_incremental_stream})

@@ -454,4 +454,5 @@ def oracle_sql() -> dict[str, str]:
         "csv_bind_by_name": SQL_CSV_BIND_BY_NAME,
         "encoding_detect": SQL_ENCODING_DETECT,
         "file_encodings": SQL_FILE_ENCODINGS,
+        "incremental_stream": SQL_MERGE_EVENTS,
     }
