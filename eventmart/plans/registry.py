@@ -252,3 +252,92 @@ def q_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"incremental_stream": q_incremental_stream})
+
+
+# ---------------------------------------------------------------------------
+# Primitives isolated: staging renames, fallbacks, limits, samples, counter
+# deltas, the inferred column template and the export round trip.
+# ---------------------------------------------------------------------------
+
+from eventmart.operators import sampling  # noqa: E402
+from eventmart.functions.columns import first_present  # noqa: E402
+from eventmart.sinks import exports  # noqa: E402
+
+
+def q_rename_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 48 dotted raw event columns renamed to staging names."""
+    return staging.stg_events(standins.raw_events(spark, sf_dir))
+
+
+def q_coalesce_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event value first, then the venue's, then a literal default."""
+    s = staged_tables(spark, sf_dir)
+    e, v = s["events"].alias("e"), s["venues"].alias("v")
+    j = e.join(v, F.col("e.venue_id") == F.col("v.venue_id"), "left")
+    return j.select(
+        F.col("e.event_id"), F.col("e.venue_id"),
+        first_present(F.col("e.venue_city"), F.col("v.city")).alias("venue_city"),
+        first_present(F.col("e.venue_name"), F.col("v.venue_name"), default="UNKNOWN")
+        .alias("venue_name"),
+        first_present(F.col("e.venue_state"), F.col("v.state"), default="UNKNOWN")
+        .alias("venue_state"),
+    )
+
+
+def q_limit_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: the first 50 groups by key (a top-k report)."""
+    groups = staging.stg_groups(standins.raw_groups(spark, sf_dir))
+    return sampling.limit_rows(groups.select("group_id", "group_city", "group_members"), 50,
+                               ["group_id"])
+
+
+def q_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: five events sampled by seeded key hash (the generator's sample size)."""
+    return sampling.sample_rows(standins.target_events(spark, sf_dir), 5, "event_id", seed=42)
+
+
+def q_counter_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RSVP increments (several per key) added onto the events' counters."""
+    base = standins.target_events(spark, sf_dir)
+    ev = standins.read_table(spark, sf_dir, "events")
+    every = ev.select(F.col("event_id").cast("string").alias("event_id"),
+                      F.lit(1).cast("bigint").alias("yes_rsvp_count"),
+                      F.lit(None).cast("bigint").alias("maybe_rsvp_count"),
+                      F.lit(0).cast("bigint").alias("waitlist_count"))
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        (F.floor(F.col("value") / 40) + 1).cast("bigint").alias("yes_rsvp_count"),
+        F.when(F.col("value") > 245, 1).otherwise(0).cast("bigint").alias("maybe_rsvp_count"),
+        F.floor(F.col("value") / 100).cast("bigint").alias("waitlist_count"))
+    return sampling.apply_counter_deltas(
+        base, every.unionByName(clicks), "event_id",
+        ["yes_rsvp_count", "maybe_rsvp_count", "waitlist_count"])
+
+
+def q_inferred_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column template inferred from the raw events CSV, in file order."""
+    path = scratch_path(spark, "inferred_template")
+    csv_src.write_csv(standins.raw_events(spark, sf_dir), path, nullValue="null")
+    text = csv_src.null_tokens_to_null(csv_src.read_csv_text(spark, path))
+    schema = inference.infer_schema(text)
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
+    return spark.createDataFrame(rows, "order_id int, column_name string, data_type string")
+
+
+def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the by-city mart exported as one CSV file, read back by name with its schema."""
+    mart = q_agg_events_by_city(spark, sf_dir)
+    root = scratch_path(spark, "exports")
+    path = exports.export_csv(mart, root, "agg_events_by_city", "20240101000000")
+    return csv_src.read_by_name(spark, path, mart.schema)
+
+
+QUERIES.update({
+    "rename_flatten": q_rename_flatten,
+    "coalesce_fallback": q_coalesce_fallback,
+    "limit_ordered": q_limit_ordered,
+    "sample_n": q_sample_n,
+    "counter_deltas": q_counter_deltas,
+    "inferred_template": q_inferred_template,
+    "export_roundtrip": q_export_roundtrip,
+})

@@ -436,6 +436,59 @@ SQL_FILE_ENCODINGS = f"WITH d AS ({SQL_ENCODING_DETECT})\n" + """SELECT lang, de
 FROM d GROUP BY 1, 2"""
 
 
+SQL_RENAME_FLATTEN = f"WITH {STAGING}\nSELECT * FROM stg_events"
+
+SQL_COALESCE_FALLBACK = f"WITH {STAGING}\n" + """SELECT e.event_id, e.venue_id,
+  coalesce(e.venue_city, v.city) AS venue_city,
+  coalesce(e.venue_name, v.venue_name, 'UNKNOWN') AS venue_name,
+  coalesce(e.venue_state, v.state, 'UNKNOWN') AS venue_state
+FROM stg_events e LEFT JOIN stg_venues v ON e.venue_id = v.venue_id"""
+
+SQL_LIMIT_ORDERED = f"WITH {STAGING}\n" + """SELECT group_id, group_city, group_members
+FROM stg_groups ORDER BY group_id LIMIT 50"""
+
+SQL_SAMPLE_N = f"WITH {TARGET_EVENTS}\n" + """SELECT * FROM tgt
+ORDER BY md5('42:' || event_id), event_id LIMIT 5"""
+
+SQL_COUNTER_DELTAS = f"WITH {TARGET_EVENTS},\n" + """d AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(1 AS BIGINT) AS yes_rsvp_count,
+         CAST(NULL AS BIGINT) AS maybe_rsvp_count, CAST(0 AS BIGINT) AS waitlist_count
+  FROM events
+  UNION ALL
+  SELECT CAST(event_id AS VARCHAR), CAST(floor(value / 40) + 1 AS BIGINT),
+         CASE WHEN value > 245 THEN 1 ELSE 0 END, CAST(floor(value / 100) AS BIGINT)
+  FROM events WHERE event_type = 'click'
+),
+s AS (
+  SELECT event_id, sum(coalesce(yes_rsvp_count, 0)) AS dy, sum(coalesce(maybe_rsvp_count, 0)) AS dm,
+         sum(coalesce(waitlist_count, 0)) AS dw
+  FROM d GROUP BY event_id
+)
+SELECT t.event_id, t.event_name, t.event_status, t.group_id, t.created, t.updated,
+  CAST(coalesce(t.yes_rsvp_count, 0) + coalesce(s.dy, 0) AS BIGINT) AS yes_rsvp_count,
+  CAST(coalesce(t.maybe_rsvp_count, 0) + coalesce(s.dm, 0) AS BIGINT) AS maybe_rsvp_count,
+  CAST(coalesce(t.waitlist_count, 0) + coalesce(s.dw, 0) AS BIGINT) AS waitlist_count
+FROM tgt t LEFT JOIN s ON t.event_id = s.event_id"""
+
+# The types inference must give the raw event columns of the stand-in
+# (an all-NULL column stays text; event_id, venue.phone and venue.zip are forced text).
+EXPECTED_EVENT_TYPES = {
+    "created": "bigint", "updated": "bigint", "event_time": "bigint", "duration": "bigint",
+    "utc_offset": "bigint", "headcount": "bigint", "rsvp_limit": "bigint",
+    "yes_rsvp_count": "bigint", "maybe_rsvp_count": "bigint", "waitlist_count": "bigint",
+    "fee.amount": "double", "fee.required": "boolean", "rating.average": "double",
+    "rating.count": "bigint", "group_id": "bigint", "venue_id": "bigint",
+    "venue.repinned": "boolean",
+}
+
+SQL_INFERRED_TEMPLATE = "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{src}', '{EXPECTED_EVENT_TYPES.get(src, 'string')}')"
+    for i, (src, _) in enumerate(schemas.STG_EVENTS)
+) + ") AS t(order_id, column_name, data_type) WHERE (SELECT count(*) FROM lineitem) > 0"
+
+SQL_EXPORT_ROUNDTRIP = SQL_AGG_EVENTS_BY_CITY
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -455,4 +508,11 @@ def oracle_sql() -> dict[str, str]:
         "encoding_detect": SQL_ENCODING_DETECT,
         "file_encodings": SQL_FILE_ENCODINGS,
         "incremental_stream": SQL_MERGE_EVENTS,
+        "rename_flatten": SQL_RENAME_FLATTEN,
+        "coalesce_fallback": SQL_COALESCE_FALLBACK,
+        "limit_ordered": SQL_LIMIT_ORDERED,
+        "sample_n": SQL_SAMPLE_N,
+        "counter_deltas": SQL_COUNTER_DELTAS,
+        "inferred_template": SQL_INFERRED_TEMPLATE,
+        "export_roundtrip": SQL_EXPORT_ROUNDTRIP,
     }
