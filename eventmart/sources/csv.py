@@ -48,10 +48,13 @@ def read_csv_text(
     multi_line: bool = False,
     encoding: str = "UTF-8",
     with_file_path: bool = False,
+    recursive: bool = False,
 ) -> DataFrame:
     """Read CSV files with every column as string, header names kept verbatim."""
     reader = spark.read.options(**READ_OPTIONS).option("multiLine", str(multi_line).lower()) \
         .option("encoding", encoding)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     if with_file_path:
         df = df.withColumn("_file_path", F.col("_metadata.file_path"))

@@ -98,7 +98,7 @@ def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext) -> D
     from eventmart.sinks import monitoring
 
     spark = pipeline.spark
-    text = csv_src.read_csv_text(spark, delta_dir, with_file_path=True)
+    text = csv_src.read_csv_text(spark, delta_dir, with_file_path=True, recursive=True)
     per_file = text.groupBy("_file_path").agg(F.count(F.lit(1)).alias("n")).collect()
     rows = [monitoring.audit_row(
         dag_id=context.dag_id, run_id=context.run_id, task_id="announce",
