@@ -1,35 +1,79 @@
-"""Join helpers: broadcast a side only behind a checked size bound.
+"""Join helpers: broadcast a side only behind a measured size bound.
 
 Static planning broadcasts a parquet side below ``autoBroadcastJoinThreshold``
 from its file size; AQE can later demote a shuffled join, but only after the
 big side has already been shuffled.  For dimensions that are larger on disk
-than the threshold yet small in rows after pruning, an explicit, counted
-decision avoids that shuffle.  Above the bound the join stays a shuffled
-sort-merge join (AQE splits skewed partitions of it).
+than the threshold yet small after pruning, an explicit, measured decision
+avoids that shuffle.  Above the bound the join stays a shuffled sort-merge
+join (AQE splits skewed partitions of it, NULL keys included).
+
+The bound is proven, not guessed: one aggregate over the (column-pruned) side
+returns its row count and the exact byte length of its variable-width columns;
+fixed-width columns add their width per row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DEFAULT_BROADCAST_ROWS = 4_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+    T.TimestampNTZType: 8, T.DecimalType: 16,
+}
+_ROW_OVERHEAD = 16
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated in-memory bytes) of ``df`` in one aggregate job."""
+    fixed = 0
+    var_cols = []
+    for f in df.schema.fields:
+        width = next((w for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t)), None)
+        if width is not None:
+            fixed += width
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            var_cols.append(f.name)
+        else:  # nested values: measure their JSON text length as a proxy
+            var_cols.append(f.name)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, name in enumerate(var_cols):
+        c = F.col(f"`{name}`")
+        dtype = df.schema[name].dataType
+        size = F.octet_length(c) if isinstance(dtype, (T.StringType, T.BinaryType)) \
+            else F.length(F.to_json(F.struct(c)))
+        aggs.append(F.coalesce(F.sum(size), F.lit(0)).alias(f"v{i}"))
+    r = df.agg(*aggs).first()
+    rows = int(r["rows"])
+    var_bytes = sum(int(r[f"v{i}"]) for i in range(len(var_cols)))
+    return rows, rows * (fixed + _ROW_OVERHEAD + 8 * len(var_cols)) + var_bytes
 
 
 def sized_broadcast(
-    df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    known_rows: int | None = None,
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> tuple[DataFrame, bool]:
     """Return ``(df_or_broadcast_df, broadcasted)``.
 
-    The row count is taken from ``known_rows`` when the caller has already
-    counted (the DQ gate does), otherwise by a ``count()`` of the (pruned) side.
-    ``max_rows=None`` disables explicit broadcasting and leaves the choice to
-    the planner.
+    ``df`` should already be pruned to the columns the join needs.  When the
+    caller knows the row count (the DQ gate counts the delta) and the rows fit
+    comfortably, the byte measurement is still taken, as rows alone bound
+    nothing.  ``max_rows=None`` disables explicit broadcasting and leaves the
+    choice to the planner; ``max_rows=0`` forces the shuffled plan.
     """
     if max_rows is None:
         return df, False
-    rows = known_rows if known_rows is not None else df.count()
-    if rows <= max_rows:
+    if max_rows == 0 or (known_rows is not None and known_rows > max_rows):
+        return df, False
+    rows, size = measure(df)
+    if rows <= max_rows and size <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

@@ -56,3 +56,12 @@ def stage_all(raw_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Build every staging view for which a raw table is present."""
     return {name: build(raw_tables[name]) for name, build in STAGING_BUILDERS.items()
             if name in raw_tables}
+
+
+def register_views(staged: dict[str, DataFrame], prefix: str = "stg_") -> list[str]:
+    """K3: expose the staging projections as temporary views for SQL users."""
+    names = []
+    for name, df in staged.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names

@@ -13,6 +13,7 @@ from eventmart.config import schemas
 from eventmart.config.settings import load_settings
 from eventmart.operators.quality import DataQualityError
 from eventmart.plans.flows import Pipeline, RunContext
+from eventmart.sources import encoding
 
 
 def _csv_bytes(header, rows, encoding="utf-8"):
@@ -70,7 +71,8 @@ def pipeline(spark, tmp_path):
                  use_catalog=False)
     p.setup()
     _landing(str(tmp_path / "landing"))
-    counts = p.load_raw(source_dir=str(tmp_path / "landing"))
+    counts = p.load_raw(source_dir=str(tmp_path / "landing"),
+                        normalized_dir=str(tmp_path / "normalized"))
     assert counts["events"] == 4 and counts["groups"] == 2 and len(counts) == 8
     return p
 
@@ -90,6 +92,11 @@ def test_raw_load_types_encodings_and_audit(pipeline):
     assert audit["groups.csv"]["detected_encoding"] == "utf-8-sig"
     assert audit["events.csv"]["row_count"] == 4
     assert pipeline.store.exists("raw", "events_stage")
+    # The normalised copy is UTF-8 and re-reads to the same text.
+    norm = audit["events.csv"]["normalized_key"]
+    labels = {r["detected_encoding"] for r in
+              encoding.detect_encodings(pipeline.spark, norm).collect()}
+    assert labels == {"utf-8-sig"}
 
 
 def test_build_marts_and_export(pipeline, tmp_path):
