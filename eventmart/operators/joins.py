@@ -87,3 +87,55 @@ def left_join_dim(
     """``fact ⟕ dim USING (key)``; duplicate dimension keys fan out, as in SQL."""
     side, _ = sized_broadcast(dim, max_rows)
     return fact.join(side, on=key, how="left")
+
+
+def hot_keys(fact: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Keys holding more than a fair partition share (``rows / partitions``) of ``fact``.
+
+    At most ``partitions`` keys can exceed that share, so the result has a
+    proven bound and can be broadcast.  The per-key count is a partial
+    aggregate (one row per key per map task reaches the shuffle).
+    """
+    per_key = fact.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("_hk")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    return per_key.filter(F.col("_n") * F.lit(max(1, partitions)) > total).select("_hk")
+
+
+def skew_left_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``fact ⟕ dim ON fact_key = dim_key`` that survives hot keys.
+
+    * a dimension within the measured broadcast bound is simply broadcast;
+    * otherwise the fact side is split three ways: NULL keys (they never match,
+      so they skip the join), hot keys (joined to the few matching dimension
+      rows, broadcast), and the rest (shuffled sort-merge join, evenly spread).
+
+    Output: all fact columns, then all dimension columns, whatever the branch.
+    Column names of the two sides must not collide.  ``max_rows=0`` forces the
+    split plan; ``None`` leaves the strategy to the planner.
+    """
+    fk, dk = F.col(f"`{fact_key}`"), F.col(f"`{dim_key}`")
+    if max_rows is None:  # no explicit strategy: the planner (and AQE) decides
+        return fact.join(dim, fk == dk, "left")
+    side, small = sized_broadcast(dim, max_rows)
+    if small:
+        return fact.join(side, fk == dk, "left")
+    spark = fact.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    hot = F.broadcast(hot_keys(fact, fact_key, parts))
+    dim_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
+    nulls = fact.filter(fk.isNull()).select("*", *dim_cols)
+    keyed = fact.filter(fk.isNotNull())
+    hot_fact = keyed.join(hot, fk == F.col("_hk"), "left_semi")
+    cold_fact = keyed.join(hot, fk == F.col("_hk"), "left_anti")
+    hot_dim = F.broadcast(dim.join(hot, dk == F.col("_hk"), "left_semi"))
+    return (cold_fact.join(dim, fk == dk, "left")
+            .unionByName(hot_fact.join(hot_dim, fk == dk, "left"))
+            .unionByName(nulls))

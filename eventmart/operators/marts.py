@@ -6,8 +6,10 @@ queries themselves stay deterministic.
 
 Plan notes (scale):
 * every join is a single-key left equi-join; dimension sides are broadcast only
-  behind a counted bound (:func:`eventmart.operators.joins.sized_broadcast`),
-  otherwise sort-merge with AQE skew splitting;
+  behind a measured bound (:func:`eventmart.operators.joins.sized_broadcast`),
+  otherwise :func:`~eventmart.operators.joins.skew_left_join` sends NULL keys
+  past the join, hot keys through a broadcast slice of the dimension and the
+  rest through a sort-merge join;
 * every aggregate is hash-partial → exchange on the grouping keys → final, so a
   hot key contributes one row per map task to the shuffle;
 * ``count(distinct group_id)`` next to sum/avg is planned by Catalyst as a
@@ -28,7 +30,7 @@ from eventmart.functions.columns import (
     sum_zero_filled,
     unknown_if_null,
 )
-from eventmart.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from eventmart.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast, skew_left_join
 
 # Column lists of events_enriched, in output order.
 ENRICHED_EVENT_COLUMNS = [
@@ -69,6 +71,10 @@ ENRICHED_VENUE_ONLY = [
 ]
 
 
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in df.columns])
+
+
 def events_enriched(
     events: DataFrame,
     groups: DataFrame,
@@ -76,24 +82,22 @@ def events_enriched(
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """M1: one row per event (per matching group × venue row), 69 columns."""
-    g_side, _ = sized_broadcast(groups, broadcast_rows)
-    v_side, _ = sized_broadcast(venues, broadcast_rows)
-    e, g, v = events.alias("e"), g_side.alias("g"), v_side.alias("v")
-    joined = e.join(g, F.col("e.group_id") == F.col("g.group_id"), "left").join(
-        v, F.col("e.venue_id") == F.col("v.venue_id"), "left"
-    )
+    g = _prefixed(groups, "g__")
+    v = _prefixed(venues, "v__")
+    joined = skew_left_join(events, g, "group_id", "g__group_id", broadcast_rows)
+    joined = skew_left_join(joined, v, "venue_id", "v__venue_id", broadcast_rows)
 
     def fallback(out: str, ecol: str, vcol: str) -> Column:
-        return first_present(F.col(f"e.{ecol}"), F.col(f"v.{vcol}")).alias(out)
+        return first_present(F.col(ecol), F.col(f"v__{vcol}")).alias(out)
 
-    cols: list[Column] = [F.col(f"e.{c}") for c in ENRICHED_EVENT_COLUMNS]
-    cols += [F.col(f"g.{c}") for c in ENRICHED_GROUP_COLUMNS]
-    cols.append(F.col("e.venue_id"))
+    cols: list[Column] = [F.col(c) for c in ENRICHED_EVENT_COLUMNS]
+    cols += [F.col(f"g__{c}").alias(c) for c in ENRICHED_GROUP_COLUMNS]
+    cols.append(F.col("venue_id"))
     cols += [fallback(*spec) for spec in ENRICHED_VENUE_FALLBACKS]
-    cols.append(F.col("e.venue_address_2"))
+    cols.append(F.col("venue_address_2"))
     cols += [fallback(*spec) for spec in ENRICHED_VENUE_FALLBACKS_2]
-    cols += [F.col("e.venue_phone"), F.col("e.venue_repinned"), F.col("e.venue_zip")]
-    cols += [F.col(f"v.{src}").alias(out) for out, src in ENRICHED_VENUE_ONLY]
+    cols += [F.col("venue_phone"), F.col("venue_repinned"), F.col("venue_zip")]
+    cols += [F.col(f"v__{src}").alias(out) for out, src in ENRICHED_VENUE_ONLY]
     return joined.select(*cols)
 
 
@@ -146,22 +150,18 @@ def agg_groups_by_topic(
 
     ``sum(members)`` counts a group once per bridge row, ``count(distinct)`` once per topic.
     """
-    t_side, _ = sized_broadcast(topics, broadcast_rows)
-    g_side, _ = sized_broadcast(
-        groups.select("group_id", "group_members", "group_rating"), broadcast_rows
-    )
-    gt, t, g = groups_topics.alias("gt"), t_side.alias("t"), g_side.alias("g")
-    joined = gt.join(t, F.col("gt.topic_id") == F.col("t.topic_id"), "left").join(
-        g, F.col("gt.group_id") == F.col("g.group_id"), "left"
-    )
+    t = _prefixed(topics, "t__")
+    g = _prefixed(groups.select("group_id", "group_members", "group_rating"), "g__")
+    joined = skew_left_join(groups_topics, t, "topic_id", "t__topic_id", broadcast_rows)
+    joined = skew_left_join(joined, g, "group_id", "g__group_id", broadcast_rows)
     return joined.groupBy(
-        F.col("gt.topic_id").alias("topic_id"),
-        first_present(F.col("t.topic_name"), F.col("gt.topic_name"),
+        F.col("topic_id"),
+        first_present(F.col("t__topic_name"), F.col("topic_name"),
                       default="UNKNOWN").alias("topic_name"),
     ).agg(
-        F.countDistinct(F.col("gt.group_id")).alias("total_groups"),
-        sum_zero_filled(F.col("g.group_members")).alias("total_group_members"),
-        avg_zero_filled(F.col("g.group_rating")).alias("avg_group_rating"),
+        F.countDistinct(F.col("group_id")).alias("total_groups"),
+        sum_zero_filled(F.col("g__group_members")).alias("total_group_members"),
+        avg_zero_filled(F.col("g__group_rating")).alias("avg_group_rating"),
     )
 
 

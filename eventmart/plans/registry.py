@@ -341,3 +341,23 @@ QUERIES.update({
     "inferred_template": q_inferred_template,
     "export_roundtrip": q_export_roundtrip,
 })
+
+
+# The same marts through the large-dimension plan: NULL keys past the join, hot
+# keys via a broadcast slice, the rest sort-merge joined (no broadcast of dimensions).
+
+def q_events_enriched_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = staged_tables(spark, sf_dir)
+    return marts.events_enriched(s["events"], s["groups"], s["venues"], broadcast_rows=0)
+
+
+def q_agg_groups_by_topic_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = staged_tables(spark, sf_dir)
+    return marts.agg_groups_by_topic(s["groups_topics"], s["topics"], s["groups"],
+                                     broadcast_rows=0)
+
+
+QUERIES.update({
+    "events_enriched_shuffled": q_events_enriched_shuffled,
+    "agg_groups_by_topic_shuffled": q_agg_groups_by_topic_shuffled,
+})

@@ -515,4 +515,6 @@ def oracle_sql() -> dict[str, str]:
         "counter_deltas": SQL_COUNTER_DELTAS,
         "inferred_template": SQL_INFERRED_TEMPLATE,
         "export_roundtrip": SQL_EXPORT_ROUNDTRIP,
+        "events_enriched_shuffled": SQL_EVENTS_ENRICHED,
+        "agg_groups_by_topic_shuffled": SQL_AGG_GROUPS_BY_TOPIC,
     }

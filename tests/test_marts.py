@@ -160,3 +160,18 @@ def test_processed_at_is_added_by_writer(spark, dims):
     assert "processed_at" not in m2.columns
     stamped = marts.with_processed_at(m2, datetime(2024, 1, 2, 3, 4, 5))
     assert stamped.first()["processed_at"] == datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_skew_split_join_matches_plain_join(spark):
+    from eventmart.operators.joins import hot_keys, skew_left_join
+
+    # key 1 holds most rows (hot), NULL keys never match, key 3 has no dimension row.
+    fact = spark.createDataFrame([(i, 1 if i < 40 else (None if i < 45 else 2 + i % 2))
+                                  for i in range(60)], "id bigint, k bigint")
+    dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "two-dup")],
+                                "dk bigint, name string")
+    assert [r["_hk"] for r in hot_keys(fact, "k", 4).collect()] == [1]
+    split = skew_left_join(fact, dim, "k", "dk", max_rows=0, partitions=4)
+    plain = fact.join(dim, fact["k"] == dim["dk"], "left")
+    assert rows(split, "id", "k", "dk", "name") == rows(plain, "id", "k", "dk", "name")
+    assert split.count() == 60 + 7   # the 7 rows of key 2 fan out over two dimension rows
