@@ -35,8 +35,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _epoch_ms(ts: str) -> Column:
-    # The benchmark stores timestamps without zone; the session zone is UTC.
-    return F.unix_millis(F.col(ts).cast("timestamp"))
+    """Epoch milliseconds of a zone-less timestamp, read as UTC whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MILLISECOND", epoch, F.col(ts))
 
 
 def _quarter_floor(c: Column) -> Column:
