@@ -61,6 +61,8 @@ def start_incremental(
     """Start the micro-batch query; ``on_failure="quarantine"`` skips a failed batch."""
     spark = pipeline.spark
     raw_db = pipeline.settings.catalog.raw_db
+    # Run ids are stable across restarts of one checkpoint (a replay reuses them).
+    stream_name = os.path.basename(checkpoint_dir.rstrip("/")) or "stream"
 
     def process(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(r["path"] for r in batch.select("path").collect())  # ≤ files_per_batch
@@ -69,7 +71,8 @@ def start_incremental(
         target_schema = pipeline.store.read(raw_db, EVENTS_TABLE).drop("event_bucket").schema
         stage = csv_src.read_by_name(spark, paths, target_schema).persist()
         try:
-            ctx = RunContext(dag_id=dag_id, run_id=f"batch_{batch_id}", task_id="stream_batch")
+            ctx = RunContext(dag_id=dag_id, run_id=f"{stream_name}_batch_{batch_id}",
+                             task_id="stream_batch")
             try:
                 pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
                                    export_root=export_root,
@@ -88,8 +91,9 @@ def start_incremental(
     return writer.start()
 
 
-def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext) -> DataFrame:
-    """Record a ``DELTA_GENERATED`` audit row per delta file with its row count.
+def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext,
+                   event_type: str = "DELTA_GENERATED") -> DataFrame:
+    """Record an audit row (``DELTA_GENERATED`` or ``DELTA_UPLOADED``) per delta file.
 
     The counts are taken by Spark from the files themselves (one aggregate
     grouped by file), standing in for the manifest a delta producer supplies.
@@ -103,7 +107,7 @@ def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext) -> D
     rows = [monitoring.audit_row(
         dag_id=context.dag_id, run_id=context.run_id, task_id="announce",
         file_name=os.path.basename(r["_file_path"]), s3_key=r["_file_path"],
-        row_count=r["n"], event_type="DELTA_GENERATED") for r in per_file]
+        row_count=r["n"], event_type=event_type) for r in per_file]
     monitoring.insert_file_audit(spark, pipeline.store, pipeline.settings.catalog.monitoring_db,
                                  rows)
     return spark.createDataFrame(rows, FILE_AUDIT_SCHEMA)

@@ -177,6 +177,15 @@ def test_stream_processes_files_and_replay_is_idempotent(pipeline, spark, tmp_pa
     ev = _events(pipeline)
     assert ev["e1"]["yes_rsvp_count"] == 11 and ev["e3"]["event_status"] == "cancelled"
     assert len(ev) == 5
+    # Restart on the same checkpoint: nothing new, nothing re-run.
+    batches = pipeline.store.read("monitoring", "dq_results").select("run_id").distinct().count()
+    q1b = start_incremental(pipeline, incoming, str(tmp_path / "ckpt1"), available_now=True,
+                            build=False)
+    q1b.awaitTermination()
+    assert q1b.exception() is None
+    assert pipeline.store.read("monitoring", "dq_results").select("run_id").distinct().count() \
+        == batches
+    # A fresh checkpoint replays every file: the merge is idempotent.
     q2 = start_incremental(pipeline, incoming, str(tmp_path / "ckpt2"), available_now=True,
                            build=False)
     q2.awaitTermination()
