@@ -92,14 +92,20 @@ def left_join_dim(
 def hot_keys(fact: DataFrame, key: str, partitions: int) -> DataFrame:
     """Keys holding more than a fair partition share (``rows / partitions``) of ``fact``.
 
-    At most ``partitions`` keys can exceed that share, so the result has a
-    proven bound and can be broadcast.  The per-key count is a partial
+    Returns ``(_hk, _salts)``: the key and how many ways to split it
+    (``ceil(rows_of_key / share)``, at least 2).  At most ``partitions`` keys
+    can exceed the share, so the result has a proven bound and can be
+    broadcast.  Only the key column is read; the per-key count is a partial
     aggregate (one row per key per map task reaches the shuffle).
     """
-    per_key = fact.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("_hk")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
+    k = F.col(f"`{key}`")
+    per_key = fact.select(k.alias("_hk")).filter(F.col("_hk").isNotNull()) \
+        .groupBy("_hk").agg(F.count(F.lit(1)).alias("_n"))
     total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    return per_key.filter(F.col("_n") * F.lit(max(1, partitions)) > total).select("_hk")
+    parts = F.lit(max(1, partitions))
+    return per_key.filter(F.col("_n") * parts > total).select(
+        "_hk", F.greatest(F.ceil(F.col("_n") * parts / total), F.lit(2)).cast("int")
+        .alias("_salts"))
 
 
 def skew_left_join(
@@ -109,17 +115,22 @@ def skew_left_join(
     dim_key: str,
     max_rows: int | None = DEFAULT_BROADCAST_ROWS,
     partitions: int | None = None,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """``fact ⟕ dim ON fact_key = dim_key`` that survives hot keys.
 
     * a dimension within the measured broadcast bound is simply broadcast;
-    * otherwise the fact side is split three ways: NULL keys (they never match,
-      so they skip the join), hot keys (joined to the few matching dimension
-      rows, broadcast), and the rest (shuffled sort-merge join, evenly spread).
-
-    Output: all fact columns, then all dimension columns, whatever the branch.
-    Column names of the two sides must not collide.  ``max_rows=0`` forces the
-    split plan; ``None`` leaves the strategy to the planner.
+    * otherwise the join is salted: each hot key (see :func:`hot_keys`) is
+      spread over ``_salts`` sub-keys — fact rows pick one by a deterministic
+      row hash, the key's dimension rows are replicated once per sub-key — and
+      NULL keys (which never match) are spread over all partitions.  The fact
+      is read once; only the hot keys' dimension rows are copied.
+
+    ``key_source`` (default ``fact``) is where hot keys are counted, e.g. the
+    base table when ``fact`` is itself a join result with the same key spread.
+    Output: all fact columns, then all dimension columns.  Column names of the
+    two sides must not collide.  ``max_rows=0`` forces the salted plan;
+    ``None`` leaves the strategy to the planner.
     """
     fk, dk = F.col(f"`{fact_key}`"), F.col(f"`{dim_key}`")
     if max_rows is None:  # no explicit strategy: the planner (and AQE) decides
@@ -129,13 +140,26 @@ def skew_left_join(
         return fact.join(side, fk == dk, "left")
     spark = fact.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    hot = F.broadcast(hot_keys(fact, fact_key, parts))
-    dim_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
-    nulls = fact.filter(fk.isNull()).select("*", *dim_cols)
-    keyed = fact.filter(fk.isNotNull())
-    hot_fact = keyed.join(hot, fk == F.col("_hk"), "left_semi")
-    cold_fact = keyed.join(hot, fk == F.col("_hk"), "left_anti")
-    hot_dim = F.broadcast(dim.join(hot, dk == F.col("_hk"), "left_semi"))
-    return (cold_fact.join(dim, fk == dk, "left")
-            .unionByName(hot_fact.join(hot_dim, fk == dk, "left"))
-            .unionByName(nulls))
+    # One small job; the list holds at most `parts` keys, so it is safe to bring
+    # back and broadcast as a local relation (computed once, reused by both sides).
+    found = hot_keys(key_source if key_source is not None else fact, fact_key, parts).collect()
+    key_type = dim.schema[dim_key].dataType
+    hot = F.broadcast(spark.createDataFrame(
+        [(r["_hk"], r["_salts"]) for r in found],
+        T.StructType([T.StructField("_hk", key_type), T.StructField("_salts", T.IntegerType())])))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    salted_fact = fact.join(hot, fk == F.col("_hk"), "left").select(
+        *[F.col(f"`{c}`") for c in fact.columns],
+        F.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
+        .when(fk.isNull(), F.pmod(row_hash, F.lit(parts)))
+        .otherwise(F.lit(0)).cast("int").alias("__fsalt"),
+    )
+    salted_dim = dim.join(hot, dk == F.col("_hk"), "left").select(
+        *[F.col(f"`{c}`") for c in dim.columns],
+        F.explode(F.when(F.col("_salts").isNotNull(),
+                         F.sequence(F.lit(0), F.col("_salts") - 1))
+                  .otherwise(F.array(F.lit(0)))).alias("__dsalt"),
+    )
+    joined = salted_fact.join(salted_dim, (fk == dk) & (F.col("__fsalt") == F.col("__dsalt")),
+                              "left")
+    return joined.drop("__fsalt", "__dsalt")

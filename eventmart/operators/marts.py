@@ -7,9 +7,8 @@ queries themselves stay deterministic.
 Plan notes (scale):
 * every join is a single-key left equi-join; dimension sides are broadcast only
   behind a measured bound (:func:`eventmart.operators.joins.sized_broadcast`),
-  otherwise :func:`~eventmart.operators.joins.skew_left_join` sends NULL keys
-  past the join, hot keys through a broadcast slice of the dimension and the
-  rest through a sort-merge join;
+  otherwise :func:`~eventmart.operators.joins.skew_left_join` salts hot keys
+  (and NULL keys) so no sort-merge partition holds more than a fair share;
 * every aggregate is hash-partial → exchange on the grouping keys → final, so a
   hot key contributes one row per map task to the shuffle;
 * ``count(distinct group_id)`` next to sum/avg is planned by Catalyst as a
@@ -85,7 +84,8 @@ def events_enriched(
     g = _prefixed(groups, "g__")
     v = _prefixed(venues, "v__")
     joined = skew_left_join(events, g, "group_id", "g__group_id", broadcast_rows)
-    joined = skew_left_join(joined, v, "venue_id", "v__venue_id", broadcast_rows)
+    joined = skew_left_join(joined, v, "venue_id", "v__venue_id", broadcast_rows,
+                            key_source=events)
 
     def fallback(out: str, ecol: str, vcol: str) -> Column:
         return first_present(F.col(ecol), F.col(f"v__{vcol}")).alias(out)
@@ -153,7 +153,8 @@ def agg_groups_by_topic(
     t = _prefixed(topics, "t__")
     g = _prefixed(groups.select("group_id", "group_members", "group_rating"), "g__")
     joined = skew_left_join(groups_topics, t, "topic_id", "t__topic_id", broadcast_rows)
-    joined = skew_left_join(joined, g, "group_id", "g__group_id", broadcast_rows)
+    joined = skew_left_join(joined, g, "group_id", "g__group_id", broadcast_rows,
+                            key_source=groups_topics)
     return joined.groupBy(
         F.col("topic_id"),
         first_present(F.col("t__topic_name"), F.col("topic_name"),

@@ -170,7 +170,7 @@ def test_skew_split_join_matches_plain_join(spark):
                                   for i in range(60)], "id bigint, k bigint")
     dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "two-dup")],
                                 "dk bigint, name string")
-    assert [r["_hk"] for r in hot_keys(fact, "k", 4).collect()] == [1]
+    assert [(r["_hk"], r["_salts"]) for r in hot_keys(fact, "k", 4).collect()] == [(1, 3)]
     split = skew_left_join(fact, dim, "k", "dk", max_rows=0, partitions=4)
     plain = fact.join(dim, fact["k"] == dim["dk"], "left")
     assert rows(split, "id", "k", "dk", "name") == rows(plain, "id", "k", "dk", "name")
