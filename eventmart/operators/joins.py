@@ -78,17 +78,6 @@ def sized_broadcast(
     return df, False
 
 
-def left_join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """``fact ⟕ dim USING (key)``; duplicate dimension keys fan out, as in SQL."""
-    side, _ = sized_broadcast(dim, max_rows)
-    return fact.join(side, on=key, how="left")
-
-
 def hot_keys(fact: DataFrame, key: str, partitions: int) -> DataFrame:
     """Keys holding more than a fair partition share (``rows / partitions``) of ``fact``.
 
