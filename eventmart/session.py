@@ -52,12 +52,20 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; created privately only if unset."""
+    """The shared checkpoint folder of the session.
+
+    A private folder is created only for a local session without one (tests,
+    laptops); a cluster session must name shared storage in
+    ``spark.checkpoint.dir`` — a machine-local folder would not survive the
+    loss of that machine.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="eventmart-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

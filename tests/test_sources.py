@@ -27,10 +27,10 @@ def _label_and_rows(spark, path, multi_line=False):
 
 
 def test_utf8_file_is_labelled_utf8_sig(spark, tmp_path):
-    p = _write(str(tmp_path), "a.csv", "id,name\n1,Cristian\n".encode("utf-8"))
+    p = _write(str(tmp_path), "a.csv", "id,name\n1,Marta\n".encode("utf-8"))
     label, cols, data = _label_and_rows(spark, p)
     assert label == {"utf-8-sig"}
-    assert cols == ["id", "name"] and data == [("1", "Cristian")]
+    assert cols == ["id", "name"] and data == [("1", "Marta")]
 
 
 def test_latin1_file_is_labelled_cp1252(spark, tmp_path):
