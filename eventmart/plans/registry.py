@@ -361,3 +361,21 @@ QUERIES.update({
     "events_enriched_shuffled": q_events_enriched_shuffled,
     "agg_groups_by_topic_shuffled": q_agg_groups_by_topic_shuffled,
 })
+
+
+# Skewed variant: one group holds a third of all events, another third has no
+# venue key; the dimensions go through the salted plan (no broadcast).
+
+def q_events_enriched_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = staging.stage_all(standins.raw_tables(spark, sf_dir, hot_keys=True))
+    return marts.events_enriched(s["events"], s["groups"], s["venues"], broadcast_rows=0)
+
+
+def q_agg_events_by_group_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.agg_events_by_group(q_events_enriched_hot_keys(spark, sf_dir))
+
+
+QUERIES.update({
+    "events_enriched_hot_keys": q_events_enriched_hot_keys,
+    "agg_events_by_group_hot_keys": q_agg_events_by_group_hot_keys,
+})

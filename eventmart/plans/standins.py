@@ -45,11 +45,28 @@ def _quarter_floor(c: Column) -> Column:
     return F.floor(c * 4).cast("double") / 4
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """48 raw event columns from ``lineitem`` (one event per line item)."""
+# The hot group of the skewed variant and the return flags that map to it.
+HOT_GROUP_ID = 0
+HOT_GROUP_FLAG = "R"      # a third of all line items
+NULL_VENUE_FLAG = "A"     # another third: no venue id at all
+
+
+def raw_events(spark: SparkSession, sf_dir: str, hot_keys: bool = False) -> DataFrame:
+    """48 raw event columns from ``lineitem`` (one event per line item).
+
+    ``hot_keys=True`` gives the skewed variant: every ``R`` line item belongs
+    to one group (a third of all events on one key) and every ``A`` line item
+    has no venue (a third of all events on the NULL key).
+    """
     li = read_table(spark, sf_dir, "lineitem")
     flag, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
     ship_ms = _epoch_ms("l_shipdate")
+    group_id = F.col("l_orderkey")
+    venue_id = F.when((flag == "R") & (line == 1), _null("bigint")).otherwise(F.col("l_suppkey"))
+    if hot_keys:
+        group_id = F.when(flag == HOT_GROUP_FLAG, F.lit(HOT_GROUP_ID).cast("bigint")) \
+            .otherwise(F.col("l_orderkey"))
+        venue_id = F.when(flag == NULL_VENUE_FLAG, _null("bigint")).otherwise(venue_id)
     return li.select(
         F.concat(F.lit("e"), F.col("l_orderkey"), F.lit("-"), line).alias("event_id"),
         F.concat(F.lit("Event "), F.col("l_partkey")).alias("event_name"),
@@ -85,7 +102,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(flag == "A", _null("double")).otherwise(line.cast("double") * 0.5 + 1.0)
         .alias("rating.average"),
         line.cast("bigint").alias("rating.count"),
-        F.col("l_orderkey").alias("group_id"),
+        group_id.alias("group_id"),
         F.concat(F.lit("Group "), F.col("l_orderkey")).alias("group.name"),
         F.concat(F.lit("group-"), F.col("l_orderkey")).alias("group.urlname"),
         F.lit("open").alias("group.join_mode"),
@@ -93,8 +110,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null("bigint").alias("group.created"),
         _null("double").alias("group.group_lat"),
         _null("double").alias("group.group_lon"),
-        F.when((flag == "R") & (line == 1), _null("bigint")).otherwise(F.col("l_suppkey"))
-        .alias("venue_id"),
+        venue_id.alias("venue_id"),
         F.when(line <= 2, F.concat(F.lit("Venue "), F.col("l_suppkey"))).otherwise(_null("string"))
         .alias("venue.name"),
         F.when((flag == "A") & (line >= 6), F.lit("UNKNOWN"))
@@ -199,8 +215,12 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str, hot_keys: bool = False
+               ) -> dict[str, DataFrame]:
+    out = {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+    if hot_keys:
+        out["events"] = raw_events(spark, sf_dir, hot_keys=True)
+    return out
 
 
 # ---------------------------------------------------------------------------

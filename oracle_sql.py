@@ -489,6 +489,22 @@ SQL_INFERRED_TEMPLATE = "SELECT * FROM (VALUES " + ", ".join(
 SQL_EXPORT_ROUNDTRIP = SQL_AGG_EVENTS_BY_CITY
 
 
+# Skewed variant of the events stand-in: 'R' line items all in group 0, 'A' ones venue-less.
+_GROUP_LINE = "    l_orderkey AS group_id,\n"
+_VENUE_LINE = ("    CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN NULL ELSE l_suppkey END "
+               "AS venue_id,\n")
+assert _GROUP_LINE in RAW_EVENTS and _VENUE_LINE in RAW_EVENTS
+RAW_EVENTS_HOT = RAW_EVENTS.replace(
+    _GROUP_LINE, "    CASE WHEN l_returnflag = 'R' THEN CAST(0 AS BIGINT) ELSE l_orderkey END"
+                 " AS group_id,\n").replace(
+    _VENUE_LINE, "    CASE WHEN l_returnflag = 'A' THEN NULL"
+                 " WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN NULL ELSE l_suppkey END"
+                 " AS venue_id,\n")
+STAGING_HOT = STAGING.replace(RAW_EVENTS, RAW_EVENTS_HOT)
+SQL_EVENTS_ENRICHED_HOT = f"WITH {STAGING_HOT}\n{EVENTS_ENRICHED_BODY}"
+SQL_AGG_EVENTS_BY_GROUP_HOT = SQL_AGG_EVENTS_BY_GROUP.replace(STAGING, STAGING_HOT)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -517,4 +533,6 @@ def oracle_sql() -> dict[str, str]:
         "export_roundtrip": SQL_EXPORT_ROUNDTRIP,
         "events_enriched_shuffled": SQL_EVENTS_ENRICHED,
         "agg_groups_by_topic_shuffled": SQL_AGG_GROUPS_BY_TOPIC,
+        "events_enriched_hot_keys": SQL_EVENTS_ENRICHED_HOT,
+        "agg_events_by_group_hot_keys": SQL_AGG_EVENTS_BY_GROUP_HOT,
     }
