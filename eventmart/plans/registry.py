@@ -9,9 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmart.operators import marts, staging
+from eventmart.config.schemas import EVENT_UPDATE_COLUMNS
+from eventmart.config.settings import load_settings
+from eventmart.functions.columns import first_present
+from eventmart.operators import marts, quality, sampling, staging
+from eventmart.operators import upsert as upsert_ops
 from eventmart.plans import standins
+from eventmart.plans.flows import Pipeline, RunContext
+from eventmart.session import scratch_path
+from eventmart.sinks import exports
+from eventmart.sinks.tables import write_bucketed
+from eventmart.sources import csv as csv_src
+from eventmart.sources import encoding as enc_src
+from eventmart.sources import inference
 
 
 def staged_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -54,7 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Data quality
 # ---------------------------------------------------------------------------
 
-from eventmart.operators import quality  # noqa: E402
 
 # The run whose announced delta size the stand-in gate checks.
 STANDIN_DAG_ID = "eventmart_incremental"
@@ -108,8 +119,6 @@ QUERIES.update({
 # Keyed upsert
 # ---------------------------------------------------------------------------
 
-from eventmart.config.schemas import EVENT_UPDATE_COLUMNS  # noqa: E402
-from eventmart.operators import upsert as upsert_ops  # noqa: E402
 
 
 def q_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,12 +146,7 @@ QUERIES.update({
 # the production readers load them back.
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from eventmart.session import scratch_path  # noqa: E402
-from eventmart.sources import csv as csv_src  # noqa: E402
-from eventmart.sources import encoding as enc_src  # noqa: E402
-from eventmart.sources import inference  # noqa: E402
 
 
 def q_csv_load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,9 +220,6 @@ QUERIES.update({
 # Incremental stream
 # ---------------------------------------------------------------------------
 
-from eventmart.config.settings import load_settings  # noqa: E402
-from eventmart.plans.flows import Pipeline, RunContext  # noqa: E402
-from eventmart.sinks.tables import write_bucketed  # noqa: E402
 
 
 def q_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,9 +260,6 @@ QUERIES.update({"incremental_stream": q_incremental_stream})
 # deltas, the inferred column template and the export round trip.
 # ---------------------------------------------------------------------------
 
-from eventmart.operators import sampling  # noqa: E402
-from eventmart.functions.columns import first_present  # noqa: E402
-from eventmart.sinks import exports  # noqa: E402
 
 
 def q_rename_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
