@@ -217,7 +217,10 @@ UNIQUE_TESTS = {
 
 def run_model_tests(models: dict[str, DataFrame], kinds: Sequence[str] = ("not_null", "unique")
                     ) -> DataFrame:
-    """All declared tests over the given models, as one DataFrame (model, column, test, failures, status)."""
+    """All declared tests over the given models, as one DataFrame.
+
+    Columns: model, column_name, test, failures, status.
+    """
     parts: list[DataFrame] = []
     if "not_null" in kinds:
         parts += [check_not_null(models[m], cols, m) for m, cols in NOT_NULL_TESTS.items()

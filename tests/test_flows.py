@@ -1,4 +1,4 @@
-"""End to end: landing CSV files → raw tables → marts → exports → gated batches and stream."""
+"""End to end: landing CSV → raw tables → marts → exports → gated batches and stream."""
 
 from __future__ import annotations
 

@@ -11,7 +11,8 @@ from tests.conftest import rows
 keys = st.one_of(st.none(), st.integers(min_value=0, max_value=4))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(fact_keys=st.lists(keys, min_size=0, max_size=40),
        dim_keys=st.lists(st.integers(min_value=0, max_value=5), min_size=0, max_size=8),
        parts=st.integers(min_value=1, max_value=6))

@@ -35,7 +35,8 @@ def condensed(plan: str) -> list[str]:
             cols = m.group(1).count(":") if m else "?"
             pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
             head = line[:line.index(line.strip())]
-            out.append(f"{head}Scan {table} cols={cols} pushed=[{pushed.group(1) if pushed else ''}]")
+            filters = pushed.group(1) if pushed else ""
+            out.append(f"{head}Scan {table} cols={cols} pushed=[{filters}]")
             continue
         out.append(line[:160])
     return out
