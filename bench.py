@@ -26,6 +26,7 @@ HEADLINE = [
     "agg_groups_by_category",
     "agg_groups_by_topic",
     "agg_events_by_group",
+    "events_enriched_hot_keys",
     "dq_stage_checks",
     "dq_not_null",
     "merge_events",
