@@ -28,6 +28,7 @@ from eventmart.functions.columns import (
     first_present,
     sum_zero_filled,
     unknown_if_null,
+    zero_if_null,
 )
 from eventmart.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast, skew_left_join
 
@@ -101,23 +102,65 @@ def events_enriched(
     return joined.select(*cols)
 
 
-def agg_events_by_city(enriched: DataFrame) -> DataFrame:
-    """M2: per (city, state, country) with NULL → 'UNKNOWN' before grouping."""
-    return enriched.groupBy(
-        unknown_if_null("venue_city").alias("venue_city"),
-        unknown_if_null("venue_state").alias("venue_state"),
-        unknown_if_null("venue_country").alias("venue_country"),
-    ).agg(
+# Averaged measures are summed as fixed-point numbers: a stored state can then be
+# corrected by subtracting old and adding new contributions without drift, and a
+# full rebuild gives bit-identical averages (the warehouse also averages in
+# fixed point).
+SUM_TYPE = "decimal(38,18)"
+
+CITY_KEYS = ["venue_city", "venue_state", "venue_country"]
+CITY_COUNTERS = [("total_yes_rsvp", "yes_rsvp_count"), ("total_maybe_rsvp", "maybe_rsvp_count"),
+                 ("total_waitlist", "waitlist_count")]
+CITY_AVERAGES = [("avg_event_rating", "event_rating_average"),
+                 ("avg_group_rating", "group_rating"), ("avg_fee_amount", "fee_amount")]
+
+GROUP_KEYS = ["group_id", "group_name", "category_id", "category_name"]
+GROUP_COUNTERS = [("total_yes_rsvp", "yes_rsvp_count")]
+GROUP_AVERAGES = [("avg_event_rating", "event_rating_average"),
+                  ("avg_group_rating", "group_rating")]
+
+
+def _state(grouped, counters, averages) -> DataFrame:
+    return grouped.agg(
         count_rows().alias("total_events"),
-        sum_zero_filled("yes_rsvp_count").alias("total_yes_rsvp"),
-        sum_zero_filled("maybe_rsvp_count").alias("total_maybe_rsvp"),
-        sum_zero_filled("waitlist_count").alias("total_waitlist"),
-        avg_zero_filled("event_rating_average").alias("avg_event_rating"),
-        avg_zero_filled("group_rating").alias("avg_group_rating"),
-        avg_zero_filled("fee_amount").alias("avg_fee_amount"),
+        *[sum_zero_filled(src).alias(out) for out, src in counters],
+        *[F.sum(zero_if_null(src).cast(SUM_TYPE)).alias(f"sum_{out}") for out, src in averages],
+    )
+
+
+def _from_state(state: DataFrame, keys, counters, averages) -> DataFrame:
+    return state.select(
+        *keys, "total_events", *[out for out, _ in counters],
+        *[(F.col(f"sum_{out}").cast("double") / F.col("total_events")).alias(out)
+          for out, _ in averages],
     )
 
 
+def events_by_city_state(enriched: DataFrame) -> DataFrame:
+    """Additive state of M2: row count and exact sums per (city, state, country)."""
+    return _state(enriched.groupBy(*[unknown_if_null(k).alias(k) for k in CITY_KEYS]),
+                  CITY_COUNTERS, CITY_AVERAGES)
+
+
+def city_from_state(state: DataFrame) -> DataFrame:
+    return _from_state(state, CITY_KEYS, CITY_COUNTERS, CITY_AVERAGES)
+
+
+def agg_events_by_city(enriched: DataFrame) -> DataFrame:
+    """M2: per (city, state, country) with NULL → 'UNKNOWN' before grouping."""
+    return city_from_state(events_by_city_state(enriched))
+
+
+def merge_state(state: DataFrame, minus: DataFrame, plus: DataFrame, keys: list[str]
+                ) -> DataFrame:
+    """``state − minus + plus`` per key (NULL keys group together); empty keys vanish."""
+    measures = [c for c in state.columns if c not in keys]
+    negated = minus.select(*keys, *[(-F.col(c)).alias(c) for c in measures])
+    both = state.unionByName(negated).unionByName(plus.select(*keys, *measures))
+    merged = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+    return merged.filter(F.col("total_events") > 0)
+
+
 def agg_groups_by_category(
     groups: DataFrame,
     categories: DataFrame,
@@ -166,19 +209,23 @@ def agg_groups_by_topic(
     )
 
 
-def agg_events_by_group(enriched: DataFrame) -> DataFrame:
-    """M5: per (group_id, group name, category_id, category name); only the name is defaulted."""
-    return enriched.groupBy(
+def events_by_group_state(enriched: DataFrame) -> DataFrame:
+    """Additive state of M5 per (group_id, group name, category_id, category name)."""
+    return _state(enriched.groupBy(
         F.col("group_id"),
         F.col("event_group_name").alias("group_name"),
         F.col("category_id"),
         unknown_if_null("category_name").alias("category_name"),
-    ).agg(
-        count_rows().alias("total_events"),
-        sum_zero_filled("yes_rsvp_count").alias("total_yes_rsvp"),
-        avg_zero_filled("event_rating_average").alias("avg_event_rating"),
-        avg_zero_filled("group_rating").alias("avg_group_rating"),
-    )
+    ), GROUP_COUNTERS, GROUP_AVERAGES)
+
+
+def group_from_state(state: DataFrame) -> DataFrame:
+    return _from_state(state, GROUP_KEYS, GROUP_COUNTERS, GROUP_AVERAGES)
+
+
+def agg_events_by_group(enriched: DataFrame) -> DataFrame:
+    """M5: per (group_id, group name, category_id, category name); only the name is defaulted."""
+    return group_from_state(events_by_group_state(enriched))
 
 
 def with_processed_at(df: DataFrame, as_of: datetime | None = None) -> DataFrame:

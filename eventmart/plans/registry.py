@@ -20,7 +20,7 @@ from eventmart.plans import standins
 from eventmart.plans.flows import Pipeline, RunContext
 from eventmart.session import scratch_path
 from eventmart.sinks import exports
-from eventmart.sinks.tables import write_bucketed
+from eventmart.sinks.tables import BUCKET_COL, write_bucketed
 from eventmart.sources import csv as csv_src
 from eventmart.sources import encoding as enc_src
 from eventmart.sources import inference
@@ -249,7 +249,7 @@ def q_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return pipeline.store.read(raw_db, "events").drop("event_bucket")
+    return pipeline.store.read(raw_db, "events").drop(BUCKET_COL)
 
 
 QUERIES.update({"incremental_stream": q_incremental_stream})

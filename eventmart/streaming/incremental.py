@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.plans.flows import EVENTS_TABLE, Pipeline, RunContext
+from eventmart.sinks.tables import BUCKET_COL
 from eventmart.sources import csv as csv_src
 
 
@@ -68,7 +69,7 @@ def start_incremental(
         paths = sorted(r["path"] for r in batch.select("path").collect())  # ≤ files_per_batch
         if not paths:
             return
-        target_schema = pipeline.store.read(raw_db, EVENTS_TABLE).drop("event_bucket").schema
+        target_schema = pipeline.store.read(raw_db, EVENTS_TABLE).drop(BUCKET_COL).schema
         stage = csv_src.read_by_name(spark, paths, target_schema).persist()
         try:
             ctx = RunContext(dag_id=dag_id, run_id=f"{stream_name}_batch_{batch_id}",
