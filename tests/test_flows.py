@@ -68,6 +68,7 @@ def _landing(root):
 @pytest.fixture()
 def pipeline(spark, tmp_path):
     p = Pipeline(spark, load_settings(), warehouse_root=str(tmp_path / "wh"), event_buckets=4,
+                 files_per_bucket=2,
                  use_catalog=False)
     p.setup()
     _landing(str(tmp_path / "landing"))
