@@ -216,3 +216,24 @@ def test_incremental_mart_refresh_equals_full_rebuild(pipeline, spark):
     pipeline.build_marts()   # full rebuild from the merged raw tables
     for name, rows_ in incremental.items():
         assert snapshot(name) == rows_, name
+
+
+def test_stream_quarantines_a_failing_file(pipeline, spark, tmp_path):
+    from eventmart.sources import csv as csv_src
+    from eventmart.streaming.incremental import announce_files, start_incremental
+
+    incoming = str(tmp_path / "incoming_q")
+    bad = _delta(spark, [(None, 1, 1, 1, 1, "upcoming")])           # NULL key: gate fails
+    good = _delta(spark, [("e4", 44, 4, 4, 1800000000004, "upcoming")])
+    csv_src.write_csv(bad.coalesce(1), f"{incoming}/a_bad", mode="errorifexists")
+    csv_src.write_csv(good.coalesce(1), f"{incoming}/b_good", mode="errorifexists")
+    announce_files(pipeline, incoming, RunContext(run_id="announce_q"))
+    q = start_incremental(pipeline, incoming, str(tmp_path / "ckpt_q"), available_now=True,
+                          build=False, on_failure="quarantine")
+    q.awaitTermination()
+    assert q.exception() is None
+    ev = _events(pipeline)
+    assert len(ev) == 4 and ev["e4"]["yes_rsvp_count"] == 44
+    dq = pipeline.store.read("monitoring", "dq_results").filter(
+        F.col("check_name") == "null_event_id").collect()
+    assert sorted(r["status"] for r in dq) == ["FAIL", "PASS"]
