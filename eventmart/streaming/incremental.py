@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +60,12 @@ def start_incremental(
     dag_id: str = "eventmart_incremental",
     on_failure: str = "raise",
 ) -> StreamingQuery:
-    """Start the micro-batch query; ``on_failure="quarantine"`` skips a failed batch."""
+    """Start the micro-batch query.
+
+    ``on_failure="raise"`` (default) stops the query on a failed gate or an
+    unloadable file, so a restart replays that batch; ``"quarantine"`` records
+    what it can and moves on to newer files.
+    """
     spark = pipeline.spark
     raw_db = pipeline.settings.catalog.raw_db
     # Run ids are stable across restarts of one checkpoint (a replay reuses them).
@@ -78,7 +84,9 @@ def start_incremental(
                 pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
                                    export_root=export_root,
                                    staging_root=f"{checkpoint_dir.rstrip('/')}/_merge")
-            except ValueError:
+            except (ValueError, PySparkException):
+                # A failed gate, or a file whose values do not fit the table's
+                # types (the strict load rejects it, as a bulk load would).
                 if on_failure != "quarantine":
                     raise
         finally:

@@ -225,7 +225,9 @@ def test_stream_quarantines_a_failing_file(pipeline, spark, tmp_path):
     incoming = str(tmp_path / "incoming_q")
     bad = _delta(spark, [(None, 1, 1, 1, 1, "upcoming")])           # NULL key: gate fails
     good = _delta(spark, [("e4", 44, 4, 4, 1800000000004, "upcoming")])
+    unloadable = spark.createDataFrame([("e1", "many")], "event_id string, yes_rsvp_count string")
     csv_src.write_csv(bad.coalesce(1), f"{incoming}/a_bad", mode="errorifexists")
+    csv_src.write_csv(unloadable.coalesce(1), f"{incoming}/a_unloadable", mode="errorifexists")
     csv_src.write_csv(good.coalesce(1), f"{incoming}/b_good", mode="errorifexists")
     announce_files(pipeline, incoming, RunContext(run_id="announce_q"))
     q = start_incremental(pipeline, incoming, str(tmp_path / "ckpt_q"), available_now=True,
@@ -234,6 +236,7 @@ def test_stream_quarantines_a_failing_file(pipeline, spark, tmp_path):
     assert q.exception() is None
     ev = _events(pipeline)
     assert len(ev) == 4 and ev["e4"]["yes_rsvp_count"] == 44
+    assert ev["e1"]["yes_rsvp_count"] == 1                            # unloadable file skipped
     dq = pipeline.store.read("monitoring", "dq_results").filter(
         F.col("check_name") == "null_event_id").collect()
     assert sorted(r["status"] for r in dq) == ["FAIL", "PASS"]
