@@ -119,8 +119,18 @@ def read_by_name(
     return bind_by_name(text, target)
 
 
+# Fixed value: line end of the normalised (canonical) landing copies.
+CANONICAL_LINE_SEP = "\r\n"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
-    """Write canonical CSV (header, minimal quoting, ``""`` escapes)."""
+    """Write CSV with header, minimal quoting and ``""`` escapes."""
     opts = dict(WRITE_OPTIONS)
     opts.update({k: str(v) for k, v in options.items()})
     df.write.mode(mode).options(**opts).csv(path)
+
+
+def write_normalized(df: DataFrame, path: str) -> None:
+    """The canonical copy of a landing file — UTF-8, minimal quoting,
+    ``\r\n`` line ends — replacing any earlier copy."""
+    write_csv(df, path, mode="overwrite", encoding="UTF-8", lineSep=CANONICAL_LINE_SEP)

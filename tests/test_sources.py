@@ -150,3 +150,24 @@ def test_canonical_write_roundtrip(spark, tmp_path):
     got = sorted(tuple(r) for r in back.collect())
     # Unquoted blanks are trimmed at load, as the reference file format does.
     assert got == [("1", 'say "hi"', None), ("2", "lead", "a,b")]
+
+
+def _normalized_bytes(spark, src_path, out_dir):
+    rows, labels = encoding.load_csv_any_encoding(spark, src_path)
+    csv_src.write_normalized(rows.drop("_file_path", "detected_encoding").coalesce(1), out_dir)
+    part = [f for f in os.listdir(out_dir) if f.endswith(".csv")]
+    assert len(part) == 1
+    with open(os.path.join(out_dir, part[0]), "rb") as fh:
+        return fh.read(), {r["detected_encoding"] for r in labels.collect()}
+
+
+def test_normalized_copy_of_utf8_file(spark, tmp_path):
+    p = _write(str(tmp_path), "a.csv", "id,name\n1,Marta\n".encode("utf-8"))
+    data, label = _normalized_bytes(spark, p, str(tmp_path / "norm"))
+    assert data == b"id,name\r\n1,Marta\r\n" and label == {"utf-8-sig"}
+
+
+def test_normalized_copy_of_latin1_file(spark, tmp_path):
+    p = _write(str(tmp_path), "a.csv", "id,name\n1,José\n".encode("latin-1"))
+    data, label = _normalized_bytes(spark, p, str(tmp_path / "norm"))
+    assert data == "id,name\r\n1,José\r\n".encode("utf-8") and label == {"cp1252"}
