@@ -4,6 +4,10 @@ Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]``: one warm-up, then ``$BENCH_RUNS`` timed runs (default 3);
 the median is reported.  Every run executes the whole plan through the
 ``noop`` sink (no driver collection).  Prints one JSON line.
+
+``BENCH_QUERIES=a,b`` limits the set; ``BENCH_EVENT_LOG_DIR=<scratch folder>``
+writes Spark's event log there (jobs tagged with the query name) for
+``tools/stage_times.py``.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ HEADLINE = [
 
 
 def run_once(spark, name, sf_dir):
+    spark.sparkContext.setJobGroup(name, name)
     t0 = time.perf_counter()
     df = registry.QUERIES[name](spark, sf_dir)
     df.write.format("noop").mode("overwrite").save()
@@ -49,9 +54,14 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    conf = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_log:  # stage and task times for tools/stage_times.py
+        os.makedirs(event_log, exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log,
+                     "spark.eventLog.compress": "false"})
     spark = build_session(f"local[{cpus}]", app_name="eventmart-bench",
-                          shuffle_partitions=max(2 * cpus, 8),
-                          conf={"spark.driver.memory": "16g"})
+                          shuffle_partitions=max(2 * cpus, 8), conf=conf)
     timings = {}
     for name in only or HEADLINE:
         run_once(spark, name, sf_dir)  # warm-up
