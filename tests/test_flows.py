@@ -272,3 +272,18 @@ def test_incremental_refresh_replay_after_a_crash(pipeline, spark, monkeypatch):
     after = {n: snapshot(n) for n in ("agg_events_by_city", "agg_events_by_group")}
     pipeline.build_marts()
     assert {n: snapshot(n) for n in after} == after
+
+
+def test_replayed_batch_keeps_its_exports(pipeline, spark, tmp_path):
+    pipeline.build_marts()
+    delta = spark.createDataFrame(
+        [("e2", 20, 2, 2, 1800000000000, "upcoming", 1)],
+        "event_id string, yes_rsvp_count bigint, maybe_rsvp_count bigint, "
+        "waitlist_count bigint, updated bigint, event_status string, group_id bigint")
+    ctx = RunContext(run_id="run_exp")
+    out = str(tmp_path / "exports")
+    pipeline.run_batch(delta, ctx, expected_rows=1, build=True, export_root=out)
+    pipeline.run_batch(delta, ctx, expected_rows=1, build=True, export_root=out)  # replay
+    assert os.path.exists(os.path.join(out, "agg_events_by_city", "run_exp", "_SUCCESS"))
+    with pytest.raises(Exception, match="(?i)already exists"):
+        pipeline.export("exp", root=out)          # a plain export still refuses to overwrite
