@@ -336,3 +336,41 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("processed_at"),
     )
     return out.select(*[F.col(f.name).cast(f.dataType) for f in FILE_AUDIT_SCHEMA.fields])
+
+
+def pipeline_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delta batch for the raw (line-item) events, with unique keys.
+
+    * updates: every event key that has an ``R``/``O`` line item — counters
+      from those lines (``maybe_rsvp_count`` sent as NULL, which overwrites),
+      status ``cancelled``;
+    * inserts: one ``delta-<order>`` event per order with an ``A`` line item
+      numbered 1, in that order's group, at its supplier's venue.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    key = F.concat(F.lit("e"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
+    updates = li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")) \
+        .groupBy(key.alias("event_id")).agg(
+            (F.max("l_quantity").cast("bigint") + 100).alias("yes_rsvp_count"),
+            _null("bigint").alias("maybe_rsvp_count"),
+            F.count(F.lit(1)).cast("bigint").alias("waitlist_count"),
+            (F.max(_epoch_ms("l_shipdate")) + 1).alias("updated"),
+            F.lit("cancelled").alias("event_status"),
+            _null("bigint").alias("group_id"),
+            _null("bigint").alias("venue_id"),
+        )
+    inserts = li.filter((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1)) \
+        .groupBy("l_orderkey").agg(
+            F.sum("l_quantity").cast("bigint").alias("yes_rsvp_count"),
+            F.lit(0).cast("bigint").alias("maybe_rsvp_count"),
+            F.lit(0).cast("bigint").alias("waitlist_count"),
+            F.max(_epoch_ms("l_shipdate")).alias("updated"),
+            F.lit("upcoming").alias("event_status"),
+            F.min("l_suppkey").alias("venue_id"),
+        ).select(
+            F.concat(F.lit("delta-"), F.col("l_orderkey")).alias("event_id"),
+            "yes_rsvp_count", "maybe_rsvp_count", "waitlist_count", "updated",
+            "event_status", F.col("l_orderkey").alias("group_id"), "venue_id",
+        )
+    # Updates carry only the merge's columns; group and venue go with inserts.
+    return updates.unionByName(inserts)

@@ -505,6 +505,46 @@ SQL_EVENTS_ENRICHED_HOT = f"WITH {STAGING_HOT}\n{EVENTS_ENRICHED_BODY}"
 SQL_AGG_EVENTS_BY_GROUP_HOT = SQL_AGG_EVENTS_BY_GROUP.replace(STAGING, STAGING_HOT)
 
 
+# The whole flow on stand-in data: raw events merged with a delta batch (MERGE:
+# matched keys take the five update columns, new keys are inserted by name).
+_FLOW_UPDATE = {"yes_rsvp_count", "maybe_rsvp_count", "waitlist_count", "updated",
+                "event_status"}
+_FLOW_DELTA_COLS = _FLOW_UPDATE | {"event_id", "group_id", "venue_id"}
+FLOW_DELTA = """flow_delta AS (
+  SELECT 'e' || l_orderkey || '-' || l_linenumber AS event_id,
+         CAST(max(l_quantity) AS BIGINT) + 100 AS yes_rsvp_count,
+         CAST(NULL AS BIGINT) AS maybe_rsvp_count,
+         CAST(count(*) AS BIGINT) AS waitlist_count,
+         max(epoch_ms(l_shipdate)) + 1 AS updated,
+         'cancelled' AS event_status,
+         CAST(NULL AS BIGINT) AS group_id,
+         CAST(NULL AS BIGINT) AS venue_id
+  FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O'
+  GROUP BY l_orderkey, l_linenumber
+  UNION ALL
+  SELECT 'delta-' || l_orderkey, CAST(sum(l_quantity) AS BIGINT), CAST(0 AS BIGINT),
+         CAST(0 AS BIGINT), max(epoch_ms(l_shipdate)), 'upcoming', l_orderkey, min(l_suppkey)
+  FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 1
+  GROUP BY l_orderkey
+)"""
+FLOW_MERGED_EVENTS = "raw_events AS (\n  SELECT " + ", ".join(
+    (f'CASE WHEN d.event_id IS NOT NULL THEN d.{src} ELSE t."{src}" END AS "{src}"'
+     if src in _FLOW_UPDATE else f't."{src}"')
+    for src, _ in schemas.STG_EVENTS
+) + "\n  FROM raw_events0 t LEFT JOIN flow_delta d ON t.event_id = d.event_id\n" \
+    "  UNION ALL\n  SELECT " + ", ".join(
+    (f'd.{src}' if src in _FLOW_DELTA_COLS else "NULL") for src, _ in schemas.STG_EVENTS
+) + "\n  FROM flow_delta d\n  WHERE NOT EXISTS " \
+    "(SELECT 1 FROM raw_events0 t WHERE t.event_id = d.event_id)\n)"
+STAGING_FLOW = STAGING.replace(
+    RAW_EVENTS,
+    RAW_EVENTS.replace("raw_events AS (", "raw_events0 AS (", 1) + ",\n" + FLOW_DELTA
+    + ",\n" + FLOW_MERGED_EVENTS)
+SQL_FLOW_CITY_AFTER_BATCH = SQL_AGG_EVENTS_BY_CITY.replace(STAGING, STAGING_FLOW)
+SQL_FLOW_GROUP_AFTER_BATCH = SQL_AGG_EVENTS_BY_GROUP.replace(STAGING, STAGING_FLOW)
+assert STAGING in SQL_AGG_EVENTS_BY_CITY and STAGING in SQL_AGG_EVENTS_BY_GROUP
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -535,4 +575,6 @@ def oracle_sql() -> dict[str, str]:
         "agg_groups_by_topic_shuffled": SQL_AGG_GROUPS_BY_TOPIC,
         "events_enriched_hot_keys": SQL_EVENTS_ENRICHED_HOT,
         "agg_events_by_group_hot_keys": SQL_AGG_EVENTS_BY_GROUP_HOT,
+        "flow_city_after_batch": SQL_FLOW_CITY_AFTER_BATCH,
+        "flow_group_after_batch": SQL_FLOW_GROUP_AFTER_BATCH,
     }
