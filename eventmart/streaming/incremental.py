@@ -76,21 +76,19 @@ def start_incremental(
         if not paths:
             return
         target_schema = pipeline.store.read(raw_db, EVENTS_TABLE).drop(BUCKET_COL).schema
-        stage = csv_src.read_by_name(spark, paths, target_schema).persist()
+        # Read by header name; run_batch writes it to the stage table before use.
+        stage = csv_src.read_by_name(spark, paths, target_schema)
+        ctx = RunContext(dag_id=dag_id, run_id=f"{stream_name}_batch_{batch_id}",
+                         task_id="stream_batch")
         try:
-            ctx = RunContext(dag_id=dag_id, run_id=f"{stream_name}_batch_{batch_id}",
-                             task_id="stream_batch")
-            try:
-                pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
-                                   export_root=export_root,
-                                   staging_root=f"{checkpoint_dir.rstrip('/')}/_merge")
-            except (ValueError, PySparkException):
-                # A failed gate, or a file whose values do not fit the table's
-                # types (the strict load rejects it, as a bulk load would).
-                if on_failure != "quarantine":
-                    raise
-        finally:
-            stage.unpersist()
+            pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
+                               export_root=export_root,
+                               staging_root=f"{checkpoint_dir.rstrip('/')}/_merge")
+        except (ValueError, PySparkException):
+            # A failed gate, or a file whose values do not fit the table's
+            # types (the strict load rejects it, as a bulk load would).
+            if on_failure != "quarantine":
+                raise
 
     writer = (delta_file_stream(pipeline, delta_dir, files_per_batch)
               .writeStream.foreachBatch(process)
