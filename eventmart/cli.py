@@ -1,14 +1,16 @@
 """Command-line entry for the flows, for ``spark-submit`` or any scheduler.
 
-    spark-submit -m eventmart.cli setup        --warehouse s3a://bucket/warehouse
-    spark-submit -m eventmart.cli load-raw     --warehouse … [--source …] [--normalized …]
-    spark-submit -m eventmart.cli build-marts  --warehouse …
-    spark-submit -m eventmart.cli export       --warehouse … [--exports …] [--run-stamp …]
-    spark-submit -m eventmart.cli batch        --warehouse … --delta <csv files or folder>
+    spark-submit eventmart/cli.py setup        --warehouse s3a://bucket/warehouse
+    spark-submit eventmart/cli.py load-raw     --warehouse … [--source …] [--normalized …]
+    spark-submit eventmart/cli.py build-marts  --warehouse …
+    spark-submit eventmart/cli.py export       --warehouse … [--exports …] [--run-stamp …]
+    spark-submit eventmart/cli.py batch        --warehouse … --delta <csv files or folder>
                                                [--run-id …] [--expected-rows N]
-    spark-submit -m eventmart.cli stream       --warehouse … [--delta-dir …] --checkpoint …
+    spark-submit eventmart/cli.py stream       --warehouse … [--delta-dir …] --checkpoint …
                                                [--available-now] [--quarantine]
 
+(On a cluster ship the package with ``--py-files``; locally ``python -m eventmart.cli``.)
+
 Paths default to the settings (``EVENTMART_*`` environment variables).  The
 session comes from the cluster; ``--master`` is for local runs.
 """
@@ -17,8 +19,12 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
+if __package__ in (None, ""):  # run as a script (spark-submit eventmart/cli.py …)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from eventmart.config.settings import load_settings
 from eventmart.plans.flows import EVENTS_TABLE, Pipeline, RunContext
 from eventmart.session import build_session
