@@ -30,7 +30,7 @@ from eventmart.functions.columns import (
     unknown_if_null,
     zero_if_null,
 )
-from eventmart.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast, skew_left_join
+from eventmart.operators.joins import DEFAULT_BROADCAST_ROWS, skew_left_join
 
 # Column lists of events_enriched, in output order.
 ENRICHED_EVENT_COLUMNS = [
@@ -167,19 +167,18 @@ def agg_groups_by_category(
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """M3: groups ⟕ categories; the group's own category name wins over the dimension."""
-    c_side, _ = sized_broadcast(categories, broadcast_rows)
-    g, c = groups.alias("g"), c_side.alias("c")
-    joined = g.join(c, F.col("g.category_id") == F.col("c.category_id"), "left")
+    c = _prefixed(categories, "c__")
+    joined = skew_left_join(groups, c, "category_id", "c__category_id", broadcast_rows)
     return joined.groupBy(
-        F.col("g.category_id").alias("category_id"),
-        first_present(F.col("g.category_name"), F.col("c.category_name"),
+        F.col("category_id"),
+        first_present(F.col("category_name"), F.col("c__category_name"),
                       default="UNKNOWN").alias("category_name"),
-        first_present(F.col("g.category_shortname"), F.col("c.shortname"),
+        first_present(F.col("category_shortname"), F.col("c__shortname"),
                       default="UNKNOWN").alias("category_shortname"),
     ).agg(
-        F.countDistinct(F.col("g.group_id")).alias("total_groups"),
-        sum_zero_filled(F.col("g.group_members")).alias("total_members"),
-        avg_zero_filled(F.col("g.group_rating")).alias("avg_group_rating"),
+        F.countDistinct(F.col("group_id")).alias("total_groups"),
+        sum_zero_filled(F.col("group_members")).alias("total_members"),
+        avg_zero_filled(F.col("group_rating")).alias("avg_group_rating"),
     )
 
 

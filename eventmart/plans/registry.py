@@ -420,3 +420,12 @@ QUERIES.update({
     "flow_city_after_batch": q_flow_city_after_batch,
     "flow_group_after_batch": q_flow_group_after_batch,
 })
+
+
+def q_agg_groups_by_category_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 through the salted plan (categories not broadcast)."""
+    s = staged_tables(spark, sf_dir)
+    return marts.agg_groups_by_category(s["groups"], s["categories"], broadcast_rows=0)
+
+
+QUERIES.update({"agg_groups_by_category_shuffled": q_agg_groups_by_category_shuffled})

@@ -577,4 +577,5 @@ def oracle_sql() -> dict[str, str]:
         "agg_events_by_group_hot_keys": SQL_AGG_EVENTS_BY_GROUP_HOT,
         "flow_city_after_batch": SQL_FLOW_CITY_AFTER_BATCH,
         "flow_group_after_batch": SQL_FLOW_GROUP_AFTER_BATCH,
+        "agg_groups_by_category_shuffled": SQL_AGG_GROUPS_BY_CATEGORY,
     }
