@@ -78,6 +78,13 @@ def sized_broadcast(
     return df, False
 
 
+def _row_hash(df: DataFrame):
+    """Deterministic hash of a row's hashable columns (maps cannot be hashed)."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields
+            if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
+
+
 def hot_keys(fact: DataFrame, key: str, partitions: int) -> DataFrame:
     """Keys holding more than a fair partition share (``rows / partitions``) of ``fact``.
 
@@ -136,7 +143,7 @@ def skew_left_join(
     hot = F.broadcast(spark.createDataFrame(
         [(r["_hk"], r["_salts"]) for r in found],
         T.StructType([T.StructField("_hk", key_type), T.StructField("_salts", T.IntegerType())])))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    row_hash = _row_hash(fact)
     salted_fact = fact.join(hot, fk == F.col("_hk"), "left").select(
         *[F.col(f"`{c}`") for c in fact.columns],
         F.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))

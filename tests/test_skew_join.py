@@ -24,3 +24,11 @@ def test_salted_join_equals_plain_join(spark, fact_keys, dim_keys, parts):
     plain = fact.join(dim, fact["k"] == dim["dk"], "left")
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
+
+
+def test_salted_join_with_a_map_column(spark):
+    fact = spark.createDataFrame([(1, {"a": 1}), (1, {"b": 2}), (None, {})],
+                                 "k bigint, props map<string,int>")
+    dim = spark.createDataFrame([(1, "one")], "dk bigint, name string")
+    out = skew_left_join(fact, dim, "k", "dk", max_rows=0, partitions=2)
+    assert rows(out, "k", "name") == [(1, "one"), (1, "one"), (None, None)]
