@@ -24,6 +24,11 @@ def test_cli_flows(spark, tmp_path, capsys, monkeypatch):
     assert loaded["events"] == 4
     tests = _run(capsys, "build-marts", *common)["result"]
     assert len(tests) == 21 and {t["status"] for t in tests} == {"PASS"}
+    # the flows register their tables in the catalog: SQL users query them by name
+    city = spark.sql("SELECT venue_city, total_events FROM analytics.agg_events_by_city "
+                     "ORDER BY venue_city").collect()
+    assert [(r[0], r[1]) for r in city] == [("Lima", 2), ("Own", 1), ("UNKNOWN", 1)]
+    assert spark.sql("SELECT count(*) FROM raw.events").first()[0] == 4
     delta = tmp_path / "delta.csv"
     delta.write_text("event_id,yes_rsvp_count,maybe_rsvp_count,waitlist_count,updated,"
                      "event_status,group_id\ne1,9,1,0,1800000000000,cancelled,1\n")
