@@ -18,10 +18,13 @@ def test_catalog_tables_are_queryable_by_sql(spark, tmp_path):
     store.create_like("mon_t", "things_stage", "things")
     assert spark.table("mon_t.things_stage").columns == ["id", "v"]
     assert spark.table("mon_t.things_stage").count() == 0
+    assert spark.table("mon_t.things_stage").count() == 0
     store.append(df, "mon_t", "things_stage")
     assert store.read("mon_t", "things_stage").count() == 2
+    assert spark.table("mon_t.things_stage").count() == 2      # SQL sees the append
     store.truncate("mon_t", "things_stage")
     assert store.read("mon_t", "things_stage").count() == 0
+    assert spark.sql("SELECT count(*) FROM mon_t.things_stage").first()[0] == 0
 
 
 def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
