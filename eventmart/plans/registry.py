@@ -429,3 +429,23 @@ def q_agg_groups_by_category_shuffled(spark: SparkSession, sf_dir: str) -> DataF
 
 
 QUERIES.update({"agg_groups_by_category_shuffled": q_agg_groups_by_category_shuffled})
+
+
+# Fan-out: duplicated venue keys multiply the events in the left join (and inflate
+# sums and counts downstream, as in SQL).
+
+def q_events_enriched_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raws = standins.raw_tables(spark, sf_dir)
+    raws["venues"] = standins.raw_venues_with_duplicates(spark, sf_dir)
+    s = staging.stage_all(raws)
+    return marts.events_enriched(s["events"], s["groups"], s["venues"])
+
+
+def q_agg_events_by_city_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.agg_events_by_city(q_events_enriched_fanout(spark, sf_dir))
+
+
+QUERIES.update({
+    "events_enriched_fanout": q_events_enriched_fanout,
+    "agg_events_by_city_fanout": q_agg_events_by_city_fanout,
+})

@@ -181,6 +181,21 @@ def raw_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: the nation whose suppliers appear twice in the fan-out variant.
+FANOUT_NATION = 3
+
+
+def raw_venues_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venues where every supplier of one nation is listed twice (a second row with
+    another name and rating): events there fan out in the left join."""
+    venues = raw_venues(spark, sf_dir)
+    dup = venues.filter(F.col("city") == f"City {FANOUT_NATION}").select(
+        *[(F.concat(F.col(c), F.lit(" (annex)")).alias(c) if c == "venue_name"
+           else (F.col(c) + 0.5).alias(c) if c == "rating" else F.col(c))
+          for c in venues.columns])
+    return venues.unionByName(dup)
+
+
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     return n.select(

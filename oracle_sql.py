@@ -545,6 +545,20 @@ SQL_FLOW_GROUP_AFTER_BATCH = SQL_AGG_EVENTS_BY_GROUP.replace(STAGING, STAGING_FL
 assert STAGING in SQL_AGG_EVENTS_BY_CITY and STAGING in SQL_AGG_EVENTS_BY_GROUP
 
 
+# Fan-out variant: every venue of nation 3 listed twice (annex name, rating + 0.5).
+RAW_VENUES_FANOUT = RAW_VENUES.replace("raw_venues AS (", "raw_venues0 AS (", 1) + """,
+raw_venues AS (
+  SELECT * FROM raw_venues0
+  UNION ALL
+  SELECT venue_id, venue_name || ' (annex)', city, state, country, address_1, lat, lon,
+         localized_country_name, rating + 0.5, rating_count, normalised_rating
+  FROM raw_venues0 WHERE city = 'City 3'
+)"""
+STAGING_FANOUT = STAGING.replace(RAW_VENUES, RAW_VENUES_FANOUT)
+SQL_EVENTS_ENRICHED_FANOUT = f"WITH {STAGING_FANOUT}\n{EVENTS_ENRICHED_BODY}"
+SQL_AGG_EVENTS_BY_CITY_FANOUT = SQL_AGG_EVENTS_BY_CITY.replace(STAGING, STAGING_FANOUT)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -578,4 +592,6 @@ def oracle_sql() -> dict[str, str]:
         "flow_city_after_batch": SQL_FLOW_CITY_AFTER_BATCH,
         "flow_group_after_batch": SQL_FLOW_GROUP_AFTER_BATCH,
         "agg_groups_by_category_shuffled": SQL_AGG_GROUPS_BY_CATEGORY,
+        "events_enriched_fanout": SQL_EVENTS_ENRICHED_FANOUT,
+        "agg_events_by_city_fanout": SQL_AGG_EVENTS_BY_CITY_FANOUT,
     }
