@@ -2,10 +2,12 @@
 
 The stream is a file-listing stream (``binaryFile`` source, content never
 read): its checkpoint records which delta files were processed, so a restart
-resumes with the next new file, and a batch that failed (gate error, lost
-executor) is replayed with the same files before newer ones.  Each micro-batch
-hands its file paths to :meth:`Pipeline.run_batch`, which reads the CSV files
-by header name into the events schema, gates, merges and rebuilds.
+resumes with the next new file, and a batch that failed (gate error, job
+failure) is replayed with the same files before newer ones; lost executors are
+already handled by Spark's task retries inside the batch.  Each micro-batch
+reads its CSV files by header name into the events schema and hands them to
+:meth:`Pipeline.run_batch`, which writes the stage table, gates, merges and
+refreshes the marts — every step replay-safe.
 
 * cadence: ``trigger(processingTime="15 minutes")`` or ``availableNow`` from an
   outside scheduler; micro-batches of one query never overlap (the reference's
