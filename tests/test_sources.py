@@ -171,3 +171,13 @@ def test_normalized_copy_of_latin1_file(spark, tmp_path):
     p = _write(str(tmp_path), "a.csv", "id,name\n1,José\n".encode("latin-1"))
     data, label = _normalized_bytes(spark, p, str(tmp_path / "norm"))
     assert data == "id,name\r\n1,José\r\n".encode("utf-8") and label == {"cp1252"}
+
+
+def test_label_is_per_file_not_per_line(spark, tmp_path):
+    # UTF-8 lines plus one Latin-1 line: the whole file is not valid UTF-8, so every
+    # line is decoded as cp1252 (the reference decodes whole files, strictly).
+    data = "id,name\n1,Zoë\n".encode("utf-8") + "2,José\n".encode("latin-1")
+    p = _write(str(tmp_path), "mixed.csv", data)
+    label, _, rows_ = _label_and_rows(spark, p)
+    assert label == {"cp1252"}
+    assert sorted(rows_) == [("1", "ZoÃ«"), ("2", "José")]
