@@ -29,6 +29,10 @@ def condensed(plan: str) -> list[str]:
         line = re.sub(r"#\d+L?", "", line)
         line = re.sub(r"\[plan_id=\d+\]", "", line)
         m = re.search(r"ReadSchema: struct<([^>]*)>", line)
+        if "LocalTableScan" in line:
+            head = line[:line.index(line.strip())]
+            out.append(f"{head}LocalTableScan (small driver-built relation, e.g. a hot-key list)")
+            continue
         if "FileScan" in line or "Scan " in line:
             loc = re.search(r"Location: \w+\([^)]*\)\[([^\]]*)\]", line)
             table = os.path.basename(loc.group(1).split(",")[0]) if loc else "?"
@@ -47,7 +51,7 @@ def main():
     names = sys.argv[2:] or ["events_enriched", "agg_events_by_city", "agg_groups_by_category",
                              "agg_groups_by_topic", "agg_events_by_group", "dq_stage_checks",
                              "merge_events", "merge_events_shuffled",
-                             "events_enriched_shuffled"]
+                             "events_enriched_shuffled", "events_enriched_hot_keys"]
     spark = build_session("local[8]", shuffle_partitions=16)
     for name in names:
         df = registry.QUERIES[name](spark, sf_dir)
