@@ -29,7 +29,7 @@ def condensed(plan: str) -> list[str]:
         line = re.sub(r"#\d+L?", "", line)
         line = re.sub(r"\[plan_id=\d+\]", "", line)
         m = re.search(r"ReadSchema: struct<([^>]*)>", line)
-        if "LocalTableScan" in line:
+        if "LocalTableScan" in line or "Scan ExistingRDD" in line:
             head = line[:line.index(line.strip())]
             out.append(f"{head}LocalTableScan (small driver-built relation, e.g. a hot-key list)")
             continue
