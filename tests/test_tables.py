@@ -47,3 +47,20 @@ def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
     got = {r["event_id"]: r["yes_rsvp_count"] for r in after_df.filter(
         F.col("event_id").isin("5", "6", "new")).collect()}
     assert got == {"5": 9, "6": 0, "new": 1}
+
+
+def test_compact_keeps_rows_and_reduces_files(spark, tmp_path):
+    import os
+
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    for i in range(5):
+        store.append(spark.createDataFrame([(i, f"r{i}")], "id bigint, v string"), "mon", "log")
+    folder = store.path("mon", "log")
+
+    def parts():
+        return [f for f in os.listdir(folder) if f.endswith(".parquet")]
+
+    assert len(parts()) >= 5
+    store.compact("mon", "log", str(tmp_path / "staging" / "log"))
+    assert len(parts()) == 1
+    assert sorted(r["id"] for r in store.read("mon", "log").collect()) == [0, 1, 2, 3, 4]
