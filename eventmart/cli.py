@@ -8,6 +8,7 @@
                                                [--run-id …] [--expected-rows N]
     spark-submit eventmart/cli.py stream       --warehouse … [--delta-dir …] --checkpoint …
                                                [--available-now] [--quarantine]
+    spark-submit eventmart/cli.py compact      --warehouse … --table monitoring.dq_results
 
 (On a cluster ship the package with ``--py-files``; locally ``python -m eventmart.cli``.)
 
@@ -35,7 +36,7 @@ from eventmart.sources import csv as csv_src
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="eventmart")
     p.add_argument("command", choices=["setup", "load-raw", "build-marts", "export", "batch",
-                                        "stream"])
+                                        "stream", "compact"])
     p.add_argument("--warehouse", required=True, help="root of the table store")
     p.add_argument("--master", default=None)
     p.add_argument("--buckets", type=int, default=64, help="hash buckets of keyed tables")
@@ -52,6 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--quarantine", action="store_true")
     p.add_argument("--no-build", action="store_true", help="merge only, no mart refresh")
+    p.add_argument("--table", default=None, help="database.table to compact")
+    p.add_argument("--files", type=int, default=1, help="files after compaction")
     return p
 
 
@@ -89,6 +92,14 @@ def main(argv: list[str] | None = None) -> int:
             export_root=args.exports,
             on_failure="quarantine" if args.quarantine else "raise")
         query.awaitTermination()
+    elif args.command == "compact":
+        if not args.table or "." not in args.table:
+            raise SystemExit("--table database.table is required for compact")
+        database, table = args.table.split(".", 1)
+        pipeline.store.compact(database, table,
+                               f"{args.warehouse.rstrip('/')}/_compact_staging/{table}",
+                               args.files)
+        out = args.table
     print(json.dumps({"command": args.command, "result": out}, default=str))
     return 0
 

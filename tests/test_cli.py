@@ -38,3 +38,6 @@ def test_cli_flows(spark, tmp_path, capsys, monkeypatch):
     exported = _run(capsys, "export", *common, "--exports", str(tmp_path / "exp"),
                     "--run-stamp", "20240101000000")["result"]
     assert set(exported) >= {"events_enriched", "agg_events_by_city"}
+    assert _run(capsys, "compact", *common, "--table", "monitoring.dq_results")["result"] \
+        == "monitoring.dq_results"
+    assert spark.sql("SELECT count(*) FROM monitoring.dq_results").first()[0] == 6
