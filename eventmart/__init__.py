@@ -7,11 +7,12 @@ Layers (each a sub-package):
                  file-level encoding detection
 * ``functions``  reusable column expressions
 * ``operators``  staging projections, the five marts, keyed upsert, data-quality
-                 checks, sampling helpers
+                 checks, sampling helpers, measured broadcast and salted skew joins
 * ``sinks``      tables, versioned publication, CSV exports, monitoring logs
 * ``plans``      the flows (set-up, raw load, batch, mart build) and the layer
                  that maps the benchmark tables onto the domain tables
 * ``streaming``  the incremental micro-batch runner (Structured Streaming)
+* ``cli``        spark-submit entry for the flows and table maintenance
 """
 
 __version__ = "0.1.0"
