@@ -8,7 +8,8 @@ Layers (each a sub-package):
 * ``functions``  reusable column expressions
 * ``operators``  staging projections, the five marts, keyed upsert, data-quality
                  checks, sampling helpers, measured broadcast and salted skew joins
-* ``sinks``      tables, versioned publication, CSV exports, monitoring logs
+* ``sinks``      table store, bucket-scoped merge and publication, CSV exports,
+                 monitoring logs and their compaction
 * ``plans``      the flows (set-up, raw load, batch, mart build) and the layer
                  that maps the benchmark tables onto the domain tables
 * ``streaming``  the incremental micro-batch runner (Structured Streaming)
