@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neighbours, packing, sentencepieces, simhash
+from . import neighbours, packing, sentencepieces, simhash, suffix_dedup
 from .common import read_table
 
 
@@ -23,6 +23,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), length=2048, end_id=1)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -34,6 +38,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_approximate_neighbours": op4_approximate_neighbours,
     "op5_packing": op5_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
