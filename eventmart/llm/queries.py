@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neighbours, packing, sentencepieces, simhash, suffix_dedup
+from . import neighbours, packing, sentencepieces, simhash, suffix_dedup, toxicity
 from .common import read_table
 
 
@@ -15,6 +15,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op4_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
 
@@ -36,6 +41,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_approximate_neighbours": op4_approximate_neighbours,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
