@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neighbours, packing, sentencepieces, simhash, suffix_dedup, toxicity
+from . import language_id, neighbours, packing, sentencepieces, simhash, suffix_dedup, toxicity
 from .common import read_table
 
 
@@ -20,6 +20,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 def op4_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
 
@@ -42,6 +47,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_language_id": op2_language_id,
     "op4_approximate_neighbours": op4_approximate_neighbours,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
