@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, neighbours, packing, sentencepieces, simhash, suffix_dedup, toxicity
-from .common import read_table
+from . import language_id, neighbours, packing, pii, secret_scan, sentencepieces, simhash, sketches, suffix_dedup, toxicity
+from .common import read_table, scratch
 
 
 def vocabulary(name: str) -> str:
@@ -25,6 +25,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.fit(docs))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
 
@@ -37,10 +41,18 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read_table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compare_with_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, radius=3)
 
@@ -48,10 +60,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op3_pii": op3_pii,
     "op4_approximate_neighbours": op4_approximate_neighbours,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_fingerprints": op9_fingerprints,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
