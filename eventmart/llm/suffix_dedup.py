@@ -36,7 +36,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, partitions, scratch, small_batches
@@ -266,29 +266,39 @@ BLOCK_KINDS = ("<i8", "<i8", "u1")  # doc ids, lengths, bytes
 CONTEXT_KINDS = ("u1", "<u4", "<u4", "<u4", "<u4", "<i8")  # bytes; lengths, occurrences of each; row, position, doc of each
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """The documents as compressed blocks in a table bucketed by ``block``."""
+def blocks(docs: DataFrame, carry: Column | None = None) -> DataFrame:
+    """The documents as compressed blocks in a table bucketed by ``block``.
+
+    ``carry``: a struct that goes with each document, in the column ``carried``.
+    """
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    carry = F.struct(F.lit(None).cast("boolean").alias("c0")) if carry is None else carry
+    texts = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"), carry.alias("carried")
+    )
+    kind = texts.schema["carried"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
         ids: list[int] = []
         held: list[bytes] = []
+        carried: list[pa.Array] = []
         size = 0
 
         def block() -> pa.RecordBatch:
             data = packed(np.array(ids, "<i8"), np.array([len(t) for t in held], "<i8"), np.frombuffer(b"".join(held), np.uint8))
-            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([data], pa.binary())], names=["block", "bytes", "data"])
+            rows = pa.ListArray.from_arrays([0, len(ids)], pa.concat_arrays(carried))
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([data], pa.binary()), rows], names=["block", "bytes", "data", "carried"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 raw = text.as_py()
                 if held and size + len(raw) > BLOCK_BYTES:
                     yield block()
-                    number, ids, held, size = number + 1, [], [], 0
+                    number, ids, held, carried, size = number + 1, [], [], [], 0
                 ids.append(doc)
+                carried.append(batch.column(2).slice(i, 1))
                 held.append(raw)
                 size += len(raw)
         if held:
@@ -296,7 +306,7 @@ def blocks(docs: DataFrame) -> DataFrame:
 
     n = partitions(spark)
     name = f"llm_blocks_{uuid.uuid4().hex}"
-    made = texts.mapInArrow(run, "block long, bytes long, data binary").repartition(n, "block")
+    made = texts.mapInArrow(run, f"block long, bytes long, data binary, carried array<{kind}>").repartition(n, "block")
     made.write.bucketBy(n, "block").option("path", scratch(spark, "blocks")).option("compression", "none").saveAsTable(name)
     return spark.table(name)
 
@@ -444,40 +454,73 @@ def merged(gone: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, *, window: int = WINDOW, keep_bytes: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with
-    ``keep_bytes`` also kept (binary)."""
+def with_cuts(docs: DataFrame, window: int, carry: Column | None = None) -> DataFrame:
+    """data, carried, spans: every block with what has to go from it."""
     if window < GRAM or window > RUN:
         raise ValueError(f"window must be between {GRAM} and {RUN} bytes")
     spark = docs.sparkSession
-    small_batches(spark)
-    table = blocks(docs)
+    table = blocks(docs, carry)
     total = table.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(partitions(spark), -(-total // BUCKET_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    small_batches(spark, 16)
     gone = spans(contexts(table, shared_keys(table, buckets, window), buckets, window), window)
     per_block = gone.groupBy("block").agg(F.collect_list("spans").alias("spans"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_bytes else "")
+    return table.select("block", "data", "carried").join(per_block, "block", "left").select("data", "carried", "spans")
+
+
+def cut(raw: bytes, replies: list[bytes] | None) -> Iterator[tuple[int, int, bytes, int]]:
+    """Of each document of a block: id, bytes, what is kept, spans removed."""
+    ids, lengths, data = unpacked(raw, *BLOCK_KINDS)
+    found = [unpacked(r, "<u4")[0].reshape(-1, 3) for r in replies or []]
+    cuts: dict[int, list[tuple[int, int]]] = {}
+    for row, a, b in merged(np.concatenate(found).astype(np.int64)) if found else []:
+        cuts.setdefault(row, []).append((a, b))
+    text, start = data.tobytes(), 0
+    for row, n in enumerate(lengths.tolist()):
+        own, mine = text[start : start + n], cuts.get(row, [])
+        kept = b"".join(own[x:y] for x, y in zip([0, *(b for _, b in mine)], [*(a for a, _ in mine), n], strict=True))
+        yield int(ids[row]), n, kept, len(mine)
+        start += n
+
+
+def remove_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw, replies in zip(batch.column(0), batch.column(1), strict=True):
-                ids, lengths, data = unpacked(raw.as_py(), *BLOCK_KINDS)
-                found = [unpacked(r, "<u4")[0].reshape(-1, 3) for r in replies.as_py() or []]
-                cuts: dict[int, list[tuple[int, int]]] = {}
-                for row, a, b in merged(np.concatenate(found).astype(np.int64)) if found else []:
-                    cuts.setdefault(row, []).append((a, b))
-                text, start, rows = data.tobytes(), 0, []
-                for row, n in enumerate(lengths.tolist()):
-                    own = text[start : start + n]
-                    if mine := cuts.get(row):
-                        kept = b"".join(own[x:y] for x, y in zip([0, *(b for _, b in mine)], [*(a for a, _ in mine), n], strict=True))
-                    else:
-                        mine, kept = [], own
-                    rows.append((None if ids[row] == NULL_ID else int(ids[row]), n, n - len(kept), len(mine), hashlib.sha256(kept).hexdigest(), kept))
-                    start += n
-                columns = list(zip(*rows, strict=True))[: 5 + keep_bytes]
-                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: len(columns)])  # noqa: B905
-
-    return table.select("block", "data").join(per_block, "block", "left").select("data", "spans").mapInArrow(run, schema)
+                rows = [(None if doc == NULL_ID else doc, n, n - len(kept), spans_, hashlib.sha256(kept).hexdigest()) for doc, n, kept, spans_ in cut(raw.as_py(), replies.as_py())]
+                columns = list(zip(*rows, strict=True))
+                kinds = [pa.int64()] * 4 + [pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return with_cuts(docs, window).select("data", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def without_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
+    """``docs`` with the repeats cut from ``text`` (bytes of a character cut in two go
+    too; null texts stay null) and ``n_chars``, where there is one, counted anew."""
+    columns = docs.columns
+    others = [c for c in columns if c != "text"]
+    carry = F.struct(docs["text"].isNotNull().alias("c"), *(docs[c].alias(f"c{i}") for i, c in enumerate(others)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = list(cut(batch.column(0)[i].as_py(), batch.column(2)[i].as_py()))
+                texts = pa.array([kept.decode("utf-8", "ignore") for _, _, kept, _ in rows], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(1)[i].values, texts, pa.array([n for _, _, _, n in rows], pa.int64())], names=["carried", "text", "cuts"])
+
+    fields = ", ".join(f"c{i}: {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others))
+    made = with_cuts(docs, window, carry).select("data", "carried", "spans").mapInArrow(run, f"carried struct<c: boolean{', ' if fields else ''}{fields}>, text string, cuts long")
+    text = F.when(F.col("carried.c"), F.col("text"))
+
+    def column(c: str):
+        if c == "text":
+            return text.alias(c)
+        old = F.col("carried")[f"c{others.index(c)}"]
+        if c == "n_chars":
+            return F.when(F.col("cuts") > 0, F.char_length(text).cast(docs.schema[c].dataType)).otherwise(old).alias(c)
+        return old.alias(c)
+
+    return made.select(*(column(c) for c in columns))

@@ -367,3 +367,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     return ids_and_texts(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, window double, quoted_window double")
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is under ``threshold``, with all their columns."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            clean = np.concatenate([scores(shared.value, texts[s])[0] < threshold for s in slices(texts)]) if texts else np.zeros(0, bool)
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
