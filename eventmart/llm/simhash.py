@@ -146,7 +146,7 @@ def links_within(group: np.ndarray, block: np.ndarray, fp: np.ndarray, across: n
     lefts, rights = [], []
 
     def keep(i: np.ndarray, j: np.ndarray) -> None:
-        near = np.bitwise_count(fp[i] ^ fp[j]) <= radius
+        near = np.bitwise_count((fp[i] ^ fp[j]).view(np.uint64)) <= radius
         near &= ~across[i] | (block[i] != block[j])
         lefts.append(i[near])
         rights.append(j[near])
