@@ -1,7 +1,7 @@
 """Toxicity by a lexicon trie intersected with Levenshtein automata.
 
 Learning, from labelled rows that are not held out (at most ``TOXIC_ROWS`` toxic
-and ``CLEAN_ROWS`` clean ones, the first by a hash of their id):
+and ``CLEAN_ROWS`` clean ones, the first by a hash of their id; of copies one):
 
 1. Terms - whole words, and stems that begin words - are ranked by the lower
    bound of their log-odds of being in a toxic document; the best
@@ -28,7 +28,9 @@ A document with several labels counts as toxic if one of them says so.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -38,9 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, ids_and_texts, small_batches, written
+from .simhash import shingle_hashes
 
 TOXIC_ROWS, CLEAN_ROWS = 5000, 10_000
-LEXICON = 256
+LEXICON = 128
+#: Terms of the toxic rows that are also counted in the clean ones, the most frequent first.
+CANDIDATES = 50_000
 LEAST_DOCS = 5
 #: Least log-odds of a term, and least lower bound of them (three standard errors down).
 LEAST_ODDS, LEAST_BOUND = 3.0, 0.75
@@ -259,14 +264,51 @@ def labelled(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: in
     )
     first = lambda value, n: known.where(F.col("toxic") == value).orderBy(F.xxhash64("label_id"), "label_id").limit(n)
     chosen = first(1, toxic_rows).union(first(0, clean_rows))
-    return ids_and_texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic")
+    rows = ids_and_texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic")
+
+    def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [shingle_hashes(t.as_py(), 3) or [0] for t in batch.column(0)]
+            low, high = ([f(h) - 2**63 for h in hashes] for f in (min, max))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low), pa.array(high)], names=["text", "toxic", "low", "high"])
+
+    # Copies would make every word of theirs look like a sign of their label: one row of those
+    # that share their smallest or their largest shingle hash stays.
+    marked = rows.mapInArrow(ends, "text string, toxic int, low long, high long")
+    return marked.dropDuplicates(["toxic", "low"]).dropDuplicates(["toxic", "high"]).select("text", "toxic")
+
+
+def terms_of(text: str) -> set[tuple[str, bool]]:
+    """The words of a text, and the stems of 4 to 8 letters that begin them (flag set)."""
+    words = {w for w in re.split(r"[\W_]+", text.lower()) if 3 <= len(w) <= 40}
+    return {(w, False) for w in words} | {(w[:k], True) for w in words for k in range(4, min(8, len(w) - 1) + 1)}
+
+
+def counted(rows: DataFrame, only: set[tuple[str, bool]] | None) -> DataFrame:
+    """t, stem, n: in how many of ``rows`` each term (of ``only``) occurs."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for text in batch.column(0):
+                terms = terms_of(text.as_py())
+                found.update(terms if only is None else terms & only)
+            if found:
+                (t, stem), n = zip(*found, strict=True), list(found.values())
+                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(stem), pa.array(n)], names=["t", "stem", "n"])
+
+    return rows.select("text").mapInArrow(run, "t string, stem boolean, n long").groupBy("t", "stem").agg(F.sum("n").alias("n"))
 
 
 def lexicon(rows: DataFrame, toxic: int, clean: int) -> list[tuple[str, bool]]:
-    words = rows.select("toxic", F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("words"))
-    each = F.expr("""explode(array_distinct(flatten(transform(filter(words, w -> length(w) between 3 and 40), w ->
-        concat(array(struct(w as t, false as stem)), transform(sequence(4, least(8, greatest(4, length(w) - 1))), k -> struct(substring(w, 1, k) as t, true as stem)))))))""")
-    counts = words.select("toxic", each.alias("x")).groupBy("x.t", "x.stem").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")).where(F.col("p") >= LEAST_DOCS)
+    """The terms that stand out in the toxic ones of the bounded training rows."""
+    often = counted(rows.where("toxic = 1"), None).where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "t", "stem").limit(CANDIDATES).withColumnRenamed("n", "p")
+    candidates = often.collect()
+    if not candidates:
+        return []
+    ours = {(r["t"], r["stem"]) for r in candidates}
+    kept = rows.sparkSession.createDataFrame(candidates, often.schema)
+    counts = kept.join(counted(rows.where("toxic = 0"), ours), ["t", "stem"], "left").fillna(0, ["n"])
     odds = F.log((F.col("p") + 0.5) / (toxic - F.col("p") + 0.5)) - F.log((F.col("n") + 0.5) / (clean - F.col("n") + 0.5))
     bound = odds - 3 * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
     best = counts.withColumn("bound", bound).where((F.col("bound") > LEAST_BOUND) & (odds > LEAST_ODDS)).orderBy(F.desc("bound"), "stem", F.desc(F.length("t")), "t").limit(8 * LEXICON).collect()
