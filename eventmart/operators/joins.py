@@ -112,6 +112,7 @@ def skew_left_join(
     max_rows: int | None = DEFAULT_BROADCAST_ROWS,
     partitions: int | None = None,
     key_source: DataFrame | None = None,
+    salt_by: str | None = None,
 ) -> DataFrame:
     """``fact ⟕ dim ON fact_key = dim_key`` that survives hot keys.
 
@@ -124,6 +125,8 @@ def skew_left_join(
 
     ``key_source`` (default ``fact``) is where hot keys are counted, e.g. the
     base table when ``fact`` is itself a join result with the same key spread.
+    ``salt_by`` names a well-spread fact column to salt with (a row id), so that the
+    join reads no column only for its salt; without it all columns are hashed.
     Output: all fact columns, then all dimension columns.  Column names of the
     two sides must not collide.  ``max_rows=0`` forces the salted plan;
     ``None`` leaves the strategy to the planner.
@@ -143,7 +146,7 @@ def skew_left_join(
     hot = F.broadcast(spark.createDataFrame(
         [(r["_hk"], r["_salts"]) for r in found],
         T.StructType([T.StructField("_hk", key_type), T.StructField("_salts", T.IntegerType())])))
-    row_hash = _row_hash(fact)
+    row_hash = _row_hash(fact) if salt_by is None else F.xxhash64(F.col(f"`{salt_by}`"))
     salted_fact = fact.join(hot, fk == F.col("_hk"), "left").select(
         *[F.col(f"`{c}`") for c in fact.columns],
         F.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))

@@ -84,9 +84,10 @@ def events_enriched(
     """M1: one row per event (per matching group × venue row), 69 columns."""
     g = _prefixed(groups, "g__")
     v = _prefixed(venues, "v__")
-    joined = skew_left_join(events, g, "group_id", "g__group_id", broadcast_rows)
+    joined = skew_left_join(events, g, "group_id", "g__group_id", broadcast_rows,
+                            salt_by="event_id")
     joined = skew_left_join(joined, v, "venue_id", "v__venue_id", broadcast_rows,
-                            key_source=events)
+                            key_source=events, salt_by="event_id")
 
     def fallback(out: str, ecol: str, vcol: str) -> Column:
         return first_present(F.col(ecol), F.col(f"v__{vcol}")).alias(out)
@@ -168,7 +169,8 @@ def agg_groups_by_category(
 ) -> DataFrame:
     """M3: groups ⟕ categories; the group's own category name wins over the dimension."""
     c = _prefixed(categories, "c__")
-    joined = skew_left_join(groups, c, "category_id", "c__category_id", broadcast_rows)
+    joined = skew_left_join(groups, c, "category_id", "c__category_id", broadcast_rows,
+                            salt_by="group_id")
     return joined.groupBy(
         F.col("category_id"),
         first_present(F.col("category_name"), F.col("c__category_name"),
@@ -194,9 +196,10 @@ def agg_groups_by_topic(
     """
     t = _prefixed(topics, "t__")
     g = _prefixed(groups.select("group_id", "group_members", "group_rating"), "g__")
-    joined = skew_left_join(groups_topics, t, "topic_id", "t__topic_id", broadcast_rows)
+    joined = skew_left_join(groups_topics, t, "topic_id", "t__topic_id", broadcast_rows,
+                            salt_by="group_id")
     joined = skew_left_join(joined, g, "group_id", "g__group_id", broadcast_rows,
-                            key_source=groups_topics)
+                            key_source=groups_topics, salt_by="topic_id")
     return joined.groupBy(
         F.col("topic_id"),
         first_present(F.col("t__topic_name"), F.col("topic_name"),

@@ -170,17 +170,25 @@ def q_csv_bind_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         "maybe_rsvp_count", "event_id", "created", "yes_rsvp_count",
         F.col("event_name").alias("EVENT_NAME"),
     )
+    # Three folders, each with its own header: one reordered, one with the counters
+    # swapped, and one that lacks a column whose values are NULL.
     path = scratch_path(spark, "csv_bind_by_name")
-    csv_src.write_csv(shuffled, path)
-    return csv_src.read_by_name(spark, path, target.schema)
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    lacks = F.col("maybe_rsvp_count").isNull()
+    csv_src.write_csv(shuffled.filter(~lacks & (third == 0)), f"{path}/a")
+    csv_src.write_csv(shuffled.filter(~lacks & (third > 0)).select(
+        "yes_rsvp_count", "event_id", "maybe_rsvp_count", "WAITLIST_COUNT", "Updated", "created",
+        "EVENT_NAME", "Event_Status"), f"{path}/b")
+    csv_src.write_csv(shuffled.filter(lacks).drop("maybe_rsvp_count", "extra_note"), f"{path}/c")
+    return csv_src.read_by_name(spark, [f"{path}/{x}" for x in "abc"], target.schema)
 
 
-# Stand-in charsets, by document language.
-DOCUMENT_CHARSETS = {"en": "UTF-8", "fr": "UTF-8", "de": "ISO-8859-1", "es": "ISO-8859-1"}
+# Languages written in Latin-1; all others, and rows without one, are UTF-8.
+LATIN1_LANGUAGES = ("de", "es")
 
 
 def q_encoding_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as CSV in UTF-8 or Latin-1 (by language), then detected and decoded.
+    """Documents written as CSV in Latin-1 (two languages) or UTF-8 (all others), then detected and decoded.
 
     Files are split by whether their texts are pure ASCII, so each file's label
     is a function of its rows: ASCII or UTF-8 files are ``utf-8-sig``, other
@@ -189,9 +197,9 @@ def q_encoding_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = standins.read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     root = scratch_path(spark, "encoding_detect")
     ascii_only = ~F.col("text").rlike("[^\\x00-\\x7F]")
-    for charset in sorted(set(DOCUMENT_CHARSETS.values())):
-        langs = [k for k, v in DOCUMENT_CHARSETS.items() if v == charset]
-        part = docs.filter(F.col("lang").isin(*langs)).withColumn("ascii_only", ascii_only)
+    for charset in ("ISO-8859-1", "UTF-8"):
+        latin = F.coalesce(F.col("lang").isin(*LATIN1_LANGUAGES), F.lit(False))
+        part = docs.filter(latin if charset == "ISO-8859-1" else ~latin).withColumn("ascii_only", ascii_only)
         part.write.mode("overwrite").partitionBy("ascii_only") \
             .options(**csv_src.WRITE_OPTIONS).option("quoteAll", "true") \
             .option("encoding", charset).option("maxRecordsPerFile", 2000) \
@@ -385,7 +393,7 @@ QUERIES.update({
 # incremental refresh of M1, M2 and M5.
 # ---------------------------------------------------------------------------
 
-def _pipeline_after_batch(spark: SparkSession, sf_dir: str) -> Pipeline:
+def _pipeline_before_batch(spark: SparkSession, sf_dir: str) -> Pipeline:
     from eventmart.config.datasets import RAW_DATASETS
 
     root = scratch_path(spark, "pipeline_flow")
@@ -400,12 +408,41 @@ def _pipeline_after_batch(spark: SparkSession, sf_dir: str) -> Pipeline:
     # The line-item event keys are not unique, so the declared unique test fails;
     # the flow records that and goes on, as the marts do not depend on it.
     pipeline.build_marts(fail_on_test_error=False)
-    delta = standins.pipeline_delta(spark, sf_dir)
-    pipeline.run_batch(delta, RunContext(run_id="standin_batch"), expected_rows=delta.count(),
-                       fail_on_test_error=False)
     return pipeline
 
 
+def _run(pipeline: Pipeline, delta: DataFrame, run_id: str, build: bool = True) -> None:
+    pipeline.run_batch(delta, RunContext(run_id=run_id), expected_rows=delta.count(),
+                       build=build, fail_on_test_error=False)
+
+
+def _pipeline_after_batch(spark: SparkSession, sf_dir: str) -> Pipeline:
+    pipeline = _pipeline_before_batch(spark, sf_dir)
+    _run(pipeline, standins.pipeline_delta(spark, sf_dir), "standin_batch")
+    return pipeline
+
+
+def q_flow_rerun_older_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs A, B (the same keys, other counters), then A again: M2 as after A alone."""
+    pipeline = _pipeline_before_batch(spark, sf_dir)
+    a = standins.pipeline_delta(spark, sf_dir)
+    _run(pipeline, a, "a")
+    _run(pipeline, a.withColumn("yes_rsvp_count", F.col("yes_rsvp_count") + 1000), "b")
+    _run(pipeline, a, "a")
+    return pipeline.read_mart("agg_events_by_city").drop("processed_at")
+
+
+def q_flow_crash_new_run_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that ended after its merge, then another one, of a few of its keys, under a
+    new run id: M5 holds the changes of both."""
+    pipeline = _pipeline_before_batch(spark, sf_dir)
+    delta = standins.pipeline_delta(spark, sf_dir)
+    _run(pipeline, delta, "lost", build=False)
+    few = F.pmod(F.xxhash64("event_id"), F.lit(64)) == 0
+    _run(pipeline, delta.filter(few), "next")
+    return pipeline.read_mart("agg_events_by_group").drop("processed_at")
+
+
 def q_flow_city_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pipeline_after_batch(spark, sf_dir).read_mart("agg_events_by_city") \
         .drop("processed_at")
@@ -419,6 +456,8 @@ def q_flow_group_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES.update({
     "flow_city_after_batch": q_flow_city_after_batch,
     "flow_group_after_batch": q_flow_group_after_batch,
+    "flow_rerun_older_run": q_flow_rerun_older_run,
+    "flow_crash_new_run_id": q_flow_crash_new_run_id,
 })
 
 

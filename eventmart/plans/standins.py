@@ -10,7 +10,8 @@ through value predicates so the NULL/UNKNOWN/fan-out paths are exercised:
 * venues keep suppliers of nations below 20 → unknown venues; some events have
   no venue id at all;
 * categories come from ``nation`` and one group category id (25) has no row;
-* topics keep parts of size ≤ 40 → the bridge's own topic name is the fallback.
+* topics of parts of size > 40 have a key no link uses → the bridge's own topic name is
+  the fallback.
 
 Numeric measures are integers, or doubles on a quarter grid with small
 magnitude, so every sum is exact whatever the summation order; averages then
@@ -129,16 +130,22 @@ def raw_events(spark: SparkSession, sf_dir: str, hot_keys: bool = False) -> Data
     )
 
 
+def _unused_if(condition: Column, key: str) -> Column:
+    """The key, negated where ``condition`` holds: all rows stay, those are orphans."""
+    return F.when(condition, -F.col(key)).otherwise(F.col(key))
+
+
 def raw_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """19 raw group columns from ``orders`` whose status is not ``P``."""
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
+    """19 raw group columns from ``orders``; those with status ``P`` get a key that no
+    event uses (negated), so their events find no group."""
+    o = read_table(spark, sf_dir, "orders")
     prio, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     category = F.when(prio == "5-LOW", _null("bigint")).otherwise(
         F.substring(prio, 1, 1).cast("bigint") * 6
         + F.when(status == "F", F.lit(0)).otherwise(F.lit(1))
     )
     return o.select(
-        F.col("o_orderkey").alias("group_id"),
+        _unused_if(status == "P", "o_orderkey").alias("group_id"),
         category.alias("category_id"),
         F.when((status == "F") & (prio == "1-URGENT"), F.lit("own urgent"))
         .otherwise(_null("string")).alias("category.name"),
@@ -163,10 +170,11 @@ def raw_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """12 raw venue columns from suppliers of nations below 20."""
-    s = read_table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") < 20)
+    """12 raw venue columns from suppliers; those of nations from 20 on get a key that
+    no event uses (negated)."""
+    s = read_table(spark, sf_dir, "supplier")
     return s.select(
-        F.col("s_suppkey").alias("venue_id"),
+        _unused_if(F.col("s_nationkey") >= 20, "s_suppkey").alias("venue_id"),
         F.col("s_name").alias("venue_name"),
         F.concat(F.lit("City "), F.col("s_nationkey")).alias("city"),
         F.when(F.col("s_acctbal") < 0, _null("string")).otherwise(F.lit("ST")).alias("state"),
@@ -206,8 +214,10 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_size") <= 40)
-    return p.select(F.col("p_partkey").alias("topic_id"), F.col("p_name").alias("topic_name"))
+    """Topics from ``part``; those of a size over 40 get a key that no link uses (negated)."""
+    p = read_table(spark, sf_dir, "part")
+    return p.select(_unused_if(F.col("p_size") > 40, "p_partkey").alias("topic_id"),
+                    F.col("p_name").alias("topic_name"))
 
 
 def raw_groups_topics(spark: SparkSession, sf_dir: str) -> DataFrame:

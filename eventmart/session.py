@@ -74,8 +74,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """Root for intermediate tables written by this package (next to checkpoints)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return base.rstrip("/") + "/eventmart-scratch"
 
 

@@ -42,6 +42,31 @@ WRITE_OPTIONS = {
 }
 
 
+def plain_path(path: Column) -> Column:
+    """A path as it is written: ``_metadata.file_path`` is URL-encoded, readers are not."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def header_groups(reader, paths: str | Sequence[str]) -> list[list[str]]:
+    """The files of ``paths`` by header line: one read for each distinct header.
+
+    Spark binds all files of one read to one header by position, so files that
+    name their columns in another order need a read of their own.  The file list
+    comes to the driver only where headers differ; with one header (the normal
+    case) the paths are returned as given.
+    """
+    given = [paths] if isinstance(paths, str) else list(paths)
+    lines = reader.text(given).select(
+        plain_path(F.col("_metadata.file_path")).alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    ).filter(F.col("at.file_block_start") == 0)
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    if first.select("header").distinct().limit(2).count() < 2:
+        return [given]
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [r["files"] for r in groups.orderBy("header").collect()]
+
+
 def read_csv_text(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -50,15 +75,28 @@ def read_csv_text(
     with_file_path: bool = False,
     recursive: bool = False,
 ) -> DataFrame:
-    """Read CSV files with every column as string, header names kept verbatim."""
-    reader = spark.read.options(**READ_OPTIONS).option("multiLine", str(multi_line).lower()) \
-        .option("encoding", encoding)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
-    if with_file_path:
-        df = df.withColumn("_file_path", F.col("_metadata.file_path"))
-    return df
+    """Read CSV files with every column as string, header names kept verbatim.
+
+    Each file's columns are bound by its own header: files with another header
+    are read apart and joined by name, columns they lack are NULL.
+    """
+    def listing():
+        reader = spark.read
+        if recursive:
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+        return reader
+
+    parts = []
+    for files in header_groups(listing(), paths):
+        df = listing().options(**READ_OPTIONS).option("multiLine", str(multi_line).lower()) \
+            .option("encoding", encoding).csv(files)
+        if with_file_path:
+            df = df.withColumn("_file_path", plain_path(F.col("_metadata.file_path")))
+        parts.append(df)
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def null_token_free(c: Column) -> Column:

@@ -20,13 +20,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmart.plans.flows import EVENTS_TABLE, Pipeline, RunContext
+from eventmart.operators.quality import DataQualityError
+from eventmart.plans.flows import EVENTS_TABLE, DeltaLoadError, Pipeline, RunContext
 from eventmart.sinks.tables import BUCKET_COL
 from eventmart.sources import csv as csv_src
 
@@ -86,9 +86,10 @@ def start_incremental(
             pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
                                export_root=export_root,
                                staging_root=f"{checkpoint_dir.rstrip('/')}/_merge")
-        except (ValueError, PySparkException):
-            # A failed gate, or a file whose values do not fit the table's
-            # types (the strict load rejects it, as a bulk load would).
+        except (DataQualityError, DeltaLoadError):
+            # A failed gate, or a file whose values do not fit the table's types (the
+            # strict load rejects it, as a bulk load would).  Any other failure - storage,
+            # a lost job - always stops the query, so that the batch is replayed.
             if on_failure != "quarantine":
                 raise
 

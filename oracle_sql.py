@@ -77,7 +77,7 @@ RAW_EVENTS = """raw_events AS (
 
 RAW_GROUPS = """raw_groups AS (
   SELECT
-    o_orderkey AS group_id,
+    CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS group_id,
     CASE WHEN o_orderpriority = '5-LOW' THEN NULL
          ELSE CAST(substr(o_orderpriority, 1, 1) AS BIGINT) * 6
               + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END END AS category_id,
@@ -101,12 +101,11 @@ RAW_GROUPS = """raw_groups AS (
     o_custkey AS "organizer.member_id",
     'Customer#' || o_custkey AS "organizer.name"
   FROM orders
-  WHERE o_orderstatus <> 'P'
 )"""
 
 RAW_VENUES = """raw_venues AS (
   SELECT
-    s_suppkey AS venue_id,
+    CASE WHEN s_nationkey >= 20 THEN -s_suppkey ELSE s_suppkey END AS venue_id,
     s_name AS venue_name,
     'City ' || s_nationkey AS city,
     CASE WHEN s_acctbal < 0 THEN NULL ELSE 'ST' END AS state,
@@ -119,7 +118,6 @@ RAW_VENUES = """raw_venues AS (
     CAST(s_nationkey AS BIGINT) AS rating_count,
     CAST(NULL AS DOUBLE) AS normalised_rating
   FROM supplier
-  WHERE s_nationkey < 20
 )"""
 
 RAW_CATEGORIES = """raw_categories AS (
@@ -129,7 +127,8 @@ RAW_CATEGORIES = """raw_categories AS (
 )"""
 
 RAW_TOPICS = """raw_topics AS (
-  SELECT p_partkey AS topic_id, p_name AS topic_name FROM part WHERE p_size <= 40
+  SELECT CASE WHEN p_size > 40 THEN -p_partkey ELSE p_partkey END AS topic_id,
+         p_name AS topic_name FROM part
 )"""
 
 RAW_GROUPS_TOPICS = """raw_groups_topics AS (
@@ -425,7 +424,7 @@ SQL_CSV_BIND_BY_NAME = f"WITH {DELTA_EVENTS}\n" + """SELECT event_id, event_name
 FROM src"""
 
 SQL_ENCODING_DETECT = """SELECT doc_id, lang,
-  CASE WHEN lang IN ('en', 'fr') THEN 'utf-8-sig'
+  CASE WHEN coalesce(lang NOT IN ('de', 'es'), true) THEN 'utf-8-sig'
        WHEN regexp_matches(text, '[^\x00-\x7F]') THEN 'cp1252'
        ELSE 'utf-8-sig' END AS detected_encoding,
   text
@@ -591,6 +590,8 @@ def oracle_sql() -> dict[str, str]:
         "agg_events_by_group_hot_keys": SQL_AGG_EVENTS_BY_GROUP_HOT,
         "flow_city_after_batch": SQL_FLOW_CITY_AFTER_BATCH,
         "flow_group_after_batch": SQL_FLOW_GROUP_AFTER_BATCH,
+        "flow_rerun_older_run": SQL_FLOW_CITY_AFTER_BATCH,
+        "flow_crash_new_run_id": SQL_FLOW_GROUP_AFTER_BATCH,
         "agg_groups_by_category_shuffled": SQL_AGG_GROUPS_BY_CATEGORY,
         "events_enriched_fanout": SQL_EVENTS_ENRICHED_FANOUT,
         "agg_events_by_city_fanout": SQL_AGG_EVENTS_BY_CITY_FANOUT,

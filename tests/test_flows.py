@@ -287,3 +287,32 @@ def test_replayed_batch_keeps_its_exports(pipeline, spark, tmp_path):
     assert os.path.exists(os.path.join(out, "agg_events_by_city", "run_exp", "_SUCCESS"))
     with pytest.raises(Exception, match="(?i)already exists"):
         pipeline.export("exp", root=out)          # a plain export still refuses to overwrite
+
+
+def _marts(pipeline):
+    def snapshot(name):
+        df = pipeline.read_mart(name).drop("processed_at")
+        return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+    return {n: snapshot(n) for n in ("agg_events_by_city", "agg_events_by_group")}
+
+
+def _one_event(spark, event, yes):
+    return spark.createDataFrame(
+        [(event, yes, 7, 7, 1800000000000, "cancelled", 1)],
+        "event_id string, yes_rsvp_count bigint, maybe_rsvp_count bigint, "
+        "waitlist_count bigint, updated bigint, event_status string, group_id bigint")
+
+
+def test_an_older_run_again_and_a_lost_run_leave_the_marts_right(pipeline, spark):
+    pipeline.build_marts()
+    for run, yes in (("a", 70), ("b", 2), ("a", 70)):
+        pipeline.run_batch(_one_event(spark, "e1", yes), RunContext(run_id=run), expected_rows=1)
+    # A run that ends after its merge, then one of another event under a new id.
+    pipeline.run_batch(_one_event(spark, "e1", 54), RunContext(run_id="lost"), expected_rows=1, build=False)
+    assert pipeline.unfinished_runs() == ["lost"]
+    pipeline.run_batch(_one_event(spark, "e2", 9), RunContext(run_id="new"), expected_rows=1)
+    assert pipeline.unfinished_runs() == []
+    after = _marts(pipeline)
+    pipeline.build_marts()
+    assert _marts(pipeline) == after

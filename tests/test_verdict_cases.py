@@ -1,0 +1,76 @@
+"""Cases reached only by a second file, a second run or a second setting."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import types as T
+
+from eventmart.sinks import exports
+from eventmart.sinks.tables import TableStore, merge_into, write_bucketed
+from eventmart.sources import csv as csv_src
+from eventmart.sources import encoding, inference
+
+COUNTS = "event_id string, yes bigint, maybe bigint"
+
+
+def _file(folder, name, text, charset="utf-8"):
+    path = folder / name
+    path.write_bytes(text.encode(charset))
+    return str(path)
+
+
+def test_each_file_is_bound_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "in put+x"
+    folder.mkdir()
+    files = [_file(folder, "a b.csv", "event_id,yes,maybe\nx1,1,2\n"),
+             _file(folder, "c.csv", "event_id,maybe,yes\nx2,2,1\n"),
+             _file(folder, "d.csv", "YES,event_id\n1,x3\n")]
+    schema = T._parse_datatype_string(COUNTS)
+    for paths in (files, str(folder)):
+        rows = sorted(map(tuple, csv_src.read_by_name(spark, paths, schema).collect()))
+        assert rows == [("x1", 1, 2), ("x2", 1, 2), ("x3", 1, None)]
+
+
+def test_paths_with_blanks_and_latin1_files(spark, tmp_path):
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    _file(folder, "a b.csv", "k,v\n1,\u00e9\x81\n", "iso-8859-1")
+    _file(folder, "c.csv", "v,k\n\u20ac,2\n", "cp1252")
+    _file(folder, "d.csv", "k,v\n3,\u20ac\n")
+    rows, labels = encoding.load_csv_any_encoding(spark, str(folder))
+    assert sorted((r["k"], r["v"], r["detected_encoding"]) for r in rows.collect()) == [
+        ("1", "\u00e9\x81", "iso-8859-1"), ("2", "\u20ac", "cp1252"), ("3", "\u20ac", "utf-8-sig")]
+    assert all(" " in r["file_path"] and "%" not in r["file_path"] for r in labels.collect())
+
+
+def test_wide_integers_keep_their_digits(spark):
+    wide = ["12345678901234567890", "12345678901234567891", "-7"]
+    df = spark.createDataFrame(
+        [(w, w, str(i), f"{i}.5", "1" * 39) for i, w in enumerate(wide)] + [(None, "1.5", "1.5", "2", "1")],
+        "a string, b string, c string, d string, e string")
+    out = inference.infer_and_cast(df)
+    assert [t for _, t in out.dtypes] == ["decimal(38,0)", "string", "double", "double", "string"]
+    assert [r["a"] for r in out.collect()] == [*(Decimal(w) for w in wide), None]
+    assert [r["b"] for r in out.collect()] == [*wide, "1.5"]
+
+
+def test_another_bucket_count_is_refused(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), use_catalog=False)
+    df = spark.createDataFrame([(f"e{i}", i) for i in range(20)], "event_id string, n int")
+    write_bucketed(store, df, "raw", "events", "event_id", 4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        merge_into(store, df, "raw", "events", "event_id", ["n"], 64, str(tmp_path / "s"))
+    merge_into(store, df.selectExpr("event_id", "n + 1 as n"), "raw", "events", "event_id", ["n"], 4, str(tmp_path / "s"))
+    assert sorted(r["n"] for r in store.read("raw", "events").collect()) == list(range(1, 21))
+    merge_into(store, df, "raw", "events", "event_id", ["n"], 4, str(tmp_path / "s2"))
+    assert store.read("raw", "events").count() == 20
+
+
+def test_exports_keep_their_layout_at_any_size(spark, tmp_path):
+    df = spark.range(100).repartition(3)
+    many = exports.export_csv(df, str(tmp_path), "agg_events_by_city", "1")
+    one = exports.export_csv(df, str(tmp_path), "agg_events_by_city", "2", single_file=True)
+    parts = lambda p: len(spark.read.text(p).inputFiles())
+    assert (parts(many), parts(one)) == (3, 1)
