@@ -9,10 +9,11 @@ product is  |x| |q| <code, q'> / <code, x'>  and is off by at most
 
 except with a probability that falls with ``bound``.
 
-Search: queries and vectors meet block against block.  In a pair of blocks a
-vector is reranked on the original components, in double precision, when its
-estimate plus error reaches the query's k-th best lower bound; each pair of
-blocks returns k rows a query at most, and the k best of those are the result.
+Search: queries and vectors meet block against block.  In a pair of blocks the k
+vectors with the best estimates are scored on the original components, in double
+precision; a further vector is reranked when its estimate plus error reaches the
+lowest of these scores.  Each pair of blocks returns k rows a query at most, and
+the k best of those are the result.
 
 * Vectors that are null, zero, empty or hold null or non-finite components take
   no part.  So do rows without a vec_id.  Vectors of another dimension than the
@@ -35,8 +36,10 @@ from pyspark.sql.window import Window
 from .common import small_batches, written
 
 #: Rows of a block of vectors and of a block of queries.
-VECTORS, QUERIES = 8192, 512
-BOUND = 4.0
+VECTORS, QUERIES = 4096, 4096
+#: Queries that are estimated at once within a pair of blocks.
+STEP = 256
+BOUND = 3.0
 
 
 def rotation(dim: int, seed: int = 5) -> np.ndarray:
@@ -76,35 +79,50 @@ def index(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding")
 
 
 def best_of_pair(queries: pd.DataFrame, rows: pd.DataFrame, k: int, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, vector ids and scores of the k best of ``rows`` for each of ``queries``."""
+    """Query ids, vector ids and scores of the k best of ``rows`` for each of ``queries``.
+
+    The k rows with the best estimates are scored first; the lowest of these
+    scores is the floor that any other row's estimate plus error has to reach.
+    """
     q, x = np.stack(queries["x"].to_numpy()), np.stack(rows["x"].to_numpy())
     qid, xid = queries["id"].to_numpy(), rows["id"].to_numpy()
     dim = x.shape[1]
     bits = np.unpackbits(np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1), axis=1, count=dim)
-    signs = (bits.astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dim))
     norm, fit = rows["norm"].to_numpy(), np.minimum(rows["fit"].to_numpy(), 1)
+    signs = ((bits * 2.0 - 1) / np.sqrt(dim) * (norm / fit)[:, None]).T.astype(np.float32)
+    spread = (norm * np.sqrt((1 - fit**2) / fit**2) * bound / np.sqrt(max(dim - 1, 1)) + 1e-5 * norm).astype(np.float32)
     turned = (q @ rotation(dim)).astype(np.float32)
-    estimate = (turned @ signs.T) * (norm / fit).astype(np.float32)
-    spread = norm * np.sqrt((1 - fit**2) / fit**2) * bound / np.sqrt(max(dim - 1, 1)) + 1e-5 * norm
-    error = np.linalg.norm(q, axis=1)[:, None].astype(np.float32) * spread.astype(np.float32)[None, :]
-    own = qid[:, None] == xid[None, :]
-    estimate[own] = -np.inf
-    if len(rows) > k:
-        low = estimate - error
-        floor = np.partition(low, len(rows) - k, axis=1)[:, len(rows) - k]
-        keep = (estimate + error >= floor[:, None]) & ~own
-    else:
-        keep = ~own
-    i, j = np.nonzero(keep)
-    score = np.empty(len(i))
-    for at in range(0, len(i), 200_000):
-        s = slice(at, at + 200_000)
-        score[s] = np.einsum("ij,ij->i", q[i[s]], x[j[s]])
-    order = np.lexsort((xid[j], -score, i))
-    i, j, score = i[order], j[order], score[order]
-    place = np.arange(len(i)) - np.searchsorted(i, i)
-    top = place < k
-    return qid[i[top]], xid[j[top]], score[top]
+    lengths = np.linalg.norm(q, axis=1).astype(np.float32)
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for at in range(0, len(q), STEP):
+        part = slice(at, at + STEP)
+        estimate = turned[part] @ signs
+        own = qid[part][:, None] == xid[None, :]
+        estimate[own] = -np.inf
+        if len(rows) > k:
+            best = np.argpartition(estimate, len(rows) - k, axis=1)[:, len(rows) - k :]
+            exact = np.einsum("id,ikd->ik", q[part], x[best])
+            exact[np.take_along_axis(own, best, axis=1)] = -np.inf
+            estimate += lengths[part][:, None] * spread[None, :]
+            near = estimate >= exact.min(axis=1).astype(np.float32)[:, None] - np.float32(1e-5) * lengths[part][:, None]
+            if np.count_nonzero(near) > near.size // 50:
+                # Many to rerank: all products in one multiplication, of which those near the k-th best go on.
+                product = q[part] @ x.T
+                product[own | ~near] = -np.inf
+                floor = np.partition(product, len(rows) - k, axis=1)[:, len(rows) - k]
+                near &= product >= (floor - 1e-9 * lengths[part] * norm.max())[:, None]
+            i, j = np.nonzero(near & ~own)
+        else:
+            i, j = np.nonzero(~own)
+        score = np.empty(len(i))
+        for start in range(0, len(i), 100_000):
+            s = slice(start, start + 100_000)
+            score[s] = np.einsum("ij,ij->i", q[part][i[s]], x[j[s]])
+        order = np.lexsort((xid[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        top = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((qid[part][i[top]], xid[j[top]], score[top]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def search(
