@@ -120,35 +120,27 @@ def runs(data: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray
 
 # ---- suffix array -----------------------------------------------------------
 
-def dense_rank(values: np.ndarray) -> tuple[np.ndarray, int]:
-    order = np.argsort(values)
-    new = np.ones(len(values), np.int64)
-    s = values[order]
-    new[1:] = s[1:] != s[:-1]
-    rank = np.empty(len(values), np.int64)
-    rank[order] = np.cumsum(new) - 1
-    return rank, int(new.sum())
-
-
 def suffix_array(data: np.ndarray, places: np.ndarray, before: np.ndarray, left: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, lcp): the suffixes at ``places`` that can begin a maximal repeat, in
     order, and the common prefix of each with the one before it (under ``window``: 0).
 
     ``left`` is the number of bytes a suffix has, ``before`` the byte in front of
-    it.  Ranks are doubled up to ``window`` bytes.  Suffixes that agree on them and
-    all follow the same byte begin no maximal repeat, so they are left out; the
-    others are ordered by the bytes that follow.
+    it; ``data`` is padded at its end.  Suffixes are sorted by their first
+    ``window`` bytes, eight at a time.  Those that agree on them and all follow the
+    same byte begin no maximal repeat, so they are left out; the others are ordered
+    by the bytes that follow.
     """
-    rank, n = dense_rank(words_at(np.concatenate((data, np.zeros(8, np.uint8)))))
-    have = 8
-    while have < window:
-        step = min(have, window - have)
-        pair = rank * np.int64(n + 1)
-        pair[:-step] += rank[step:] + 1
-        rank, n = dense_rank(pair)
-        have += step
-    rank = rank[places]
-    order = np.argsort(rank, kind="stable")
+    word = words_at(np.concatenate((data, np.zeros(8, np.uint8))))
+    keys = [word[places + at] for at in range(0, window - 7, 8)]
+    if window % 8:
+        keys.append(word[places + window - window % 8] >> np.uint64(64 - 8 * (window % 8)))
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), np.int64)
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new)
     r = rank[order]
     first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1]))) if len(r) else np.empty(0, np.int64)
     if not len(first):
@@ -235,12 +227,16 @@ def repeated_spans(contexts: list[bytes], docs: list[int], window: int) -> list[
     places = starts[of] + offset
     before = np.where(offset > 0, data[places - 1].astype(np.int64), 256 + of)
     order, lcp = suffix_array(data, places, before, sizes[of] - offset, window)
-    owner, at = chosen[of[order]].tolist(), offset[order].tolist()
+    # Of each suffix the longest repeat that a smaller doc has too.
+    doc = np.array(docs, np.int64)[chosen[of[order]]]
+    longest = np.zeros(len(order), np.int64)
     for length, first, end in maximal_repeats(order, lcp, before, window):
-        least = min(docs[c] for c in owner[first:end])
-        for c, o in zip(owner[first:end], at[first:end], strict=True):
-            if docs[c] > least:
-                spans[c].append((o, o + length))
+        own = doc[first:end]
+        part = longest[first:end]
+        np.maximum(part, np.where(own > own.min(), length, 0), out=part)
+    gone = np.flatnonzero(longest)
+    for c, a, b in merged(np.column_stack((chosen[of[order[gone]]], offset[order[gone]], offset[order[gone]] + longest[gone]))):
+        spans[c].append((a, b))
     return spans
 
 
