@@ -8,10 +8,14 @@
                                                [--run-id …] [--expected-rows N]
     spark-submit eventmart/cli.py stream       --warehouse … [--delta-dir …] --checkpoint …
                                                [--available-now] [--quarantine]
+    spark-submit eventmart/cli.py announce     --warehouse … --manifest <csv: file,row_count>
+                                               [--run-id …]
     spark-submit eventmart/cli.py compact      --warehouse … --table monitoring.dq_results
 
 (On a cluster ship the package with ``--py-files``; locally ``python -m eventmart.cli``.)
 
+``--multi-line`` (load-raw, batch, stream) reads line breaks inside quoted fields.
+
 Paths default to the settings (``EVENTMART_*`` environment variables).  The
 session comes from the cluster; ``--master`` is for local runs.
 """
@@ -36,7 +40,7 @@ from eventmart.sources import csv as csv_src
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="eventmart")
     p.add_argument("command", choices=["setup", "load-raw", "build-marts", "export", "batch",
-                                        "stream", "compact"])
+                                        "stream", "announce", "compact"])
     p.add_argument("--warehouse", required=True, help="root of the table store")
     p.add_argument("--master", default=None)
     p.add_argument("--buckets", type=int, default=64, help="hash buckets of keyed tables")
@@ -53,6 +57,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--quarantine", action="store_true")
     p.add_argument("--no-build", action="store_true", help="merge only, no mart refresh")
+    p.add_argument("--manifest", default=None, help="announced files: CSV with file,row_count")
+    p.add_argument("--multi-line", action="store_true")
     p.add_argument("--table", default=None, help="database.table to compact")
     p.add_argument("--files", type=int, default=1, help="files after compaction")
     return p
@@ -68,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "setup":
         pipeline.setup()
     elif args.command == "load-raw":
-        out = pipeline.load_raw(source_dir=args.source, normalized_dir=args.normalized)
+        out = pipeline.load_raw(source_dir=args.source, normalized_dir=args.normalized,
+                                multi_line=args.multi_line)
     elif args.command == "build-marts":
         results = pipeline.build_marts()
         out = [r.asDict() for r in results.collect()]  # ≤ 21 test rows
@@ -77,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "batch":
         raw_db = settings.catalog.raw_db
         schema = pipeline.store.read(raw_db, EVENTS_TABLE).drop(BUCKET_COL).schema
-        stage = csv_src.read_by_name(spark, args.delta, schema)
+        stage = csv_src.read_by_name(spark, args.delta, schema, multi_line=args.multi_line)
         ctx = RunContext(run_id=args.run_id) if args.run_id else RunContext()
         out = pipeline.run_batch(stage, ctx, expected_rows=args.expected_rows,
                                  build=not args.no_build, export_root=args.exports)
@@ -89,9 +96,17 @@ def main(argv: list[str] | None = None) -> int:
         query = start_incremental(
             pipeline, args.delta_dir or settings.storage.incremental_dir, args.checkpoint,
             available_now=args.available_now, build=not args.no_build,
-            export_root=args.exports,
+            export_root=args.exports, multi_line=args.multi_line,
             on_failure="quarantine" if args.quarantine else "raise")
         query.awaitTermination()
+    elif args.command == "announce":
+        from eventmart.streaming.incremental import announce_manifest
+
+        if not args.manifest:
+            raise SystemExit("--manifest is required for announce")
+        ctx = RunContext(run_id=args.run_id) if args.run_id else RunContext()
+        announce_manifest(pipeline, csv_src.read_csv_text(spark, args.manifest), ctx)
+        out = args.manifest
     elif args.command == "compact":
         if not args.table or "." not in args.table:
             raise SystemExit("--table database.table is required for compact")

@@ -61,6 +61,7 @@ def start_incremental(
     export_root: str | None = None,
     dag_id: str = "eventmart_incremental",
     on_failure: str = "raise",
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Start the micro-batch query.
 
@@ -79,7 +80,7 @@ def start_incremental(
             return
         target_schema = pipeline.store.read(raw_db, EVENTS_TABLE).drop(BUCKET_COL).schema
         # Read by header name; run_batch writes it to the stage table before use.
-        stage = csv_src.read_by_name(spark, paths, target_schema)
+        stage = csv_src.read_by_name(spark, paths, target_schema, multi_line=multi_line)
         ctx = RunContext(dag_id=dag_id, run_id=f"{stream_name}_batch_{batch_id}",
                          task_id="stream_batch")
         try:
@@ -101,6 +102,27 @@ def start_incremental(
     return writer.start()
 
 
+def announce_manifest(pipeline: Pipeline, manifest: DataFrame, context: RunContext) -> None:
+    """Record what the producer of the deltas announces: ``manifest`` has a row for each
+    file, with ``file`` (the path the stream sees) and ``row_count``.
+
+    Each file gets an audit row when it was generated and one when it was uploaded;
+    the gate compares the latest announcement with the rows that arrive.
+    """
+    from eventmart.config.schemas import FILE_AUDIT_SCHEMA
+    from eventmart.sinks import monitoring
+
+    rows = manifest.select(
+        F.lit(context.dag_id).alias("dag_id"), F.lit(context.run_id).alias("run_id"),
+        F.lit("announce").alias("task_id"),
+        F.regexp_extract("file", "[^/]+$", 0).alias("file_name"), F.col("file").alias("s3_key"),
+        F.col("row_count").cast("bigint").alias("row_count"), F.lit("SUCCESS").alias("status"),
+        F.explode(F.array(F.lit("DELTA_GENERATED"), F.lit("DELTA_UPLOADED"))).alias("event_type"),
+        F.current_timestamp().alias("processed_at"))
+    pipeline.store.append(csv_src.bind_by_name(rows, FILE_AUDIT_SCHEMA),
+                          pipeline.settings.catalog.monitoring_db, monitoring.AUDIT_TABLE)
+
+
 def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext,
                    event_type: str = "DELTA_GENERATED") -> DataFrame:
     """Record an audit row (``DELTA_GENERATED`` or ``DELTA_UPLOADED``) per delta file.

@@ -41,3 +41,37 @@ def test_cli_flows(spark, tmp_path, capsys, monkeypatch):
     assert _run(capsys, "compact", *common, "--table", "monitoring.dq_results")["result"] \
         == "monitoring.dq_results"
     assert spark.sql("SELECT count(*) FROM monitoring.dq_results").first()[0] == 6
+
+
+def test_announced_counts_and_line_breaks(spark, tmp_path, capsys, monkeypatch):
+    """A stream of a delta with a quoted line break passes with the right announced count,
+    and fails with a wrong one; a later announcement replaces an earlier one."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    monkeypatch.setenv("EVENTMART_ROOT", str(tmp_path / "bucket"))
+    wh, landing, deltas = str(tmp_path / "wh"), str(tmp_path / "landing"), tmp_path / "del ta"
+    _landing(landing)
+    common = ["--warehouse", wh, "--buckets", "4"]
+    _run(capsys, "setup", *common)
+    _run(capsys, "load-raw", *common, "--source", landing)
+    deltas.mkdir()
+    (deltas / "d 1.csv").write_text('event_id,event_name,event_status\ne99,"two\nlines",upcoming\ne2,x,cancelled\n')
+    from eventmart.streaming.incremental import delta_file_stream  # noqa: F401 - the path form is the stream's
+    seen = spark.read.format("binaryFile").load(str(deltas)).select("path").first()[0]
+
+    def announce(n):
+        manifest = tmp_path / f"manifest{n}.csv"
+        manifest.write_text(f'file,row_count\n"{seen}",{n}\n')
+        _run(capsys, "announce", *common, "--manifest", str(manifest))
+
+    stream = ["stream", *common, "--delta-dir", str(deltas), "--checkpoint", str(tmp_path / "ckpt"), "--available-now", "--no-build", "--multi-line"]
+    announce(5)
+    with pytest.raises(StreamingQueryException):
+        cli.main(stream)
+    announce(2)
+    _run(capsys, *stream)
+    rows = spark.read.parquet(f"{wh}/raw/events").filter("event_name like 'two%'").collect()
+    assert [r["event_id"] for r in rows] == ["e99"]
+    audit = spark.read.parquet(f"{wh}/monitoring/file_audit").filter("task_id = 'announce'")
+    assert sorted(r["event_type"] for r in audit.collect()) == ["DELTA_GENERATED"] * 2 + ["DELTA_UPLOADED"] * 2
