@@ -1,17 +1,18 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A paragraph is a line, or a sentence of one; a document is the set of its
-paragraphs' 64-bit digests.  A sketch has ``CELLS`` cells in three equal parts;
-each digest is added to one cell of each part: a count, the XOR of the digests
-and the XOR of their checks.  Sketches of two versions subtract cell by cell,
-so what both have vanishes; a cell with one digest left (count of 1 or -1, and
-check in order) gives it away, it is taken out of its other cells, and so on.
-
-Where cells remain, the sketch was too small, and a larger one is tried: four
-sketches in its place, each of a quarter of the digests by further bits of
-their hash, and so on for those that still fail.  A sketch whose two versions differ in count by more
-than its cells can hold is known to fail and goes on at once.  After ``LEVELS`` levels
-(digests that agree in 40 bits of their hash) what remains counts as different.
+paragraphs' 64-bit digests.  A sketch has cells in three equal parts; each digest
+is added to one cell of each part: a count, the XOR of the digests and the XOR of
+their checks.  Sketches of two versions subtract cell by cell, so what both have
+vanishes; a cell with one digest left (count of 1 or -1, and check in order) gives
+it away, it is taken out of its other cells, and so on.
+
+Where cells remain, the sketch was too small, and a larger one is tried, then 4 or
+16 such in its place, by further bits of the digests' hash, as its cells' counts
+suggest, and so on for those that still fail.  A sketch whose two versions differ
+by more than it can hold - in number, or by that estimate - is known to fail and
+is split at once.  After ``LEVELS`` levels (digests that agree in at least 24 bits
+of their hash) what remains counts as different.
 
 The likeness of two versions is  common / (common + only here + only there),
 1 where both are empty.  The fingerprint is the first sketch in hexadecimal.
@@ -28,9 +29,13 @@ from pyspark.sql.window import Window
 
 from .common import NULL_ID, ids_and_texts, partitions
 
-PART = 6
-CELLS = 3 * PART
-LEVELS = 20
+#: Cells of a part of the first sketch, the fingerprint, and of the larger ones.
+PART, LARGE = 6, 16
+LEVELS = 12
+#: A larger sketch with more differing digests than this, by estimate, is not tried.
+HOPELESS = 2 * LARGE
+#: The cell columns of a placed digest, by the size of a part.
+COLUMNS = {PART: "xyz", LARGE: "uvw"}
 _BREAK = r"\n+|(?<=[.?])\s+"
 
 
@@ -39,50 +44,82 @@ def let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def placed(digest: str) -> str:
-    """SQL: a digest k with its check h, its cells x, y, z, and g for the larger sketches."""
-    cell = lambda n: f"cast({n * PART} + pmod(xxhash64({digest}, {n + 1}), {PART}) as int)"
-    return f"named_struct('k', {digest}, 'h', xxhash64({digest}, 99), 'x', {cell(0)}, 'y', {cell(1)}, 'z', {cell(2)}, 'g', xxhash64({digest}, 4))"
+def struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def cells_of(digest: str, part: int) -> dict[str, str]:
+    """SQL: a digest k, its check h and its cell in each part."""
+    cells = {c: f"cast({n * part} + pmod(xxhash64({digest}, {n + 1}), {part}) as int)" for n, c in enumerate(COLUMNS[part])}
+    return {"k": digest, "h": f"xxhash64({digest}, 99)"} | cells
 
 
 def digests(text: str) -> str:
-    """SQL: the digests of a text's paragraphs, placed."""
-    return f"transform(array_distinct(transform(filter(split({text}, r'{_BREAK}'), u -> u <> ''), u -> xxhash64(u))), d -> {placed('d')})"
+    """SQL: the digests of a text's paragraphs, each once."""
+    return f"array_distinct(transform(filter(split({text}, r'{_BREAK}'), u -> u <> ''), u -> xxhash64(u)))"
+
+
+def items(digest_array: str) -> str:
+    """SQL: digests with their cells in both sizes, and g to choose among several sketches."""
+    return f"transform({digest_array}, d -> {struct(**cells_of('d', PART) | cells_of('d', LARGE), g='xxhash64(d, 4)')})"
 
 
-def sketch(items: str) -> str:
-    """SQL: the cells of placed digests."""
-    return f"""transform(sequence(0, {CELLS - 1}), c -> aggregate(filter({items}, e -> e.x = c or e.y = c or e.z = c),
-        named_struct('n', 0, 'k', 0L, 'h', 0L), (s, e) -> named_struct('n', s.n + 1, 'k', s.k ^ e.k, 'h', s.h ^ e.h)))"""
+def sketch(of: str, part: int) -> str:
+    """SQL: the cells of placed digests, part by part."""
+    zero, add = struct(n="0", k="0L", h="0L"), struct(n="s.n + 1", k="s.k ^ e.k", h="s.h ^ e.h")
+    parts = (f"transform(sequence({n * part}, {n * part + part - 1}), c -> aggregate(filter({of}, e -> e.{f} = c), {zero}, (s, e) -> {add}))" for n, f in enumerate(COLUMNS[part]))
+    return f"concat({', '.join(parts)})"
 
 
-def peeled(cells: str) -> str:
-    """SQL: (left, plus, minus) after taking out whatever single digests the cells give away.
+def peeled(cells: str, part: int) -> str:
+    """SQL: (left, plus, minus, on) after taking out whatever single digests the cells give away.
 
-    A round takes all of them at once; a round that finds none changes nothing.
+    A round takes all of them at once; the first one that finds none is the last.
     """
     pure = "filter(st.left, x -> abs(x.n) = 1 and x.h = xxhash64(x.k, 99))"
-    keys = f"transform(array_distinct(transform({pure}, x -> named_struct('n', x.n, 'k', x.k))), p -> {let(placed('p.k'), 'q', 'named_struct(' + chr(39) + 'n' + chr(39) + ', p.n, ' + chr(39) + 'q' + chr(39) + ', q)')})"
-    without = """transform(st.left, (x, i) -> aggregate(filter(ps, p -> p.q.x = i or p.q.y = i or p.q.z = i), x,
-        (s, p) -> named_struct('n', s.n - p.n, 'k', s.k ^ p.q.k, 'h', s.h ^ p.q.h)))"""
-    after = f"if(size(ps) = 0, st, named_struct('left', {without}, 'plus', st.plus + size(filter(ps, p -> p.n > 0)), 'minus', st.minus + size(filter(ps, p -> p.n < 0))))"
-    return f"aggregate(sequence(1, {CELLS}), named_struct('left', {cells}, 'plus', 0, 'minus', 0), (st, r) -> if(exists(st.left, x -> x.n <> 0 or x.k <> 0L), {let(keys, 'ps', after)}, st))"
+    keys = f"transform(array_distinct(transform({pure}, x -> {struct(n='x.n', k='x.k')})), p -> {struct(n='p.n', **cells_of('p.k', part))})"
+    take = struct(n="s.n - p.n", k="s.k ^ p.k", h="s.h ^ p.h")
+    here = " or ".join(f"p.{c} = i" for c in COLUMNS[part])
+    without = f"transform(st.left, (x, i) -> aggregate(filter(ps, p -> {here}), x, (s, p) -> {take}))"
+    after = struct(left=without, plus="st.plus + size(filter(ps, p -> p.n > 0))", minus="st.minus + size(filter(ps, p -> p.n < 0))", on="size(ps) > 0")
+    stop = struct(left="st.left", plus="st.plus", minus="st.minus", on="false")
+    step = f"if(not st.on, st, {let(keys, 'ps', f'if(size(ps) = 0, {stop}, {after})')})"
+    return f"aggregate(sequence(1, {3 * part}), {struct(left=cells, plus='0', minus='0', on='true')}, (st, r) -> {step})"
+
+
+def tried(a: str, b: str, part: int, differ: str) -> str:
+    """SQL: (ok, plus, minus, differ) of subtracting and peeling two sketches.
+
+    ``differ``: how many digests are known to differ.  Where they are more than the
+    cells can give away, nothing is built.  A failed sketch estimates how many it
+    holds by its cells' squared counts: each differing digest is in three cells.
+    """
+    fewest = f"greatest({differ}, abs(size({a}) - size({b})))"
+    subtract = f"zip_with({sketch(a, part)}, {sketch(b, part)}, (s, t) -> {struct(n='s.n - t.n', k='s.k ^ t.k', h='s.h ^ t.h')})"
+    estimate = f"greatest(abs(size({a}) - size({b})), cast(aggregate(cells, 0, (s, x) -> s + x.n * x.n) / 3 as int))"
+    result = struct(ok="not exists(d.left, x -> x.n <> 0 or x.k <> 0L)", plus="d.plus", minus="d.minus", differ=estimate)
+    known = struct(ok="false", plus="0", minus="0", differ=fewest)
+    return f"if({fewest} > {2 * part}, {known}, {let(subtract, 'cells', let(peeled('cells', part), 'd', result))})"
 
 
 def difference(a: str, b: str) -> str:
-    """SQL: (plus, minus): how many digests only ``a`` and only ``b`` has."""
-    subtract = f"zip_with({sketch('p.a')}, {sketch('p.b')}, (s, t) -> named_struct('n', s.n - t.n, 'k', s.k ^ t.k, 'h', s.h ^ t.h))"
-    hopeless = f"abs(size(p.a) - size(p.b)) > {CELLS}"
-    tried = f"if({hopeless}, named_struct('ok', false, 'plus', 0, 'minus', 0), {let(peeled(subtract), 'd', 'named_struct(' + chr(39) + 'ok' + chr(39) + ', not exists(d.left, x -> x.n <> 0 or x.k <> 0L), ' + chr(39) + 'plus' + chr(39) + ', d.plus, ' + chr(39) + 'minus' + chr(39) + ', d.minus)')})"
-    results = f"transform(state.todo, p -> {let(tried, 't', 'named_struct(' + chr(39) + 't' + chr(39) + ', t, ' + chr(39) + 'a' + chr(39) + ', p.a, ' + chr(39) + 'b' + chr(39) + ', p.b)')})"
-    quarter = lambda side: f"filter(r.{side}, e -> (shiftrightunsigned(e.g, 2 * level) & 3L) = j)"
-    more = f"flatten(transform(filter(rs, r -> not r.t.ok), r -> transform(sequence(0, 3), j -> named_struct('a', {quarter('a')}, 'b', {quarter('b')}))))"
+    """SQL: (plus, minus): how many digests only ``a`` and only ``b`` has.
+
+    ``todo`` holds the sketches still to be tried: their digests on both sides, the
+    bits of the hash that chose them, and how many are expected to differ.
+    """
+    results = f"transform(state.todo, p -> {struct(t=tried('p.a', 'p.b', LARGE, 'p.differ'), a='p.a', b='p.b', bits='p.bits')})"
+    many = f"r.t.differ > {3 * HOPELESS}"
+    child = lambda side: f"filter(r.{side}, e -> (shiftrightunsigned(e.g, r.bits) & if({many}, 15L, 3L)) = j)"
+    part = struct(a=child("a"), b=child("b"), bits=f"r.bits + if({many}, 4, 2)", differ=f"cast(r.t.differ / if({many}, 16, 4) as int)")
+    more = f"filter(flatten(transform(filter(rs, r -> not r.t.ok), r -> transform(sequence(0, if({many}, 15, 3)), j -> {part}))), p -> size(p.a) + size(p.b) > 0)"
     total = lambda side: f"aggregate(filter(rs, r -> r.t.ok), state.{side}, (s, r) -> s + r.t.{side})"
-    step = let(results, "rs", f"named_struct('todo', {more}, 'plus', {total('plus')}, 'minus', {total('minus')})")
+    step = let(results, "rs", struct(todo=more, plus=total("plus"), minus=total("minus")))
     rest = lambda side, of: f"state.{side} + aggregate(state.todo, 0, (s, p) -> s + size(p.{of}))"
-    return f"""aggregate(sequence(0, {LEVELS - 1}), named_struct('todo', array(named_struct('a', {a}, 'b', {b})), 'plus', 0, 'minus', 0),
-        (state, level) -> if(size(state.todo) = 0, state, {step}),
-        state -> named_struct('plus', {rest('plus', 'a')}, 'minus', {rest('minus', 'b')}))"""
+    start = struct(todo=f"array({struct(a=a, b=b, bits='0', differ='f.differ')})", plus="0", minus="0")
+    larger = f"""aggregate(sequence(1, {LEVELS}), {start}, (state, level) -> if(size(state.todo) = 0, state, {step}),
+        state -> {struct(plus=rest('plus', 'a'), minus=rest('minus', 'b'))})"""
+    return let(tried(a, b, PART, "0"), "f", f"if(f.ok, {struct(plus='f.plus', minus='f.minus')}, {larger})")
 
 
 def likeness(a: str, b: str) -> str:
@@ -91,20 +128,21 @@ def likeness(a: str, b: str) -> str:
     return let(difference(a, b), "d", value)
 
 
-def fingerprint(items: str) -> str:
+def fingerprint(of: str) -> str:
     """SQL: the first sketch in hexadecimal: of each cell the count and the digests' XOR."""
-    return f"array_join(transform({sketch(items)}, c -> concat(lower(hex(c.n)), ':', lpad(lower(hex(c.k)), 16, '0'))), '.')"
+    return f"array_join(transform({sketch(of, PART)}, c -> concat(lower(hex(c.n)), ':', lpad(lower(hex(c.k)), 16, '0'))), '.')"
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text: the text of the next document by descending doc_id, after the last the first.
+    """doc_id, text, own (its digests), and next_text and next_own: those of the next
+    document by descending doc_id, after the last the first.
 
     Documents are dealt to ranges of ids with about equal numbers of rows.  The
     first document of each range also goes to the range above it, whose last
     document it follows; of the highest range, to the lowest.  Only the bounds
     (fewer than the ranges) and those first ids pass through the driver.
     """
-    rows = ids_and_texts(docs).withColumn("at", F.coalesce("doc_id", F.lit(-NULL_ID)))
+    rows = ids_and_texts(docs).withColumn("at", F.coalesce("doc_id", F.lit(-NULL_ID))).withColumn("own", F.expr(digests("text")))
     ranges = 4 * partitions(docs.sparkSession)
     cuts = rows.agg(F.percentile_approx("at", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] or []
     cuts = sorted(set(cuts))
@@ -117,10 +155,11 @@ def with_next(docs: DataFrame) -> DataFrame:
         rows.join(guests, rows["at"] == guests["top"], "left")
         .withColumn("c", F.explode(F.when(F.col("to_cell").isNull(), F.array(F.struct("cell", F.lit(False).alias("guest")))).otherwise(
             F.array(F.struct("cell", F.lit(False).alias("guest")), F.struct(F.col("to_cell").alias("cell"), F.lit(True).alias("guest"))))))
-        .select("doc_id", "text", "at", F.col("c.cell").alias("cell"), F.col("c.guest").alias("guest"))
+        .select("doc_id", "text", "own", "at", F.col("c.cell").alias("cell"), F.col("c.guest").alias("guest"))
     )
     order = Window.partitionBy("cell").orderBy("guest", F.desc("at"), "text")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where(~F.col("guest")).select("doc_id", "text", F.coalesce("next_text", "text").alias("next_text"))
+    both = dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order)).where(~F.col("guest"))
+    return both.select("doc_id", "text", "own", F.coalesce("next_text", "text").alias("next_text"), F.coalesce("next_own", "own").alias("next_own"))
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:
@@ -131,7 +170,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     """
     rows = with_next(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 3 as int)), substring(next_text, 1, cast(n_chars div 3 as int)))"))
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.expr(digests("text")).alias("own"), F.expr(digests("edited")).alias("changed"), F.expr(digests("next_text")).alias("following"))
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.expr(items("own")).alias("own"), F.expr(items(digests("edited"))).alias("changed"), F.expr(items("next_own")).alias("following"))
     return rows.select(
         "doc_id",
         "n_chars",
