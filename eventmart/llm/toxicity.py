@@ -12,10 +12,11 @@ and ``CLEAN_ROWS`` clean ones, the first by a hash of their id; of copies one):
 3. Each (term, number of edits) gets a weight: its log-odds over the labelled rows.
 4. A logistic regression over a document's window scores gives the score.
 
-Scoring runs the table over all words of a text at once.  A hit's window is the
-``REACH`` words on either side; its score is the sum of the weights in it, where
-each term with its number of edits counts at its first place in the text.
-Windows whose hit stands in quotation marks count apart from the others.
+Scoring runs the table over all words of a text at once.  Every hit counts, those
+in quotation marks apart from the others.  A hit's window is the ``REACH`` words on
+either side; its score is the sum of the weights of the hits of its kind in it,
+each term with its number of edits once a window.  What repetition beyond a window
+means, the regression decides by the number of all hits and their share of the words.
 Letters are folded (case, accents, common digit look-alikes) first; ``@ $ *``
 count as letters between two letters.
 
@@ -55,6 +56,8 @@ SLICE = 1_000_000
 #: Digits and signs that stand for letters.
 LOOK_ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "*": "*"}
 QUOTES = '"“”„«»'
+#: Values that ``features`` gives for a text.
+FEATURES = 8
 _TOP = 0x2FFF
 
 
@@ -214,30 +217,40 @@ def hits(a: Automaton, texts: list[str]) -> tuple[np.ndarray, ...]:
 
 
 def features(a: Automaton | None, weights: np.ndarray, texts: list[str]) -> np.ndarray:
-    """Per text: best window outside and inside quotations, all weights (log), their share of
-    the words, hits outside and inside quotations."""
-    out = np.zeros((len(texts), 6))
+    """Per text: best window outside and inside quotations, weights of the distinct terms (log),
+    share of all hits' weights in the words, and outside and inside quotations the distinct
+    terms and all hits."""
+    out = np.zeros((len(texts), FEATURES))
     if a is None or not texts:
         return out
     text, word, label, quoted, counts = hits(a, texts)
+    counted = weights[label] > 0
+    text, word, label, quoted = text[counted].astype(np.int64), word[counted], label[counted].astype(np.int64), quoted[counted]
     if not len(text):
         return out
-    # Once for each term and text: repetition is not more abuse.
-    once = np.unique(text.astype(np.int64) * (len(weights) + 1) + label, return_index=True)[1]
-    once.sort()
-    text, word, label, quoted = text[once], word[once], label[once], quoted[once]
-    w = np.maximum(weights[label], 0)
-    total = np.concatenate(([0], np.cumsum(w)))
-    spot = text.astype(np.int64) * (int(counts.max()) + 4 * REACH) + word
-    low, high = np.searchsorted(spot, spot - REACH), np.searchsorted(spot, spot + REACH, side="right")
-    window = total[high] - total[low]
-    np.maximum.at(out[:, 0], text[~quoted], window[~quoted])
-    np.maximum.at(out[:, 1], text[quoted], window[quoted])
-    weight = np.bincount(text, w, len(texts))
-    out[:, 2] = np.log1p(weight)
-    out[:, 3] = np.sqrt(weight / np.maximum(counts, 1))
-    out[:, 4] = np.log1p(np.bincount(text[~quoted], w[~quoted] > 0, len(texts)))
-    out[:, 5] = np.log1p(np.bincount(text[quoted], w[quoted] > 0, len(texts)))
+    w = weights[label]
+    once = np.unique(text * len(weights) + label, return_index=True)[1]
+    out[:, 2] = np.log1p(np.bincount(text[once], w[once], len(texts)))
+    out[:, 3] = np.sqrt(np.bincount(text, w, len(texts)) / np.maximum(counts, 1))
+    for column, kind in enumerate((~quoted, quoted)):
+        t, at, l, v = text[kind], word[kind], label[kind], w[kind]
+        if not len(t):
+            continue
+        spot = t * (int(counts.max()) + 4 * REACH) + at
+        low, high = np.searchsorted(spot, spot - REACH), np.searchsorted(spot, spot + REACH, side="right")
+        # A hit counts in the windows that begin after the hit before it of the same term.
+        group = t * len(weights) + l
+        order = np.argsort(group, kind="stable")
+        same = group[order[1:]] == group[order[:-1]]
+        before = np.full(len(t), -1)
+        before[order[1:][same]] = order[:-1][same]
+        window = np.zeros(len(t))
+        for step in range(int((high - low).max())):
+            j = np.minimum(low + step, len(t) - 1)
+            window += np.where((low + step < high) & (before[j] < low), v[j], 0)
+        np.maximum.at(out[:, column], t, window)
+        out[:, 4 + column] = np.log1p(np.bincount(t[before < 0], minlength=len(texts)))
+        out[:, 6 + column] = np.log1p(np.bincount(t, minlength=len(texts)))
     return out
 
 
@@ -343,7 +356,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, cle
     toxic, clean = n.get(1, 0), n.get(0, 0)
     share = {r["toxic"]: r["count"] for r in labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
     prior = share.get(1, 0) / max(1, sum(share.values()))
-    nothing = Model(None, np.zeros(0), np.zeros(7), np.ones(6), prior)
+    nothing = Model(None, np.zeros(0), np.zeros(FEATURES + 1), np.ones(FEATURES), prior)
     if not toxic or not clean:
         return nothing
     terms = lexicon(rows, toxic, clean)
@@ -368,10 +381,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, cle
             texts = batch.column(0).to_pylist()
             for s in slices(texts):
                 x = features(a, weights, texts[s])
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(s.start, s.stop - s.start).cast(pa.int64()), *(pa.array(x[:, i]) for i in range(6))], names=["toxic", *(f"x{i}" for i in range(6))])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(s.start, s.stop - s.start).cast(pa.int64()), *(pa.array(x[:, i]) for i in range(FEATURES))], names=["toxic", *(f"x{i}" for i in range(FEATURES))])
 
-    table = rows.mapInArrow(measured, "toxic long, " + ", ".join(f"x{i} double" for i in range(6))).toPandas()
-    x, y = table[[f"x{i}" for i in range(6)]].to_numpy(), table["toxic"].to_numpy()
+    table = rows.mapInArrow(measured, "toxic long, " + ", ".join(f"x{i} double" for i in range(FEATURES))).toPandas()
+    x, y = table[[f"x{i}" for i in range(FEATURES)]].to_numpy(), table["toxic"].to_numpy()
     order = np.lexsort((*x.T, y))
     x, y = x[order], y[order]
     centre = np.maximum(x.std(axis=0), 1e-9)

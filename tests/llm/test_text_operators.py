@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,32 @@ def test_stems_look_alikes_and_quotations():
     assert counts.tolist() == [4, 5, 1, 3]
 
 
+def test_every_hit_counts_outside_and_inside_quotations():
+    a = toxicity.automaton([("idiot", False), ("moron", False)])
+    weights = [2.0, 1.0, 1.0, 3.0, 1.0, 1.0]
+    far = " x" * 30
+    texts = [
+        'he said "idiot"' + far + " you idiot",  # first quoted, abuse later
+        "idiot" + far + " moron" + far + " idiot moron",  # dense only at the end
+        "idiot " * 9,
+        "idiot" + " x" * 8,
+        'idiot "moron"',
+    ]
+    x = toxicity.features(a, np.array(weights), texts)
+    assert x[:, 0].tolist() == [2, 5, 2, 2, 2]
+    assert x[:, 1].tolist() == [2, 0, 0, 0, 3]
+    assert x[2, 2] == x[3, 2] and x[2, 3] == pytest.approx(np.sqrt(2)) and x[3, 3] == pytest.approx(np.sqrt(2 / 9))
+    assert np.expm1(x[:, 4:]).round().tolist() == [[1, 1, 1, 1], [2, 0, 4, 0], [1, 0, 9, 0], [1, 0, 1, 0], [1, 1, 1, 1]]
+
+    rnd = random.Random(6)
+    for _ in range(200):
+        words = rnd.choices(["idiot", "idoit", "moron", "x"], k=rnd.randint(1, 60))
+        label = {"idiot": 0, "idoit": 1, "moron": 3}
+        around = [{label[v] for v in words[max(0, i - toxicity.REACH) : i + toxicity.REACH + 1] if v in label} for i, w in enumerate(words) if w in label]
+        expected = max((sum(weights[v] for v in near) for near in around), default=0)
+        assert toxicity.features(a, np.array(weights), [" ".join(words)])[0, 0] == expected
+
+
 def test_toxicity_held_out(spark, labels):
     docs = spark.read.parquet(f"{SF2}/documents.parquet")
     out = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").select("toxic", "predicted", "score").collect()
