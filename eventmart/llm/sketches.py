@@ -1,7 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A paragraph is a line, or a sentence of one; a document is the set of its
-paragraphs' 64-bit digests.  A sketch has cells in three equal parts; each digest
+A paragraph is a line, or a sentence of one (up to any script's stop, a colon or a
+semicolon).  Long ones fall into pieces: the first ``FIRST`` units, then at each unit
+whose hash is 0 modulo ``EVERY``, or after ``LONGEST`` units without such.  A unit is
+a letter of a script without spaces, else a word or a part of one, of ``UNIT`` characters at most.
+So a part that an edit leaves alone keeps its pieces.  A document is the set of its
+pieces' 64-bit digests.  A sketch has cells in three equal parts; each digest
 is added to one cell of each part: a count, the XOR of the digests and the XOR of
 their checks.  Sketches of two versions subtract cell by cell, so what both have
 vanishes; a cell with one digest left (count of 1 or -1, and check in order) gives
@@ -36,7 +40,14 @@ LEVELS = 12
 HOPELESS = 2 * LARGE
 #: The cell columns of a placed digest, by the size of a part.
 COLUMNS = {PART: "xyz", LARGE: "uvw"}
-_BREAK = r"\n+|(?<=[.?])\s+"
+#: Units of a paragraph's first piece, about and at most of its further ones; characters of a unit.
+FIRST, EVERY, LONGEST, UNIT = 24, 48, 128, 32
+_BREAK = r"\n+|(?<=[.?!:;…؟؛۔।॥።։])\s+|(?<=[。！？｡．：；])\s*"
+#: Letters of the scripts that set no spaces between words; most other text is in ``_PLAIN``.
+_ALONE = r"฀-໿က-႟ក-៿⺀-ㇿ㐀-鿿豈-﫿ｦ-ﾟ\x{20000}-\x{3FFFF}"
+_PLAIN = r"!-෿"
+_WORDS = rf"\s*+(?:[{_PLAIN}]{{1,{UNIT}}}+|[{_ALONE}]|[^\s{_PLAIN}{_ALONE}]{{1,{UNIT}}}+)"
+_UNIT, _LONG = rf"{_WORDS}|\s+$", rf"^(?:{_WORDS}){{{FIRST + 1}}}"
 
 
 def let(value: str, name: str, body: str) -> str:
@@ -54,9 +65,22 @@ def cells_of(digest: str, part: int) -> dict[str, str]:
     return {"k": digest, "h": f"xxhash64({digest}, 99)"} | cells
 
 
+def pieces(paragraph: str) -> str:
+    """SQL: the pieces of a paragraph, which together give it again."""
+    ends = f"filter(sequence(1, size(us)), i -> i = {FIRST} or (i > {FIRST} and pmod(xxhash64(trim(us[i - 1])), {EVERY}) = 0) or i = size(us))"
+    # From a piece's end to the next one, in steps of at most LONGEST units.
+    steps = f"flatten(transform(es, (e, n) -> sequence(if(n = 0, 0, es[n - 1]), e - 1, {LONGEST})))"
+    cut = "transform(ss, (s, n) -> array_join(slice(us, s + 1, coalesce(get(ss, n + 1), size(us)) - s), ''))"
+    all_units = f"regexp_extract_all({paragraph}, r'{_UNIT}', 0)"
+    long = let(ends, "es", let(steps, "ss", cut))
+    return f"if({paragraph} rlike r'{_LONG}', {let(all_units, 'us', long)}, array({paragraph}))"
+
+
 def digests(text: str) -> str:
-    """SQL: the digests of a text's paragraphs, each once."""
-    return f"array_distinct(transform(filter(split({text}, r'{_BREAK}'), u -> u <> ''), u -> xxhash64(u)))"
+    """SQL: the digests of a text's pieces, each once."""
+    # Fewer characters cannot be more than FIRST units.
+    cut = f"if(char_length(u) <= {FIRST}, array(u), {pieces('u')})"
+    return f"array_distinct(transform(flatten(transform(filter(split({text}, r'{_BREAK}'), u -> u <> ''), u -> {cut})), u -> xxhash64(u)))"
 
 
 def items(digest_array: str) -> str:

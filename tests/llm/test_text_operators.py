@@ -282,6 +282,34 @@ def test_sketches_equal_the_exact_sets(spark):
     assert len(set(by_text.values())) == len({frozenset(paragraphs(t)) for t in by_text})
 
 
+def test_parts_of_texts_without_full_stops_keep_their_digests(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8)))
+    han = lambda n: "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(n))
+    texts = [
+        " ".join(word() for _ in range(300)),
+        "! ".join(word() for _ in range(12)),
+        "; ".join(word() for _ in range(12)),
+        "。".join(han(6) for _ in range(12)),
+        han(300),
+        "".join(word() for _ in range(600)),
+        "the same word " * 300,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in sketches.compare_with_edits(docs).collect()}
+    assert all(got[i]["near_edited"] > max(0.1, got[i]["near_next"]) for i in range(len(texts) - 1)), [(i, r["near_edited"], r["near_next"]) for i, r in got.items()]
+    assert got[len(texts) - 1]["near_edited"] > 0
+
+    # An insertion changes the pieces beside it only; the pieces give the paragraph again, none is too long.
+    words = texts[0].split(" ")
+    changed = " ".join([*words[:150], "inserted", *words[150:]])
+    row = spark.createDataFrame([(t,) for t in [texts[0], changed, *texts[4:], " ", " a " * 30 + " \t ", "\u00a0" * 40]], "t string").select("t", F.expr(sketches.pieces("t")).alias("p")).collect()
+    assert all("".join(r["p"]) == r["t"] for r in row)
+    units = 4 + sketches.UNIT
+    assert all(len(piece) <= sketches.LONGEST * units for r in row for piece in r["p"])
+    assert len(set(row[0]["p"]) - set(row[1]["p"])) <= 2 < len(row[0]["p"]) / 2
+
+
 def test_sketch_edges(spark, edge_docs, no_docs):
     assert sketches.compare_with_edits(edge_docs).count() == edge_docs.count()
     assert sketches.compare_with_edits(no_docs).count() == 0
