@@ -55,15 +55,15 @@ REACH = 10
 SLICE = 1_000_000
 #: Digits and signs that stand for letters.
 LOOK_ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "*": "*"}
-QUOTES = '"“”„«»'
+QUOTES = '"“”„«»＂「」『』'
 #: Values that ``features`` gives for a text.
 FEATURES = 8
-_TOP = 0x2FFF
+_CODES = 0x110000
 
 
 @dataclass
 class Automaton:
-    classes: np.ndarray  # of each code point up to _TOP: 0 no letter, else a letter class
+    classes: np.ndarray  # of each code point: 0 no letter, else a letter class
     inner: np.ndarray  # code points that are letters only between letters
     quotes: np.ndarray
     table: np.ndarray  # state x class -> state; state 0 is dead
@@ -83,11 +83,26 @@ class Model:
 def folded(text: str) -> str:
     out = []
     for c in text.lower():
-        base = unicodedata.normalize("NFKD", c)[0]
+        parts = unicodedata.normalize("NFKD", c)
+        # Accents go; what a syllable or a kana's sound is made of stays.
+        accented = all(unicodedata.combining(m) and m not in "\u3099\u309a" for m in parts[1:])
+        whole = parts[0] if accented else unicodedata.normalize("NFKC", c)
+        base = (whole if len(whole) == 1 else parts[0]).lower()[0]
         out.append(LOOK_ALIKE.get(base, base))
     return "".join(out)
 
 
+_FOLDED: list[dict[int, str]] = []
+
+
+def folded_letters() -> dict[int, str]:
+    """Of each code point that is a letter or a digit, or stands for one, what it is folded to."""
+    if not _FOLDED:
+        signs = (chr(cp) for cp in range(_CODES))
+        _FOLDED.append({ord(c): folded(c)[0] for c in signs if c.isalnum() or c in "@$*"})
+    return _FOLDED[0]
+
+
 def edits_allowed(term: str) -> int:
     return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
@@ -96,14 +111,14 @@ def automaton(terms: list[tuple[str, bool]]) -> Automaton:
     """The table for folded ``terms``; the flag marks stems, which any ending may follow."""
     letters = sorted({c for t, _ in terms for c in t})
     number = {c: i + 2 for i, c in enumerate(letters)}  # 1: any other letter
-    classes = np.zeros(_TOP + 1, np.int16)
-    for cp in range(_TOP + 1):
-        c = chr(cp)
-        if c.isalnum() or c in "@$*":
-            f = folded(c)
-            classes[cp] = number.get(f[0], 1) if f else 1
-    classes[_TOP] = 1
-    flag = lambda s: np.array([chr(cp) in s for cp in range(_TOP + 1)])
+    classes = np.zeros(_CODES, np.int32)
+    for cp, c in folded_letters().items():
+        classes[cp] = number.get(c, 1)
+
+    def flag(signs: str) -> np.ndarray:
+        out = np.zeros(_CODES, bool)
+        out[[ord(c) for c in signs]] = True
+        return out
 
     # A state of the intersection: (term, letters read, edits, swap pending).
     def close(states: set) -> frozenset:
@@ -167,7 +182,7 @@ def automaton(terms: list[tuple[str, bool]]) -> Automaton:
 def hits(a: Automaton, texts: list[str]) -> tuple[np.ndarray, ...]:
     """Of all hits: text, number of the word in it, term * 3 + edits, quoted; and the texts' word counts."""
     lines = "\n".join(texts) + "\n"
-    cp = np.minimum(np.frombuffer(lines.encode("utf-32-le", "replace"), np.uint32), _TOP)
+    cp = np.frombuffer(lines.encode("utf-32-le", "replace"), np.uint32)
     kind = a.classes[cp]
     odd = np.flatnonzero(a.inner[cp])
     if len(odd):

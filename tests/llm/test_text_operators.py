@@ -81,6 +81,25 @@ def test_every_hit_counts_outside_and_inside_quotations():
         assert toxicity.features(a, np.array(weights), [" ".join(words)])[0, 0] == expected
 
 
+def test_letters_of_all_scripts_and_signs_that_are_none(spark):
+    terms = ["idiot", "ばかやろう", "笨蛋东西", "바보자식", "𠮷野家"]
+    a = toxicity.automaton([(toxicity.folded(t), False) for t in terms])
+    texts = ["idiot😀😀 idiot！ 「idiot」。", "ばかやろう。 ﾊﾞ", "他是笨蛋东西！", "这 笨蛋东西 笨旦东西", "바보자식😀 바보자신", "𠮷野家 野家", "𝐈𝐝𝐢𝐨𝐭 ＩＤＩＯＴ"]
+    text, word, label, quoted, counts = toxicity.hits(a, texts)
+    assert list(zip(text.tolist(), word.tolist(), (label // 3).tolist(), (label % 3).tolist(), quoted.tolist(), strict=True)) == [
+        (0, 0, 0, 0, False), (0, 1, 0, 0, False), (0, 2, 0, 0, True), (1, 0, 1, 0, False), (3, 1, 2, 0, False), (3, 2, 2, 1, False),
+        (4, 0, 3, 0, False), (4, 1, 3, 1, False), (5, 0, 4, 0, False), (6, 0, 0, 0, False), (6, 1, 0, 0, False)]
+    assert counts.tolist() == [3, 2, 1, 3, 2, 2, 2]
+    assert toxicity.folded("が각ÉЙ") == "が각eи"
+
+    rnd = random.Random(3)
+    word = lambda: "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(4))
+    rows = [(i, f"{word()} {'笨蛋东西。' if i % 4 == 0 else word()} {word()}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert all(r["predicted"] == (r["doc_id"] % 4 == 0) for r in toxicity.score(docs, model).collect())
+
+
 def test_toxicity_held_out(spark, labels):
     docs = spark.read.parquet(f"{SF2}/documents.parquet")
     out = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").select("toxic", "predicted", "score").collect()
