@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, neighbours, packing, pii, secret_scan, sentencepieces, simhash, sketches, suffix_dedup, toxicity
+from . import collocations, contamination, filter_audit, language_id, neighbours, packing, pii, secret_scan, sentencepieces, simhash, sketches, suffix_dedup, toxicity
 from .common import read_table, scratch
+from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def vocabulary(name: str) -> str:
@@ -57,6 +58,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, radius=3)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -68,7 +81,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_collocations": op12_collocations,
+    "op13_decontamination": op13_decontamination,
 }
-
-#: DuckDB SQL for the queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
