@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ from .common import written
 #: Words of a chunk, on average.
 EVERY = 32
 FILTER_BITS = 26
+#: Words of 64 bits of the table that are packed at once.
+SEGMENT = 1 << 14
 #: Rows of phrases that a task hands over at once.
 ROWS = 1 << 18
 
@@ -139,7 +142,8 @@ def group_hash(names: pa.Array) -> np.ndarray:
 def frequent_bits(frequent: DataFrame) -> np.ndarray:
     """The table of frequent phrases (grp, phrase): 2^FILTER_BITS bits, each phrase sets two.
 
-    Tasks give places; an aggregate joins them to words of 64 bits, 2^FILTER_BITS / 64 at most.
+    Tasks give places; an aggregate joins them to words of 64 bits, 2^FILTER_BITS / 64 at
+    most, and these are packed in segments, so the driver gets the table's bytes and no rows.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +165,17 @@ def frequent_bits(frequent: DataFrame) -> np.ndarray:
                 place = np.concatenate(bits_of(key))
                 yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array(np.int64(1) << (place & 63))], names=["at", "bits"])
 
-    found = frequent.select("grp", "phrase").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        words_ = np.zeros(SEGMENT, np.int64)
+        words_[rows["at"].to_numpy(np.int64) % SEGMENT] = rows["bits"].to_numpy(np.int64)
+        return pd.DataFrame({"segment": [key[0]], "words": [words_.tobytes()]})
+
+    found = frequent.select("grp", "phrase").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    segments = found.groupBy(F.floor(F.col("at") / SEGMENT).alias("segment")).applyInPandas(packed, "segment long, words binary")
     table = np.zeros(2**FILTER_BITS // 64, np.int64)
-    table[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    for row in segments.collect():
+        at = row["segment"] * SEGMENT
+        table[at : at + SEGMENT] = np.frombuffer(row["words"], np.int64)
     return table.view(np.uint8)
 
 
