@@ -51,9 +51,31 @@ def test_wide_integers_keep_their_digits(spark):
         [(w, w, str(i), f"{i}.5", "1" * 39) for i, w in enumerate(wide)] + [(None, "1.5", "1.5", "2", "1")],
         "a string, b string, c string, d string, e string")
     out = inference.infer_and_cast(df)
-    assert [t for _, t in out.dtypes] == ["decimal(38,0)", "string", "double", "double", "string"]
+    assert [t for _, t in out.dtypes] == ["decimal(38,0)", "decimal(21,1)", "double", "double", "string"]
     assert [r["a"] for r in out.collect()] == [*(Decimal(w) for w in wide), None]
-    assert [r["b"] for r in out.collect()] == [*wide, "1.5"]
+    assert [r["b"] for r in out.collect()] == [*(Decimal(w) for w in wide), Decimal("1.5")]
+
+
+def test_decimals_keep_their_digits(spark):
+    """Values that a double would change make the column the smallest decimal for all."""
+    columns = {
+        "a": ["12345678901234567.25", "0.1234567890123456789", "-3"],
+        "b": ["0.1", "-12.25", "1e3"],
+        "c": ["1234567890123456", "0.5", None],                    # a long integer next to decimals
+        "d": ["1" * 30 + ".5", "0." + "1" * 10, "7"],              # more than 38 digits together
+        "e": ["1.23456789012345678e2", "1.5", "2"],                # a long number with an exponent
+        "f": [".5", "+00012345678901234.50", "5."],
+        "g": ["true", "1", None],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} string" for c in columns))
+    out = inference.infer_and_cast(df)
+    assert dict(out.dtypes) == {"a": "decimal(36,19)", "b": "double", "c": "decimal(17,1)", "d": "string",
+                                "e": "string", "f": "decimal(16,2)", "g": "string"}
+    rows = out.collect()
+    assert [r["a"] for r in rows] == [Decimal(v) for v in columns["a"]]
+    assert [r["c"] for r in rows] == [Decimal("1234567890123456.0"), Decimal("0.5"), None]
+    assert [r["f"] for r in rows] == [Decimal("0.50"), Decimal("12345678901234.50"), Decimal("5.00")]
+    assert [r["d"] for r in rows] == columns["d"] and [r["e"] for r in rows] == columns["e"]
 
 
 def test_another_bucket_count_is_refused(spark, tmp_path):
@@ -61,10 +83,10 @@ def test_another_bucket_count_is_refused(spark, tmp_path):
     df = spark.createDataFrame([(f"e{i}", i) for i in range(20)], "event_id string, n int")
     write_bucketed(store, df, "raw", "events", "event_id", 4)
     with pytest.raises(ValueError, match="4 buckets"):
-        merge_into(store, df, "raw", "events", "event_id", ["n"], 64, str(tmp_path / "s"))
-    merge_into(store, df.selectExpr("event_id", "n + 1 as n"), "raw", "events", "event_id", ["n"], 4, str(tmp_path / "s"))
+        merge_into(store, df, "raw", "events", "event_id", ["n"], 64)
+    merge_into(store, df.selectExpr("event_id", "n + 1 as n"), "raw", "events", "event_id", ["n"], 4)
     assert sorted(r["n"] for r in store.read("raw", "events").collect()) == list(range(1, 21))
-    merge_into(store, df, "raw", "events", "event_id", ["n"], 4, str(tmp_path / "s2"))
+    merge_into(store, df, "raw", "events", "event_id", ["n"], 4)
     assert store.read("raw", "events").count() == 20
 
 
