@@ -31,16 +31,16 @@ if __package__ in (None, ""):  # run as a script (spark-submit eventmart/cli.py
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from eventmart.config.settings import load_settings
-from eventmart.plans.flows import EVENTS_TABLE, Pipeline, RunContext
+from eventmart.plans.flows import EVENTS_KEY, EVENTS_TABLE, GROUP_STATE, Pipeline, RunContext
 from eventmart.session import build_session
-from eventmart.sinks.tables import BUCKET_COL
+from eventmart.sinks.tables import BUCKET_COL, split_buckets
 from eventmart.sources import csv as csv_src
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="eventmart")
     p.add_argument("command", choices=["setup", "load-raw", "build-marts", "export", "batch",
-                                        "stream", "announce", "compact"])
+                                        "stream", "announce", "compact", "vacuum", "split-buckets"])
     p.add_argument("--warehouse", required=True, help="root of the table store")
     p.add_argument("--master", default=None)
     p.add_argument("--buckets", type=int, default=64, help="hash buckets of keyed tables")
@@ -111,10 +111,19 @@ def main(argv: list[str] | None = None) -> int:
         if not args.table or "." not in args.table:
             raise SystemExit("--table database.table is required for compact")
         database, table = args.table.split(".", 1)
-        pipeline.store.compact(database, table,
-                               f"{args.warehouse.rstrip('/')}/_compact_staging/{table}",
-                               args.files)
+        pipeline.store.compact(database, table, args.files)
         out = args.table
+    elif args.command == "vacuum":
+        out = pipeline.clean_up()
+    elif args.command == "split-buckets":
+        # Tables with the events' bucket count are split together.
+        cat = settings.catalog
+        out = {f"{db}.{t}": split_buckets(pipeline.store, db, t, key)
+               for db, t, key in ((cat.raw_db, EVENTS_TABLE, EVENTS_KEY),
+                                  (cat.analytics_db, "events_enriched", EVENTS_KEY),
+                                  (cat.analytics_db, GROUP_STATE, "group_id"),
+                                  (cat.analytics_db, "agg_events_by_group", "group_id"))
+               if pipeline.store.exists(db, t)}
     print(json.dumps({"command": args.command, "result": out}, default=str))
     return 0
 

@@ -244,6 +244,15 @@ MART_NAMES = [
     "agg_events_by_group",
 ]
 
+# What each mart is built from: a failed test of an input holds the mart back.
+MART_INPUTS = {
+    "events_enriched": ["stg_events", "stg_groups", "stg_venues"],
+    "agg_events_by_city": ["events_enriched"],
+    "agg_groups_by_category": ["stg_groups", "stg_categories"],
+    "agg_groups_by_topic": ["stg_groups_topics", "stg_topics", "stg_groups"],
+    "agg_events_by_group": ["events_enriched"],
+}
+
 
 def build_all(staged: dict[str, DataFrame], enriched: DataFrame | None = None,
               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:

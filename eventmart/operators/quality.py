@@ -194,6 +194,8 @@ def check_row_count(df: DataFrame, expected: int | None = None, model: str = "")
                       F.when(ok, "PASS").otherwise("FAIL").alias("status"))
 
 
+TEST_RESULT_SCHEMA = "model string, column_name string, test string, failures bigint, status string"
+
 # The declared column tests of the staging models and marts.
 NOT_NULL_TESTS = {
     "stg_events": ["event_id", "group_id"],

@@ -20,7 +20,13 @@ from eventmart.plans import standins
 from eventmart.plans.flows import Pipeline, RunContext
 from eventmart.session import scratch_path
 from eventmart.sinks import exports
-from eventmart.sinks.tables import BUCKET_COL, write_bucketed
+from eventmart.sinks.tables import (
+    BUCKET_COL,
+    TableStore,
+    merge_into,
+    split_buckets,
+    write_bucketed,
+)
 from eventmart.sources import csv as csv_src
 from eventmart.sources import encoding as enc_src
 from eventmart.sources import inference
@@ -488,3 +494,97 @@ QUERIES.update({
     "events_enriched_fanout": q_events_enriched_fanout,
     "agg_events_by_city_fanout": q_agg_events_by_city_fanout,
 })
+
+
+# ---------------------------------------------------------------------------
+# Versioned tables (K1, K2, W3), publication after the tests (G5), quoted line
+# breaks (S2) and exact decimals.
+# ---------------------------------------------------------------------------
+
+def q_table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after a load, a merge of a few buckets and a replacement by itself without
+    the cancelled events: all three versions stay readable."""
+    store = TableStore(spark, scratch_path(spark, "table_versions"), use_catalog=False)
+    delta = standins.delta_events(spark, sf_dir)
+    write_bucketed(store, standins.target_events(spark, sf_dir), "raw", "events", "event_id", 8)
+    merge_into(store, delta, "raw", "events", "event_id", EVENT_UPDATE_COLUMNS, 8)
+    kept = store.read("raw", "events").drop(BUCKET_COL).filter("event_status <> 'cancelled'")
+    write_bucketed(store, kept, "raw", "events", "event_id", 8)
+    out = None
+    for number in (1, 2, 3):
+        rows = store.read("raw", "events", number).select(
+            F.lit(number).alias("version"), "event_id", "event_status", "yes_rsvp_count")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_merge_after_bucket_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge, the number of buckets doubled in place, and the same merge again."""
+    store = TableStore(spark, scratch_path(spark, "bucket_split"), use_catalog=False)
+    delta = standins.delta_events(spark, sf_dir)
+    write_bucketed(store, standins.target_events(spark, sf_dir), "raw", "events", "event_id", 4)
+    half = F.col("event_id").startswith("delta-")
+    merge_into(store, delta.filter(half), "raw", "events", "event_id", EVENT_UPDATE_COLUMNS, 4)
+    buckets = split_buckets(store, "raw", "events", "event_id")
+    merge_into(store, delta, "raw", "events", "event_id", EVENT_UPDATE_COLUMNS, buckets)
+    return store.read("raw", "events").drop(BUCKET_COL)
+
+
+def q_flow_failed_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After changes to events and categories a staging test on events fails: M2 stays
+    as it was, M3 is built anew."""
+    pipeline = _pipeline_before_batch(spark, sf_dir)
+    raw_db, store = pipeline.settings.catalog.raw_db, pipeline.store
+    events = store.read(raw_db, "events").drop(BUCKET_COL)
+    write_bucketed(store, events.filter(F.col("venue_id").isNotNull()), raw_db, "events",
+                   "event_id", pipeline.event_buckets)
+    categories = store.read(raw_db, "categories")
+    store.replace(categories.withColumn("category_name", F.concat("category_name", F.lit(" 2"))),
+                  raw_db, "categories")
+    try:
+        pipeline.build_marts()
+    except quality.DataQualityError:
+        pass
+    else:
+        raise RuntimeError("the duplicated event keys must fail the unique test")
+    city, category = (pipeline.read_mart(m) for m in ("agg_events_by_city", "agg_groups_by_category"))
+    return city.select(F.lit("agg_events_by_city").alias("mart"), F.col("venue_city").alias("name"),
+                       F.col("total_events").alias("total")).unionByName(
+        category.select(F.lit("agg_groups_by_category").alias("mart"),
+                        F.col("category_name").alias("name"), F.col("total_groups").alias("total")))
+
+
+def q_csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages - quotes, commas and line breaks in their text - as one CSV file."""
+    pages = standins.read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "csv_quoted_breaks")
+    csv_src.write_csv(pages.coalesce(1), path, quoteAll="true")
+    rows = csv_src.null_tokens_to_null(csv_src.read_csv_text(spark, path, multi_line=True))
+    return rows.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
+
+
+def q_csv_exact_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with more digits than a double keeps get the smallest decimal for all."""
+    li = standins.read_table(spark, sf_dir, "lineitem")
+    text = li.select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("line"),
+        F.concat((F.col("l_orderkey") + 12345678901000000).cast("string"), F.lit(".25")).alias("wide"),
+        F.concat(F.lit("0."), F.lpad(F.col("l_orderkey").cast("string"), 19, "0")).alias("fine"),
+        F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(
+            F.concat(F.col("l_partkey").cast("string"), F.lit(".5"))).alias("short"))
+    path = scratch_path(spark, "csv_exact_decimals")
+    csv_src.write_csv(text, path, nullValue="NULL")
+    typed = inference.infer_and_cast(csv_src.null_tokens_to_null(csv_src.read_csv_text(spark, path)))
+    kinds = dict(typed.dtypes)
+    return typed.select(
+        "line", F.col("wide").cast("string").alias("wide"), F.col("fine").cast("decimal(38,19)").cast("string").alias("fine"), "short",
+        F.lit(" ".join(kinds[c] for c in ("line", "wide", "fine", "short"))).alias("types"))
+
+
+QUERIES.update({
+    "table_versions": q_table_versions,
+    "merge_after_bucket_split": q_merge_after_bucket_split,
+    "flow_failed_test": q_flow_failed_test,
+    "csv_quoted_breaks": q_csv_quoted_breaks,
+    "csv_exact_decimals": q_csv_exact_decimals,
+})

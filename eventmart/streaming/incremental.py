@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from eventmart.config.schemas import FILE_AUDIT_SCHEMA
 from eventmart.operators.quality import DataQualityError
 from eventmart.plans.flows import EVENTS_TABLE, DeltaLoadError, Pipeline, RunContext
+from eventmart.sinks import monitoring
 from eventmart.sinks.tables import BUCKET_COL
 from eventmart.sources import csv as csv_src
 
@@ -85,8 +87,7 @@ def start_incremental(
                          task_id="stream_batch")
         try:
             pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
-                               export_root=export_root,
-                               staging_root=f"{checkpoint_dir.rstrip('/')}/_merge")
+                               export_root=export_root)
         except (DataQualityError, DeltaLoadError):
             # A failed gate, or a file whose values do not fit the table's types (the
             # strict load rejects it, as a bulk load would).  Any other failure - storage,
@@ -109,18 +110,21 @@ def announce_manifest(pipeline: Pipeline, manifest: DataFrame, context: RunConte
     Each file gets an audit row when it was generated and one when it was uploaded;
     the gate compares the latest announcement with the rows that arrive.
     """
-    from eventmart.config.schemas import FILE_AUDIT_SCHEMA
-    from eventmart.sinks import monitoring
+    _announce(pipeline, manifest, context, ["DELTA_GENERATED", "DELTA_UPLOADED"])
 
-    rows = manifest.select(
+
+def _announce(pipeline: Pipeline, files: DataFrame, context: RunContext, events: list[str]) -> DataFrame:
+    """One audit row for each file (file, row_count) and event, appended as a table."""
+    rows = files.select(
         F.lit(context.dag_id).alias("dag_id"), F.lit(context.run_id).alias("run_id"),
         F.lit("announce").alias("task_id"),
         F.regexp_extract("file", "[^/]+$", 0).alias("file_name"), F.col("file").alias("s3_key"),
         F.col("row_count").cast("bigint").alias("row_count"), F.lit("SUCCESS").alias("status"),
-        F.explode(F.array(F.lit("DELTA_GENERATED"), F.lit("DELTA_UPLOADED"))).alias("event_type"),
+        F.explode(F.array(*map(F.lit, events))).alias("event_type"),
         F.current_timestamp().alias("processed_at"))
-    pipeline.store.append(csv_src.bind_by_name(rows, FILE_AUDIT_SCHEMA),
-                          pipeline.settings.catalog.monitoring_db, monitoring.AUDIT_TABLE)
+    bound = csv_src.bind_by_name(rows, FILE_AUDIT_SCHEMA)
+    pipeline.store.append(bound, pipeline.settings.catalog.monitoring_db, monitoring.AUDIT_TABLE)
+    return bound
 
 
 def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext,
@@ -130,16 +134,7 @@ def announce_files(pipeline: Pipeline, delta_dir: str, context: RunContext,
     The counts are taken by Spark from the files themselves (one aggregate
     grouped by file), standing in for the manifest a delta producer supplies.
     """
-    from eventmart.config.schemas import FILE_AUDIT_SCHEMA
-    from eventmart.sinks import monitoring
-
-    spark = pipeline.spark
-    text = csv_src.read_csv_text(spark, delta_dir, with_file_path=True, recursive=True)
-    per_file = text.groupBy("_file_path").agg(F.count(F.lit(1)).alias("n")).collect()
-    rows = [monitoring.audit_row(
-        dag_id=context.dag_id, run_id=context.run_id, task_id="announce",
-        file_name=os.path.basename(r["_file_path"]), s3_key=r["_file_path"],
-        row_count=r["n"], event_type=event_type) for r in per_file]
-    monitoring.insert_file_audit(spark, pipeline.store, pipeline.settings.catalog.monitoring_db,
-                                 rows)
-    return spark.createDataFrame(rows, FILE_AUDIT_SCHEMA)
+    text = csv_src.read_csv_text(pipeline.spark, delta_dir, with_file_path=True, recursive=True)
+    per_file = text.groupBy(F.col("_file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    return _announce(pipeline, per_file, context, [event_type])

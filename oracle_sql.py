@@ -558,6 +558,33 @@ SQL_EVENTS_ENRICHED_FANOUT = f"WITH {STAGING_FANOUT}\n{EVENTS_ENRICHED_BODY}"
 SQL_AGG_EVENTS_BY_CITY_FANOUT = SQL_AGG_EVENTS_BY_CITY.replace(STAGING, STAGING_FANOUT)
 
 
+SQL_TABLE_VERSIONS = f"WITH merged AS ({SQL_MERGE_EVENTS}),\n{TARGET_EVENTS}\n" + """SELECT 1 AS version, event_id, event_status, yes_rsvp_count FROM tgt
+UNION ALL SELECT 2, event_id, event_status, yes_rsvp_count FROM merged
+UNION ALL SELECT 3, event_id, event_status, yes_rsvp_count FROM merged WHERE event_status <> 'cancelled'"""
+
+RAW_CATEGORIES_RENAMED = RAW_CATEGORIES.replace("raw_categories AS (", "raw_categories0 AS (", 1) + """,
+raw_categories AS (
+  SELECT * REPLACE (category_name || ' 2' AS category_name) FROM raw_categories0
+)"""
+SQL_M3_RENAMED = SQL_AGG_GROUPS_BY_CATEGORY.replace(RAW_CATEGORIES, RAW_CATEGORIES_RENAMED)
+SQL_FLOW_FAILED_TEST = f"""SELECT 'agg_events_by_city' AS mart, venue_city AS name, total_events AS total
+FROM ({SQL_AGG_EVENTS_BY_CITY})
+UNION ALL
+SELECT 'agg_groups_by_category', category_name, total_groups FROM ({SQL_M3_RENAMED})"""
+
+SQL_CSV_QUOTED_BREAKS = """SELECT page_id,
+  CASE WHEN url IN ('NULL', 'null', '') THEN NULL ELSE url END AS url,
+  CASE WHEN html IN ('NULL', 'null', '') THEN NULL ELSE html END AS html
+FROM pages"""
+
+SQL_CSV_EXACT_DECIMALS = """SELECT l_orderkey || '-' || l_linenumber AS line,
+  (l_orderkey + 12345678901000000) || '.25' AS wide,
+  '0.' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0') AS fine,
+  CASE WHEN l_linenumber = 1 THEN NULL ELSE l_partkey + 0.5::DOUBLE END AS short,
+  'string decimal(19,2) decimal(19,19) double' AS types
+FROM lineitem"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -595,4 +622,9 @@ def oracle_sql() -> dict[str, str]:
         "agg_groups_by_category_shuffled": SQL_AGG_GROUPS_BY_CATEGORY,
         "events_enriched_fanout": SQL_EVENTS_ENRICHED_FANOUT,
         "agg_events_by_city_fanout": SQL_AGG_EVENTS_BY_CITY_FANOUT,
+        "table_versions": SQL_TABLE_VERSIONS,
+        "merge_after_bucket_split": SQL_MERGE_EVENTS,
+        "flow_failed_test": SQL_FLOW_FAILED_TEST,
+        "csv_quoted_breaks": SQL_CSV_QUOTED_BREAKS,
+        "csv_exact_decimals": SQL_CSV_EXACT_DECIMALS,
     }

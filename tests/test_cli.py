@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from eventmart import cli
+from eventmart.sinks.tables import TableStore
 from tests.test_flows import _landing
 
 
@@ -38,9 +39,16 @@ def test_cli_flows(spark, tmp_path, capsys, monkeypatch):
     exported = _run(capsys, "export", *common, "--exports", str(tmp_path / "exp"),
                     "--run-stamp", "20240101000000")["result"]
     assert set(exported) >= {"events_enriched", "agg_events_by_city"}
+    split = _run(capsys, "split-buckets", *common)["result"]
+    assert split == {"raw.events": 8, "analytics.events_enriched": 8, "analytics.agg_events_by_group": 8,
+                     "analytics.agg_events_by_group__state": 8}
+    again = _run(capsys, "batch", "--warehouse", wh, "--buckets", "8", "--delta", str(delta),
+                 "--run-id", "cli_1", "--expected-rows", "1")["result"]
+    assert again["row_count"] == 1
+    assert isinstance(_run(capsys, "vacuum", *common)["result"], dict)
     assert _run(capsys, "compact", *common, "--table", "monitoring.dq_results")["result"] \
         == "monitoring.dq_results"
-    assert spark.sql("SELECT count(*) FROM monitoring.dq_results").first()[0] == 6
+    assert spark.sql("SELECT count(*) FROM monitoring.dq_results").first()[0] == 12
 
 
 def test_announced_counts_and_line_breaks(spark, tmp_path, capsys, monkeypatch):
@@ -71,7 +79,7 @@ def test_announced_counts_and_line_breaks(spark, tmp_path, capsys, monkeypatch):
         cli.main(stream)
     announce(2)
     _run(capsys, *stream)
-    rows = spark.read.parquet(f"{wh}/raw/events").filter("event_name like 'two%'").collect()
+    rows = TableStore(spark, wh, use_catalog=False).read("raw", "events").filter("event_name like 'two%'").collect()
     assert [r["event_id"] for r in rows] == ["e99"]
-    audit = spark.read.parquet(f"{wh}/monitoring/file_audit").filter("task_id = 'announce'")
+    audit = TableStore(spark, wh, use_catalog=False).read("monitoring", "file_audit").filter("task_id = 'announce'")
     assert sorted(r["event_type"] for r in audit.collect()) == ["DELTA_GENERATED"] * 2 + ["DELTA_UPLOADED"] * 2

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from eventmart.config import schemas
 from eventmart.config.settings import load_settings
+from eventmart.operators import quality
 from eventmart.operators.quality import DataQualityError
 from eventmart.plans.flows import Pipeline, RunContext
+from eventmart.sinks.tables import write_bucketed
 from eventmart.sources import encoding
 
 
@@ -316,3 +318,67 @@ def test_an_older_run_again_and_a_lost_run_leave_the_marts_right(pipeline, spark
     after = _marts(pipeline)
     pipeline.build_marts()
     assert _marts(pipeline) == after
+
+
+def _all_marts(pipeline):
+    return {n: sorted(tuple(str(v) for v in r) for r in pipeline.read_mart(n).collect())
+            for n in ("events_enriched", "agg_events_by_city", "agg_groups_by_category",
+                      "agg_groups_by_topic", "agg_events_by_group")}
+
+
+def test_a_failed_test_holds_back_its_mart_and_what_depends_on_it(pipeline, spark):
+    """A NULL key in M1: M1, M2 and M5 stay as they were, M3 and M4 are built."""
+    pipeline.build_marts()
+    before, store = _all_marts(pipeline), pipeline.store
+    m3 = store.version("analytics", "agg_groups_by_category").number
+    fresh = _one_event(spark, "e9", 5).select("event_id", "yes_rsvp_count",
+                                              F.lit(None).cast("bigint").alias("group_id"))
+    events = store.read("raw", "events").drop("key_bucket")
+    write_bucketed(store, events.unionByName(fresh, allowMissingColumns=True), "raw", "events", "event_id", 4)
+    with pytest.raises(DataQualityError, match=r"not_null\(stg_events.group_id\)=1 \| not published: "
+                       "agg_events_by_city, agg_events_by_group, events_enriched"):
+        pipeline.build_marts()
+    after = _all_marts(pipeline)
+    for name in ("events_enriched", "agg_events_by_city", "agg_events_by_group"):
+        assert after[name] == before[name]
+    assert store.version("analytics", "agg_groups_by_category").number == m3 + 1
+    # Only reported: everything is published.
+    results = pipeline.build_marts(fail_on_test_error=False)
+    assert results.filter("status = 'FAIL'").count() == 3
+    assert pipeline.read_mart("events_enriched").filter("event_id = 'e9'").count() == 1
+
+
+def test_a_batch_that_fails_its_tests_is_made_up_for_later(pipeline, spark, monkeypatch):
+    """M5 is held back by a batch; the next one knows that the marts do not match."""
+    pipeline.build_marts()
+    real = quality.NOT_NULL_TESTS
+    monkeypatch.setattr(quality, "NOT_NULL_TESTS", real | {"agg_events_by_group": ["group_id", "category_id"]})
+    no_group = _one_event(spark, "e3", 8).withColumn("group_id", F.lit(1).cast("bigint"))
+    failing = pipeline.store.read("raw", "groups").withColumn("category_id", F.lit(None).cast("bigint")) \
+        if "category_id" in pipeline.store.read("raw", "groups").columns else None
+    before = _marts(pipeline)
+    if failing is not None:
+        pipeline.store.replace(failing, "raw", "groups")
+        with pytest.raises(DataQualityError):
+            pipeline.run_batch(no_group, RunContext(run_id="held"), expected_rows=1)
+        assert _marts(pipeline)["agg_events_by_group"] == before["agg_events_by_group"]
+        assert pipeline.unfinished_runs() == ["held"]
+    monkeypatch.setattr(quality, "NOT_NULL_TESTS", real)
+    pipeline.run_batch(_one_event(spark, "e1", 3), RunContext(run_id="later"), expected_rows=1)
+    assert pipeline.unfinished_runs() == []
+    after = _marts(pipeline)
+    pipeline.build_marts()
+    assert _marts(pipeline) == after
+
+
+def test_old_versions_and_staging_are_removed(pipeline, spark):
+    pipeline.keep_versions = 2
+    pipeline.build_marts()
+    for i in range(4):
+        pipeline.run_batch(_one_event(spark, "e1", i), RunContext(run_id=f"v{i}"), expected_rows=1)
+    assert len(pipeline.store.versions("raw", "events")) == 2
+    folder = pipeline.store.path("raw", "events")
+    named = {x for n in pipeline.store.versions("raw", "events")
+             for x in pipeline.store.version("raw", "events", n).loads}
+    assert {x for x in os.listdir(folder) if x.startswith("load=")} == named
+    assert os.listdir(os.path.join(pipeline.warehouse_root, "_raw_staging")) == []

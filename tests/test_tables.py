@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
 from pyspark.sql import functions as F
 
 from eventmart.config.schemas import DQ_RESULTS_SCHEMA
-from eventmart.sinks.tables import BUCKET_COL, TableStore, merge_into, write_bucketed
+from eventmart.sinks import tables
+from eventmart.sinks.tables import (
+    BUCKET_COL,
+    TableStore,
+    merge_into,
+    split_buckets,
+    write_bucketed,
+)
 
 
 def test_catalog_tables_are_queryable_by_sql(spark, tmp_path):
@@ -35,8 +45,7 @@ def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
     before = {r[BUCKET_COL]: r["n"] for r in store.read("raw", "events")
               .groupBy(BUCKET_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
     delta = spark.createDataFrame([("5", 9), ("new", 1)], "event_id string, yes_rsvp_count bigint")
-    touched = merge_into(store, delta, "raw", "events", "event_id", ["yes_rsvp_count"], 8,
-                         str(tmp_path / "staging"))
+    touched = merge_into(store, delta, "raw", "events", "event_id", ["yes_rsvp_count"], 8)
     assert 1 <= len(touched) <= 2
     after_df = store.read("raw", "events")
     assert after_df.count() == 201
@@ -50,17 +59,127 @@ def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
 
 
 def test_compact_keeps_rows_and_reduces_files(spark, tmp_path):
-    import os
-
     store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
     for i in range(5):
         store.append(spark.createDataFrame([(i, f"r{i}")], "id bigint, v string"), "mon", "log")
-    folder = store.path("mon", "log")
 
     def parts():
-        return [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        return store.read("mon", "log").inputFiles()
 
     assert len(parts()) >= 5
-    store.compact("mon", "log", str(tmp_path / "staging" / "log"))
+    store.compact("mon", "log")
     assert len(parts()) == 1
     assert sorted(r["id"] for r in store.read("mon", "log").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_log_is_compacted_by_appends(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_LOADS", 4)
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    for i in range(7):
+        store.append(spark.createDataFrame([(i,)], "id bigint"), "mon", "log")
+    assert len(store.version("mon", "log").loads) == 3
+    assert sorted(r["id"] for r in store.read("mon", "log").collect()) == list(range(7))
+    with pytest.raises(ValueError, match="columns of mon.log"):
+        store.append(spark.createDataFrame([("a",)], "id string"), "mon", "log")
+
+
+def _ids(df):
+    return sorted(r["id"] for r in df.select("id").collect())
+
+
+def test_a_job_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    """In the middle of the write, or between the write and the publication."""
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    store.replace(spark.range(5), "raw", "t")
+    broken = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("lost")))
+                                     .otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        store.replace(broken.repartition(4), "raw", "t")
+    assert _ids(store.read("raw", "t")) == list(range(5))
+    real = store.files.create
+    monkeypatch.setattr(store.files, "create", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        store.replace(spark.range(9), "raw", "t")
+    assert _ids(store.read("raw", "t")) == list(range(5))
+    monkeypatch.setattr(store.files, "create", real)
+    store.replace(spark.range(7), "raw", "t")
+    assert _ids(store.read("raw", "t")) == list(range(7))
+
+
+def test_readers_keep_their_version_until_it_is_removed(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    store.replace(spark.range(3), "raw", "t")
+    reader = store.read("raw", "t")
+    store.replace(store.read("raw", "t").select((F.col("id") + 10).alias("id")), "raw", "t")
+    store.replace(spark.range(1), "raw", "t")
+    assert _ids(reader) == [0, 1, 2] and _ids(store.read("raw", "t", 2)) == [10, 11, 12]
+    under_way = store.stage(spark.range(2), "raw", "t")
+    assert len(store.vacuum("raw", "t", keep=2)) == 1
+    assert store.versions("raw", "t") == [2, 3] and _ids(store.read("raw", "t", 2)) == [10, 11, 12]
+    store.publish(under_way)                       # an unpublished write was not removed
+    assert _ids(store.read("raw", "t")) == [0, 1]
+    dead = store.stage(spark.range(2), "raw", "t")
+    assert store.vacuum("raw", "t", keep=9, orphan_hours=-1) == [dead.load]
+
+
+def test_concurrent_writers(spark, tmp_path):
+    """Appends of several jobs all arrive; a bucket rewrite on an old version is refused."""
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: store.append(spark.range(i, i + 1), "mon", "log"), range(12)))
+    assert _ids(store.read("mon", "log")) == list(range(12))
+    assert store.versions("mon", "log") == list(range(1, 13))
+    base = spark.range(20).select(F.col("id").cast("string").alias("k"), F.col("id"))
+    write_bucketed(store, base, "raw", "t", "k", 4)
+    number = store.version("raw", "t").number
+    store.replace(store.read("raw", "t").filter("id < 10").drop(BUCKET_COL), "raw", "t")
+    with pytest.raises(tables.ConcurrentWrite):
+        tables.replace_buckets(store, base, "raw", "t", "k", 4, based_on=number)
+    assert _ids(store.read("raw", "t")) == list(range(10))
+
+
+def test_merge_writes_only_the_touched_buckets_once(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    base = spark.range(200).select(F.col("id").cast("string").alias("k"), F.col("id").alias("n"))
+    write_bucketed(store, base, "raw", "t", "k", 8)
+    first = store.version("raw", "t")
+    touched = merge_into(store, spark.createDataFrame([("5", 9), ("new", 1)], "k string, n bigint"),
+                         "raw", "t", "k", ["n"], 8)
+    second = store.version("raw", "t")
+    (old, kept), (new, moved) = second.loads.items()
+    assert [old] == list(first.loads) and sorted(moved) == touched
+    assert sorted(kept + moved) == sorted(first.loads[old])
+    folder = store.path("raw", "t")
+    assert {f"{BUCKET_COL}={b}" for b in touched} == {
+        n for n in store.files.names(f"{folder}/{new}") if n.startswith(BUCKET_COL)}
+    pruned = store.read("raw", "t").filter(F.col(BUCKET_COL) == touched[0])
+    assert "PartitionFilters: [isnotnull(key_bucket" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_buckets_and_merge_before_and_after(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    base = spark.range(300).select(F.col("id").cast("string").alias("k"), F.col("id").alias("n"))
+    write_bucketed(store, base.union(spark.createDataFrame([(None, -1)], "k string, n bigint")), "raw", "t", "k", 4)
+    delta = spark.createDataFrame([("5", 1000), ("x", 1001)], "k string, n bigint")
+    merge_into(store, delta, "raw", "t", "k", ["n"], 4)
+    before = sorted(store.read("raw", "t").select("k", "n").collect(), key=str)
+    assert split_buckets(store, "raw", "t", "k") == 8
+    after = store.read("raw", "t")
+    assert sorted(after.select("k", "n").collect(), key=str) == before
+    assert after.filter(F.col(BUCKET_COL) != tables.bucket_of("k", 8)).count() == 0
+    with pytest.raises(ValueError, match="8 buckets"):
+        merge_into(store, delta, "raw", "t", "k", ["n"], 4)
+    merge_into(store, delta.withColumn("n", F.col("n") + 1), "raw", "t", "k", ["n"], 8)
+    got = {r["k"]: r["n"] for r in store.read("raw", "t").filter("n > 900").collect()}
+    assert got == {"5": 1001, "x": 1002}
+
+
+def test_sql_sees_the_current_version_without_a_gap(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "wh"), use_catalog=True)
+    store.create_database("ver_t")
+    write_bucketed(store, spark.range(50).withColumn("k", F.col("id").cast("string")), "ver_t", "t", "k", 4)
+    assert spark.table("ver_t.t").columns == ["id", "k"]      # no column of the layout
+    merge_into(store, spark.createDataFrame([(99, "99")], "id bigint, k string"), "ver_t", "t", "k", ["id"], 4)
+    assert spark.sql("SELECT count(*), max(id) FROM ver_t.t").first()[:] == (51, 99)
+    store.replace(spark.createDataFrame([(1.5,)], "`a.b` double"), "ver_t", "t")
+    assert spark.sql("SELECT `a.b` FROM ver_t.t").first()[0] == 1.5
