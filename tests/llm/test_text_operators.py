@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from eventmart.llm import language_id, pii, secret_scan, sentencepieces, sketches, toxicity
@@ -275,30 +277,106 @@ def test_sentencepiece_equals_the_library(spark, edge_docs, no_docs, monkeypatch
 
 # ---- sketches ---------------------------------------------------------------
 
-def paragraphs(text):
-    return {u for u in re.split(r"\n+|(?<=[.?])[ \t\n\x0b\f\r]+", text) if u}
+def hashed(text):
+    return xxhash.xxh64_intdigest(text.encode(), 42)
+
+
+def signed(h):
+    return h - 2**64 if h >= 2**63 else h
+
+
+def plain_pieces(paragraph):
+    """The piece rule over again, for texts of ASCII and Han letters."""
+    if len(paragraph) <= sketches.FIRST:
+        return [paragraph]
+    units, at = [], 0
+    while at < len(paragraph):
+        end = at
+        while end < len(paragraph) and paragraph[end].isspace():
+            end += 1
+        start = end
+        if start < len(paragraph) and ord(paragraph[start]) > 0x3400:
+            end += 1
+        while end < len(paragraph) and not paragraph[end].isspace() and ord(paragraph[end]) < 0x3400 and end - start < sketches.UNIT and ord(paragraph[start]) < 0x3400:
+            end += 1
+        units.append(paragraph[at:end])
+        at = end
+    if len([u for u in units if u.strip()]) <= sketches.FIRST:
+        return [paragraph]
+    out, held = [], []
+    for i, u in enumerate(units, 1):
+        held.append(u)
+        ends = i == sketches.FIRST or (i > sketches.FIRST and signed(hashed(u.strip(" "))) % sketches.EVERY == 0) or i == len(units)
+        if ends or len(held) == sketches.LONGEST:
+            out.append("".join(held))
+            held = []
+    return out
+
+
+def plain_digests(text):
+    ds = [signed(hashed(piece)) for u in re.split(r"\n+|(?<=[.?!:;])[ \t\n\x0b\f\r]+|(?<=[。])", text) if u for piece in plain_pieces(u)]
+    out, held = ds[: sketches.SINGLE], []
+    for i, d in enumerate(ds[sketches.SINGLE :], sketches.SINGLE + 1):
+        held.append(d)
+        if d % sketches.GROUP == 0 or i == len(ds) or len(held) == sketches.LONGEST_GROUP:
+            h = 42
+            for x in held:
+                h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+            out.append(signed(h))
+            held = []
+    return set(out)
+
+
+def check_sketches(rows, docs):
+    """``rows`` of the operator for ``docs`` (id, text) in their order, the next one being the document behind."""
+    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    want = []
+    for n, (i, t) in enumerate(docs):
+        following = docs[(n + 1) % len(docs)][1]
+        m = len(t) // 3
+        edited = t[: len(t) - m] + following[:m]
+        a, b, c = plain_digests(t), plain_digests(edited), plain_digests(following)
+        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), round(alike(a, b), 9), round(alike(a, c), 9)))
+    got = [(r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in rows]
+    assert sorted(got, key=KEY) == sorted(want, key=KEY)
 
 
 def test_sketches_equal_the_exact_sets(spark):
     rnd = random.Random(9)
     lines = [f"line {i} of it." for i in range(900)]
     texts = ["\n".join(rnd.sample(lines, rnd.choice([0, 1, 3, 10, 40, 300, 800]))) for _ in range(40)] + ["", "", "same. text", "same. text"]
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8)))
+    texts += [" ".join(word() for _ in range(n)) + rnd.choice(["", "; ", "! "]) + word() for n in (24, 25, 90, 700)]
+    texts += ["".join(chr(rnd.randint(0x4E00, 0x9000)) + "。" * (rnd.random() < 0.02) for _ in range(500)), "x" * 900, texts[3] + " " + texts[5]]
     docs = spark.createDataFrame([(i * 3, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
-    got = {r["doc_id"]: r for r in sketches.compare_with_edits(docs).collect()}
+    rows = sketches.compare_with_edits(docs).collect()
     order = [(i * 3, t) for i, t in enumerate(texts)][::-1]
-    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    for n, (i, t) in enumerate(order):
-        following = order[(n + 1) % len(order)][1]
-        m = len(t) // 3
-        edited = t[: len(t) - m] + following[:m]
-        r = got[i]
-        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert r["near_edited"] == pytest.approx(alike(paragraphs(t), paragraphs(edited)))
-        assert r["near_next"] == pytest.approx(alike(paragraphs(t), paragraphs(following)))
+    check_sketches(rows, order)
     by_text = {}
-    for i, t in order:
-        assert by_text.setdefault(t, got[i]["fingerprint"]) == got[i]["fingerprint"]
-    assert len(set(by_text.values())) == len({frozenset(paragraphs(t)) for t in by_text})
+    for r in rows:
+        t = texts[r["doc_id"] // 3]
+        assert by_text.setdefault(t, r["fingerprint"]) == r["fingerprint"]
+    assert len(set(by_text.values())) == len({frozenset(plain_digests(t)) for t in by_text})
+
+
+def test_what_no_sketch_gives_away_is_compared_exactly(spark, monkeypatch):
+    monkeypatch.setattr(sketches, "LEVELS", 1)
+    lines = [f"line {i} of it." for i in range(700)]
+    docs = [(2, "\n".join(lines[:500])), (1, "\n".join(lines[200:]))]
+    check_sketches(sketches.compare_with_edits(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+
+
+def test_rows_without_an_id_and_repeated_ids_are_spread(spark):
+    """A third of the rows has no id, a third one and the same; many of them are equal."""
+    rnd = random.Random(3)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 100 + i, rnd.choice(["", "same. text", f"row {i}. of it", f"row {i % 9}. of it"])) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    place = lambda r: (r[0] is not None, r[0] or 0, signed(hashed(r[1])))
+    order = sorted(sorted(rows, key=lambda r: r[1]), key=place, reverse=True)
+    check_sketches(sketches.compare_with_edits(df).collect(), order)
+    at = F.coalesce("doc_id", F.lit(-sketches.NULL_ID))
+    sizes = sketches.cells(df.select("doc_id", "text", at.alias("at"), F.xxhash64("text").alias("h"))).groupBy("cell").count().collect()
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) < 150
 
 
 def test_parts_of_texts_without_full_stops_keep_their_digests(spark):
@@ -330,7 +408,12 @@ def test_parts_of_texts_without_full_stops_keep_their_digests(spark):
 
 
 def test_sketch_edges(spark, edge_docs, no_docs):
-    assert sketches.compare_with_edits(edge_docs).count() == edge_docs.count()
+    rows = sketches.compare_with_edits(edge_docs).collect()
+    docs = [(r["doc_id"], r["text"] or "") for r in edge_docs.select("doc_id", "text").collect()]
+    texts = {i: [t for j, t in docs if j == i] for i, _ in docs}
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in rows) == sorted((str(i), len(t)) for i, t in docs)
+    for r in rows:  # the edited text is one of the row's own texts with another row's beginning
+        assert r["edited_sha256"] in {hashlib.sha256((t[: len(t) - len(t) // 3] + u[: len(t) // 3]).encode()).hexdigest() for t in texts[r["doc_id"]] for _, u in docs}
     assert sketches.compare_with_edits(no_docs).count() == 0
     one = spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")
     r = sketches.compare_with_edits(one).first()
