@@ -7,11 +7,12 @@
    overlap, so each occurrence is counted once.
 2. The dictionary of distinct chunks with their frequencies replaces the corpus: phrases
    are counted inside distinct chunks only, times the chunk's frequency.
-3. Shorter phrases first: a phrase of n words can be frequent only if its first and its
-   last n-1 words are.  Their hashes set bits of a table of fixed size (``FILTER_BITS``,
-   8 MB, whatever the corpus; with few frequent phrases it lets little else through, with
-   very many all of them), which every task gets.  It only saves work: phrases that come
-   through are counted by their words, exactly.
+3. A first pass counts words, and of longer phrases their hashes of 40 bits, which travel
+   packed by buckets.  A phrase can be frequent only if its hash is.  The frequent hashes
+   set bits of a table of fixed size (``FILTER_BITS``, 8 MB, whatever the corpus; with few
+   frequent phrases it lets little else through, with very many all of them), which every
+   task gets.  It only saves work: phrases that come through in the second pass are
+   counted by their words, exactly.
 4. Scores take frequencies from the counted phrases by joins, in exact decimals.
 
 Null texts count as empty and null groups as ``und``.  A document without words has no
@@ -23,6 +24,7 @@ table has no row.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,13 +34,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import words as W
-from .common import written
+from .common import partitions, written
 
 #: Words of a chunk, on average.
 EVERY = 32
 FILTER_BITS = 26
 #: Words of 64 bits of the table that are packed at once.
 SEGMENT = 1 << 14
+#: Bits of a 64-bit hash that are left out; keys and words that a task adds up before it hands them on.
+KEY_SHIFT = np.uint64(24)
+MOST_KEYS, MOST_WORDS = 1 << 22, 1 << 21
 #: Rows of phrases that a task hands over at once.
 ROWS = 1 << 18
 
@@ -51,13 +56,18 @@ _IN_WORD = np.ones(256, bool)
 _IN_WORD[[ord("\n"), ord(" ")]] = False
 
 
+def stretch_places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all bytes of the stretches, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow column of the stretches [start, end) of ``data``."""
     lengths = ends - starts
     offsets = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
-    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)
-    made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[places])])
+    made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[stretch_places(starts, lengths)])])
     return made.cast(pa.binary()).cast(kind)
 
 
@@ -127,10 +137,10 @@ def dictionary(docs: DataFrame, group: str = "lang", longest: int = 3) -> DataFr
 
 # ---- counting ---------------------------------------------------------------
 
-def bits_of(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of a hash in the table of frequent phrases."""
-    top = np.uint64(64 - FILTER_BITS)
-    return (hashed >> top).astype(np.int64), ((hashed * np.uint64(0x9FB21C651E98DF25)) >> top).astype(np.int64)
+def bits_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of a key in the table of frequent phrases."""
+    low = np.uint64(2**FILTER_BITS - 1)
+    return (keys & low).astype(np.int64), ((keys * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def group_hash(names: pa.Array) -> np.ndarray:
@@ -139,8 +149,66 @@ def group_hash(names: pa.Array) -> np.ndarray:
     return np.array([W.hashes(data, offsets[i : i + 1], offsets[i + 1 : i + 2])[0] if offsets[i + 1] > offsets[i] else 1 for i in range(len(names))], np.uint64)
 
 
-def frequent_bits(frequent: DataFrame) -> np.ndarray:
-    """The table of frequent phrases (grp, phrase): 2^FILTER_BITS bits, each phrase sets two.
+@dataclass
+class Slice:
+    """The words of some chunks of a batch (grp, chunk, closed, times)."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hashed: np.ndarray
+    rows: np.ndarray  # the chunk of each word, by its row in the batch
+    group: np.ndarray  # hash of the chunk's group
+    mine: np.ndarray  # whether a phrase that starts here is the chunk's own
+    goes_on: np.ndarray  # whether the next word is of the same piece and chunk
+
+    def begins(self, n: int) -> np.ndarray:
+        """The words with which the chunks' phrases of ``n`` words begin."""
+        ok = self.mine.copy()
+        for k in range(n - 1):
+            ok[: len(ok) - k] &= self.goes_on[k:]
+            ok[len(ok) - k :] = False
+        return np.flatnonzero(ok)
+
+    def keys(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of the group and the ``n`` words from each place on."""
+        key = W.joined(self.group[at], self.hashed[at])
+        for k in range(1, n):
+            key = W.joined(key, self.hashed[at + k])
+        return key
+
+
+def slices(batch: pa.RecordBatch, longest: int) -> Iterator[Slice]:
+    if not batch.num_rows:
+        return
+    names = batch.column(0).dictionary_encode()
+    own = group_hash(names.dictionary)[names.indices.to_numpy()]
+    data, offsets = W.buffers(batch.column(1))
+    closed = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+    for first, last in W.groups(offsets):
+        low, ends_of = int(offsets[first]), offsets[first : last + 1]
+        part = data[low : int(ends_of[-1])]
+        texts, starts, ends, hashed = W.words(part, _IN_WORD, ends_of - low)
+        goes_on = np.zeros(len(starts), bool)
+        goes_on[:-1] = (part[ends[:-1]] == ord(" ")) & (texts[1:] == texts[:-1])
+        behind = np.searchsorted(texts, texts, "right")
+        mine = np.arange(len(starts)) < behind - np.where(closed[first:last][texts], 0, longest - 1)
+        yield Slice(part, starts, ends, hashed, first + texts, own[first + texts], mine, goes_on)
+
+
+class Known:
+    """The broadcast table of frequent phrases."""
+
+    def __init__(self, packed: np.ndarray):
+        self.packed = packed
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        a, b = bits_of(keys)
+        return ((self.packed[a >> 3] >> (a & 7).astype(np.uint8)) & (self.packed[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def packed_bits(keys: DataFrame) -> np.ndarray:
+    """The table that holds these keys (key): 2^FILTER_BITS bits, each key sets two.
 
     Tasks give places; an aggregate joins them to words of 64 bits, 2^FILTER_BITS / 64 at
     most, and these are packed in segments, so the driver gets the table's bytes and no rows.
@@ -148,29 +216,15 @@ def frequent_bits(frequent: DataFrame) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.column(0).dictionary_encode()
-            own = group_hash(names.dictionary)[names.indices.to_numpy()]
-            data, offsets = W.buffers(batch.column(1))
-            for first, last in W.groups(offsets):
-                low, ends = int(offsets[first]), offsets[first : last + 1]
-                texts, _, _, hashed = W.words(data[low : int(ends[-1])], _IN_WORD, ends - low)
-                opens = np.flatnonzero(np.concatenate(([True], texts[1:] != texts[:-1])))
-                key = W.joined(own[first:last], hashed[opens])
-                count = np.diff(np.append(opens, len(texts)))
-                for k in range(1, int(count.max())):
-                    more = count > k
-                    key[more] = W.joined(key[more], hashed[opens[more] + k])
-                place = np.concatenate(bits_of(key))
-                yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array(np.int64(1) << (place & 63))], names=["at", "bits"])
+            place = np.concatenate(bits_of(batch.column(0).to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array(np.int64(1) << (place & 63))], names=["at", "bits"])
 
     def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         words_ = np.zeros(SEGMENT, np.int64)
         words_[rows["at"].to_numpy(np.int64) % SEGMENT] = rows["bits"].to_numpy(np.int64)
         return pd.DataFrame({"segment": [key[0]], "words": [words_.tobytes()]})
 
-    found = frequent.select("grp", "phrase").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    found = keys.select("key").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
     segments = found.groupBy(F.floor(F.col("at") / SEGMENT).alias("segment")).applyInPandas(packed, "segment long, words binary")
     table = np.zeros(2**FILTER_BITS // 64, np.int64)
     for row in segments.collect():
@@ -179,73 +233,187 @@ def frequent_bits(frequent: DataFrame) -> np.ndarray:
     return table.view(np.uint8)
 
 
-def phrases(chunk_table: DataFrame, n: int, longest: int, shorter: DataFrame | None) -> DataFrame:
-    """grp, phrase, times: phrases of ``n`` words inside the distinct chunks, each where it
-    starts; with ``shorter`` only those whose parts may be among these frequent phrases."""
-    spark = chunk_table.sparkSession
-    # 2^FILTER_BITS / 8 bytes, whatever the corpus.
-    table = None if shorter is None else spark.sparkContext.broadcast(frequent_bits(shorter))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = None if table is None else table.value
+def alike(data: np.ndarray, keys: np.ndarray, starts: np.ndarray, lengths: np.ndarray, times: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One phrase of each kind, and the sum of its kind's times.
 
-        def known(key: np.ndarray) -> np.ndarray:
-            a, b = bits_of(key)
-            return ((packed[a >> 3] >> (a & 7).astype(np.uint8)) & (packed[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
+    Kinds are found by ``keys``, hashes of group and phrase, and every member is compared
+    with the one that stands for it, byte by byte; should two kinds share a key, all stay.
+    """
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    opens = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    one = order[opens]
+    others = np.ones(len(keys), bool)
+    others[opens] = False
+    member, its = order[others], np.repeat(one, np.diff(np.append(opens, len(keys))) - 1)
+    same = (lengths[member] == lengths[its]).all() and (groups[member] == groups[its]).all()
+    if same and (data[stretch_places(starts[member], lengths[member])] == data[stretch_places(starts[its], lengths[its])]).all():
+        return one, np.add.reduceat(times[order], opens)
+    return np.arange(len(keys)), times
+
+
+def handed(batch: pa.RecordBatch, s: Slice, at: np.ndarray, n: int, times: np.ndarray) -> Iterator[tuple[pa.Array, ...]]:
+    """grp, phrase and times of the phrases of ``n`` words from these places on."""
+    for i in range(0, len(at), ROWS):
+        some = at[i : i + ROWS]
+        phrase = gathered(s.data, s.starts[some], s.ends[some + n - 1], pa.string())
+        yield batch.column(0).take(pa.array(s.rows[some])), phrase, pa.array(times[i : i + ROWS])
+
+
+class Tally:
+    """What a task has counted so far: words by bucket, and hashes of longer phrases."""
+
+    def __init__(self, buckets: int, least: int):
+        self.buckets, self.least = buckets, least
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: list[dict[tuple[int, bytes], int]] = [{} for _ in range(self.buckets)]
+        self.held = self.keys_held = 0
+        self.keys: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+
+    def add_words(self, s: Slice, times: np.ndarray, groups: np.ndarray) -> None:
+        at = s.begins(1)
+        if not len(at):
+            return
+        keys = s.keys(at, 1)
+        kept, sums = alike(s.data, keys, s.starts[at], s.ends[at] - s.starts[at], times[s.rows[at]], groups[s.rows[at]])
+        to = (keys[kept] & np.uint64(self.buckets - 1)).tolist()
+        at = at[kept]
+        raw = s.data.tobytes()
+        for bucket, group, a, b, n in zip(to, groups[s.rows[at]].tolist(), s.starts[at].tolist(), s.ends[at].tolist(), sums.tolist(), strict=True):
+            table, word = self.words[bucket], (group, raw[a:b])
+            table[word] = table.get(word, 0) + n
+        self.held += len(at)
+
+    def add_keys(self, keys: np.ndarray, times: np.ndarray) -> None:
+        self.keys.append(keys >> KEY_SHIFT)
+        self.times.append(np.minimum(times, self.least))
+        self.keys_held += len(keys)
+
+    def full(self) -> bool:
+        return self.held > MOST_WORDS or self.keys_held > MOST_KEYS
+
+    def rows(self, names: list) -> pa.RecordBatch:
+        """A row for each bucket and group: its words and their counts; one for its keys."""
+        out: list[tuple] = []
+        for bucket, table in enumerate(self.words):
+            by_group: dict[int, list[tuple[bytes, int]]] = {}
+            for (group, word), n in table.items():
+                by_group.setdefault(group, []).append((word, n))
+            for group, found in by_group.items():
+                text, counts = zip(*found, strict=True)
+                out.append((bucket, names[group], b"\n".join(text), np.array(counts, "<i8").tobytes()))
+        if self.keys_held:
+            keys, sums = summed(np.concatenate(self.keys), np.concatenate(self.times), self.least)
+            to = (keys & np.uint64(self.buckets - 1)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            cuts = np.searchsorted(to[order], np.arange(self.buckets + 1))
+            for bucket in range(self.buckets):
+                own = order[cuts[bucket] : cuts[bucket + 1]]
+                if len(own):
+                    out.append((bucket, None, packed_keys(keys[own]), sums[own].astype("<u4").tobytes()))
+        self.clear()
+        columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "grp", "found", "times"])
+
+
+def summed(keys: np.ndarray, times: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, and the sum of its times, ``least`` at most."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    opens = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[opens], np.minimum(np.add.reduceat(times[order], opens), least) if len(keys) else times
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Keys of 40 bits as five bytes each."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
+def first_pass(chunk_table: DataFrame, longest: int, least: int) -> DataFrame:
+    """grp, phrase, key, f: all words with their counts (key null), and the hashes of
+    longer phrases that may occur ``least`` times (grp, phrase null)."""
+    # Each bucket is put together by one task: as many as there are partitions.
+    buckets = 1 << max(6, (partitions(chunk_table.sparkSession) - 1).bit_length())
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, names, number = Tally(buckets, least), [], {}
         for batch in batches:
-            if not batch.num_rows:
+            times = batch.column(3).to_numpy(zero_copy_only=False)
+            coded = batch.column(0).dictionary_encode()
+            for name in coded.dictionary.to_pylist():
+                if name not in number:
+                    number[name] = len(names)
+                    names.append(name)
+            groups = np.array([number[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+            for s in slices(batch, longest):
+                tally.add_words(s, times, groups)
+                for n in range(2, longest + 1):
+                    at = s.begins(n)
+                    tally.add_keys(s.keys(at, n), times[s.rows[at]])
+                if tally.full():
+                    yield tally.rows(names)
+        yield tally.rows(names)
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        tables: dict[str, dict[bytes, int]] = {}
+        keys, times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for group, found, counts in zip(rows["grp"], rows["found"], rows["times"], strict=True):
+            if group is None:
+                keys.append(unpacked_keys(found))
+                times.append(np.frombuffer(counts, "<u4").astype(np.int64))
                 continue
-            names = batch.column(0).dictionary_encode()
-            own = group_hash(names.dictionary)[names.indices.to_numpy()]
-            data, offsets = W.buffers(batch.column(1))
-            closed = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            table = tables.setdefault(group, {})
+            for word, n in zip(found.split(b"\n"), np.frombuffer(counts, "<i8").tolist(), strict=True):
+                table[word] = table.get(word, 0) + n
+        often, sums = summed(np.concatenate(keys), np.concatenate(times), least)
+        often = often[sums >= least]
+        words_ = [(group, word.decode("utf-8", "replace"), n) for group, table in tables.items() for word, n in table.items()]
+        made = pd.DataFrame(words_, columns=["grp", "phrase", "f"]).assign(key=None)
+        hashes_ = pd.DataFrame({"grp": None, "phrase": None, "f": least, "key": pd.array(often.astype(np.int64), "Int64")})
+        return pd.concat([x for x in (made, hashes_) if len(x)] or [made])[["grp", "phrase", "key", "f"]]
+
+    sent = chunk_table.select("grp", "chunk", "closed", "times").mapInArrow(run, "bucket long, grp string, found binary, times binary")
+    return sent.groupBy("bucket").applyInPandas(meet, "grp string, phrase string, key long, f long")
+
+
+def second_pass(chunk_table: DataFrame, longest: int, keys: DataFrame) -> DataFrame:
+    """grp, words, phrase, times: phrases of 2 words or more inside the distinct chunks, each
+    where it starts, whose hash may be among ``keys``."""
+    # 2^FILTER_BITS / 8 bytes, whatever the corpus.
+    table = chunk_table.sparkSession.sparkContext.broadcast(packed_bits(keys))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(table.value)
+        for batch in batches:
             times = batch.column(3).to_numpy(zero_copy_only=False)
-            for first, last in W.groups(offsets):
-                low, ends_of = int(offsets[first]), offsets[first : last + 1]
-                part = data[low : int(ends_of[-1])]
-                texts, starts, ends, hashed = W.words(part, _IN_WORD, ends_of - low)
-                if len(starts) < n:
-                    continue
-                # A phrase may go on from a word to the next one behind a blank of the same chunk.
-                goes_on = np.zeros(len(starts), bool)
-                goes_on[:-1] = (part[ends[:-1]] == ord(" ")) & (texts[1:] == texts[:-1])
-                last_word = np.searchsorted(texts, texts, "right")
-                own_words = np.arange(len(starts)) < last_word - np.where(closed[first:last][texts], 0, longest - 1)
-                ok = own_words.copy()
-                for k in range(n - 1):
-                    ok[: len(ok) - k] &= goes_on[k:]
-                    ok[len(ok) - k :] = False
-                at = np.flatnonzero(ok)
-                if packed is not None and len(at):
-                    for begin in (0, 1):  # its first and its last n - 1 words
-                        key = W.joined(own[first:last][texts[at]], hashed[at + begin])
-                        for k in range(1, n - 1):
-                            key = W.joined(key, hashed[at + begin + k])
-                        keep = known(key)
-                        at = at[keep]
-                for i in range(0, len(at), ROWS):
-                    some = at[i : i + ROWS]
-                    rows = first + texts[some]
-                    phrase = gathered(part, starts[some], ends[some + n - 1], pa.string())
-                    group_ = names.dictionary.take(names.indices.take(pa.array(rows)))
-                    yield pa.RecordBatch.from_arrays([group_, phrase, pa.array(times[rows])], names=["grp", "phrase", "times"])
-
-    return chunk_table.select("grp", "chunk", "closed", "times").mapInArrow(run, "grp string, phrase string, times long")
+            for s in slices(batch, longest):
+                for n in range(2, longest + 1):
+                    at = s.begins(n)
+                    at = at[known.has(s.keys(at, n) >> KEY_SHIFT)]
+                    for group, phrase, count in handed(batch, s, at, n, times[s.rows[at]]):
+                        yield pa.RecordBatch.from_arrays([group, pa.array(np.full(len(count), n, np.int32)), phrase, count], names=["grp", "words", "phrase", "times"])
+
+    return chunk_table.select("grp", "chunk", "closed", "times").mapInArrow(run, "grp string, words int, phrase string, times long")
 
 
 def counted(chunk_table: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
     """(sizes, frequent): words of each group (grp, n); phrases of 1 to ``longest`` words
     (grp, words, phrase, f) with f >= least."""
-    every = written(phrases(chunk_table, 1, longest, None).groupBy("grp", "phrase").agg(F.sum("times").alias("f")), "words")
-    sizes = every.groupBy("grp").agg(F.sum("f").alias("n"))
-    found = level = every.where(F.col("f") >= least)
-    out = found.select("grp", F.lit(1).alias("words"), "phrase", "f")
-    for n in range(2, longest + 1):
-        sums = phrases(chunk_table, n, longest, level).groupBy("grp", "phrase").agg(F.sum("times").alias("f"))
-        level = written(sums.where(F.col("f") >= least), f"phrases-{n}")
-        out = out.unionByName(level.select("grp", F.lit(n).alias("words"), "phrase", "f"))
-    return sizes, out
+    first = written(first_pass(chunk_table, longest, least), "words")
+    words_ = first.where(F.col("key").isNull())
+    sizes = words_.groupBy("grp").agg(F.sum("f").alias("n"))
+    sums = second_pass(chunk_table, longest, first.where(F.col("key").isNotNull())).groupBy("grp", "words", "phrase").agg(F.sum("times").alias("f"))
+    longer = written(sums.where(F.col("f") >= least), "phrases")
+    return sizes, words_.where(F.col("f") >= least).select("grp", F.lit(1).alias("words"), "phrase", "f").unionByName(longer)
 
 
 # ---- scores -----------------------------------------------------------------

@@ -167,9 +167,34 @@ def test_parse_counts_each_phrase_once(spark, monkeypatch):
     for longest in (2, 3, 5):
         table = collocations.dictionary(df, longest=longest)
         assert table.agg({"times": "max"}).first()[0] > 1
-        want = {(lang, " ".join(p), c) for lang, f in plain_phrases(docs, longest).items() for p, c in f.items() if len(p) == longest}
-        got = collocations.phrases(table, longest, longest, None).groupBy("grp", "phrase").sum("times").collect()
-        assert {tuple(r) for r in got} == want
+        plain = plain_phrases(docs, longest)
+        of = lambda n: {(lang, " ".join(p), c) for lang, f in plain.items() for p, c in f.items() if len(p) == n}
+        first = collocations.first_pass(table, longest, 4).collect()
+        assert {(r["grp"], r["phrase"], r["f"]) for r in first if r["key"] is None} == of(1)
+        assert len({r["key"] for r in first} - {None}) == sum(c >= 4 for n in range(2, longest + 1) for _, _, c in of(n))
+        keys = spark.createDataFrame([(r["key"],) for r in collocations.first_pass(table, longest, 1).collect() if r["key"] is not None], "key long")
+        got = collocations.second_pass(table, longest, keys).groupBy("grp", "phrase").sum("times").collect()
+        assert {tuple(r) for r in got} == set().union(*(of(n) for n in range(2, longest + 1)))
+
+
+def test_tallies_that_are_handed_on_early(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MOST_KEYS", 50)
+    monkeypatch.setattr(W, "SLICE", 256)
+    docs = some_docs(9, 60)
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(docs)], "doc_id long, text string, lang string")
+    assert sorted(tuple(r) for r in collocations.mine(df, least=3, top=50).collect()) == plain_mine(docs, 3, 50)
+
+
+def test_equal_phrases_are_added_up_and_different_ones_never(monkeypatch):
+    import numpy as np
+
+    data = np.frombuffer(b"ab cd ab xy ab", np.uint8)
+    starts, lengths, groups, times = np.array([0, 3, 6, 9, 12]), np.full(5, 2), np.array([0, 0, 0, 0, 1]), np.array([1, 2, 4, 8, 16])
+    one, sums = collocations.alike(data, np.array([5, 7, 5, 9, 6], np.uint64), starts, lengths, times, groups)
+    assert dict(zip(one.tolist(), sums.tolist(), strict=True)) == {0: 5, 1: 2, 3: 8, 4: 16}
+    for keys in ([5, 5, 5, 9, 6], [5, 7, 5, 9, 5]):  # other bytes, or another group, under one key
+        one, sums = collocations.alike(data, np.array(keys, np.uint64), starts, lengths, times, groups)
+        assert one.tolist() == [0, 1, 2, 3, 4] and sums.tolist() == times.tolist()
 
 
 def test_collocations_of_nothing(spark, no_docs):
