@@ -1,18 +1,20 @@
 """Toxicity by a lexicon trie intersected with Levenshtein automata.
 
 Learning, from labelled rows that are not held out (at most ``TOXIC_ROWS`` toxic
-and ``CLEAN_ROWS`` clean ones, the first by a hash of their id; of copies one):
+and ``CLEAN_ROWS`` clean ones, the first by a hash of id and text; of copies one):
 
-1. Terms - whole words, and stems that begin words - are ranked by the lower
-   bound of their log-odds of being in a toxic document; the best
-   ``LEXICON`` of them, without those that others cover, form the lexicon.
+1. The lexicon is all terms - whole words, and stems that begin words - whose log-odds
+   of being in a toxic document, and the lower bound of these, are high enough, without
+   those that others cover.  The bounds alone choose.
 2. The lexicon's trie is intersected with the automata of all strings within
    the allowed edits (substitution, insertion, deletion, swapped neighbours; one
-   edit from 4 letters on, two from 9), as one table of states and letters.
+   edit from 4 letters on, two from 9), as a table of states and letters: one for each
+   ``TRIE`` terms, as a table's states grow faster than its terms.
 3. Each (term, number of edits) gets a weight: its log-odds over the labelled rows.
 4. A logistic regression over a document's window scores gives the score.
 
-Scoring runs the table over all words of a text at once.  Every hit counts, those
+Scoring runs the tables over all words of a text at once; a word counts for the term
+that it is nearest to.  Every hit counts, those
 in quotation marks apart from the others.  A hit's window is the ``REACH`` words on
 either side; its score is the sum of the weights of the hits of its kind in it,
 each term with its number of edits once a window.  What repetition beyond a window
@@ -23,7 +25,8 @@ count as letters between two letters.
 Null and empty texts have no hits and get the score of a text without any.
 Without toxic and clean training labels every score is the toxic share of the
 labels there are (0 without any).  Rows that repeat a doc_id are scored each.
-A document with several labels counts as toxic if one of them says so.
+A document with several labels counts as toxic if one of them says so.  An empty table
+gives no row; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -39,15 +42,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import held_out, ids_and_texts, small_batches, written
 from .simhash import shingle_hashes
 
 TOXIC_ROWS, CLEAN_ROWS = 5000, 10_000
-LEXICON = 128
-#: Terms of the toxic rows that are also counted in the clean ones, the most frequent first.
-CANDIDATES = 50_000
-LEAST_DOCS = 5
+#: Terms of one table.
+TRIE = 96
+#: Smallest shingle hashes that are compared to tell copies, and the share that must agree.
+SKETCH, SAME = 24, 0.8
 #: Least log-odds of a term, and least lower bound of them (three standard errors down).
 LEAST_ODDS, LEAST_BOUND = 3.0, 0.75
 REACH = 10
@@ -73,7 +77,7 @@ class Automaton:
 
 @dataclass
 class Model:
-    automaton: Automaton | None
+    automaton: list[Automaton] | None
     weights: np.ndarray
     coefficients: np.ndarray
     centre: np.ndarray
@@ -107,8 +111,12 @@ def edits_allowed(term: str) -> int:
     return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
-def automaton(terms: list[tuple[str, bool]]) -> Automaton:
-    """The table for folded ``terms``; the flag marks stems, which any ending may follow."""
+def automaton(terms: list[tuple[str, bool]], numbers: list[int] | None = None) -> Automaton:
+    """The table for folded ``terms``; the flag marks stems, which any ending may follow.
+
+    ``numbers``: what the terms are called in the labels (their places, if not given).
+    """
+    called = list(range(len(terms))) if numbers is None else numbers
     letters = sorted({c for t, _ in terms for c in t})
     number = {c: i + 2 for i, c in enumerate(letters)}  # 1: any other letter
     classes = np.zeros(_CODES, np.int32)
@@ -159,7 +167,7 @@ def automaton(terms: list[tuple[str, bool]]) -> Automaton:
         return close(out)
 
     def end(states: frozenset) -> int:
-        ends = [(e, t) for t, i, e, swap in states if not swap and i == len(terms[t][0])]
+        ends = [(e, called[t]) for t, i, e, swap in states if not swap and i == len(terms[t][0])]
         return min(ends)[1] * 3 + min(ends)[0] if ends else -1
 
     first = close({(t, 0, 0, False) for t in range(len(terms))})
@@ -179,8 +187,32 @@ def automaton(terms: list[tuple[str, bool]]) -> Automaton:
     return Automaton(classes, flag("@$*"), flag(QUOTES), np.array(rows, np.int32), np.array(finals, np.int32), 1)
 
 
-def hits(a: Automaton, texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Of all hits: text, number of the word in it, term * 3 + edits, quoted; and the texts' word counts."""
+def automata(terms: list[tuple[str, bool]]) -> list[Automaton]:
+    """Tables for all terms, ``TRIE`` in each: neighbours in the alphabet share their prefixes."""
+    order = sorted(range(len(terms)), key=lambda i: terms[i])
+    return [automaton([terms[i] for i in part], part) for part in (order[at : at + TRIE] for at in range(0, len(order), TRIE))]
+
+
+def hits(tables: Automaton | list[Automaton], texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Of all hits: text, number of the word in it, term * 3 + edits, quoted; and the texts' word counts.
+
+    A word that several terms are near to counts for the one with the fewest edits, then
+    the first.
+    """
+    if isinstance(tables, Automaton):
+        return hits_of(tables, texts)
+    found = [hits_of(a, texts) for a in tables]
+    if len(found) == 1:
+        return found[0]
+    text, word, label, quoted = (np.concatenate([f[i] for f in found]) for i in range(4))
+    order = np.lexsort((label // 3, label % 3, word, text))
+    text, word, label, quoted = text[order], word[order], label[order], quoted[order]
+    first = np.ones(len(text), bool)
+    first[1:] = (text[1:] != text[:-1]) | (word[1:] != word[:-1])
+    return text[first], word[first], label[first], quoted[first], found[0][4]
+
+
+def hits_of(a: Automaton, texts: list[str]) -> tuple[np.ndarray, ...]:
     lines = "\n".join(texts) + "\n"
     cp = np.frombuffer(lines.encode("utf-32-le", "replace"), np.uint32)
     kind = a.classes[cp]
@@ -231,7 +263,7 @@ def hits(a: Automaton, texts: list[str]) -> tuple[np.ndarray, ...]:
     return text, word - first[text], label, quoted, counts
 
 
-def features(a: Automaton | None, weights: np.ndarray, texts: list[str]) -> np.ndarray:
+def features(a: Automaton | list[Automaton] | None, weights: np.ndarray, texts: list[str]) -> np.ndarray:
     """Per text: best window outside and inside quotations, weights of the distinct terms (log),
     share of all hits' weights in the words, and outside and inside quotations the distinct
     terms and all hits."""
@@ -292,18 +324,31 @@ def labelled(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: in
     )
     first = lambda value, n: known.where(F.col("toxic") == value).orderBy(F.xxhash64("label_id"), "label_id").limit(n)
     chosen = first(1, toxic_rows).union(first(0, clean_rows))
-    rows = ids_and_texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic")
-
-    def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = ids_and_texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    rows = written(rows.select("text", "toxic", F.xxhash64("label_id", "text").alias("h")), "labelled-rows")
+    # The ids are bounded, but any of them may have many rows: their hashes are bounded too.
+    keys = rows.select("toxic", "h").distinct()
+    ends_at = {value: keys.where(F.col("toxic") == value).orderBy("h").limit(n).agg(F.max("h")).first()[0] for value, n in ((1, toxic_rows), (0, clean_rows))}
+    last = F.when(F.col("toxic") == 1, F.lit(ends_at[1])).otherwise(F.lit(ends_at[0])).cast("long")
+    rows = rows.where(F.col("h") <= last).groupBy("toxic", "h").agg(F.first("text").alias("text"))
+
+    def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [shingle_hashes(t.as_py(), 3) or [0] for t in batch.column(0)]
-            low, high = ([f(h) - 2**63 for h in hashes] for f in (min, max))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low), pa.array(high)], names=["text", "toxic", "low", "high"])
-
-    # Copies would make every word of theirs look like a sign of their label: one row of those
-    # that share their smallest or their largest shingle hash stays.
-    marked = rows.mapInArrow(ends, "text string, toxic int, low long, high long")
-    return marked.dropDuplicates(["toxic", "low"]).dropDuplicates(["toxic", "high"]).select("text", "toxic")
+            hashes = [np.unique(np.array(shingle_hashes(t.as_py(), 3) or [0], np.uint64)) for t in batch.column(0)]
+            low, high = (pa.array([x[i].astype(np.int64) for x in hashes], pa.int64()) for i in (0, -1))
+            least = pa.array([x[:SKETCH].astype(np.int64).tolist() for x in hashes], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, low, high, least], names=["text", "toxic", "h", "low", "high", "least"])
+
+    # Copies would make every word of theirs look like a sign of their label.  Rows that share
+    # their smallest or their largest shingle hash with an earlier one, and most of their
+    # sketch, are copies of it.
+    marked = rows.select("text", "toxic", "h").mapInArrow(sketched, "text string, toxic int, h long, low long, high long, least array<long>")
+    for side in ("low", "high"):
+        of = Window.partitionBy("toxic", side).orderBy("h")
+        marked = marked.withColumn("one", F.first("least").over(of)).withColumn("place", F.row_number().over(of))
+        alike = F.size(F.array_intersect("least", "one")) >= SAME * F.greatest(F.size("least"), F.size("one"))
+        marked = marked.where((F.col("place") == 1) | ~alike).drop("one", "place")
+    return marked.select("text", "toxic")
 
 
 def terms_of(text: str) -> set[tuple[str, bool]]:
@@ -312,41 +357,40 @@ def terms_of(text: str) -> set[tuple[str, bool]]:
     return {(w, False) for w in words} | {(w[:k], True) for w in words for k in range(4, min(8, len(w) - 1) + 1)}
 
 
-def counted(rows: DataFrame, only: set[tuple[str, bool]] | None) -> DataFrame:
-    """t, stem, n: in how many of ``rows`` each term (of ``only``) occurs."""
+def counted(rows: DataFrame, name: str) -> DataFrame:
+    """t, stem, ``name``: in how many of ``rows`` each term occurs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
             for text in batch.column(0):
-                terms = terms_of(text.as_py())
-                found.update(terms if only is None else terms & only)
+                found.update(terms_of(text.as_py()))
             if found:
                 (t, stem), n = zip(*found, strict=True), list(found.values())
                 yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(stem), pa.array(n)], names=["t", "stem", "n"])
 
-    return rows.select("text").mapInArrow(run, "t string, stem boolean, n long").groupBy("t", "stem").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(run, "t string, stem boolean, n long").groupBy("t", "stem").agg(F.sum("n").alias(name))
 
 
 def lexicon(rows: DataFrame, toxic: int, clean: int) -> list[tuple[str, bool]]:
     """The terms that stand out in the toxic ones of the bounded training rows."""
-    often = counted(rows.where("toxic = 1"), None).where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "t", "stem").limit(CANDIDATES).withColumnRenamed("n", "p")
-    candidates = often.collect()
-    if not candidates:
-        return []
-    ours = {(r["t"], r["stem"]) for r in candidates}
-    kept = rows.sparkSession.createDataFrame(candidates, often.schema)
-    counts = kept.join(counted(rows.where("toxic = 0"), ours), ["t", "stem"], "left").fillna(0, ["n"])
+    counts = counted(rows.where("toxic = 1"), "p").join(counted(rows.where("toxic = 0"), "n"), ["t", "stem"], "left").fillna(0, ["n"])
     odds = F.log((F.col("p") + 0.5) / (toxic - F.col("p") + 0.5)) - F.log((F.col("n") + 0.5) / (clean - F.col("n") + 0.5))
     bound = odds - 3 * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
-    best = counts.withColumn("bound", bound).where((F.col("bound") > LEAST_BOUND) & (odds > LEAST_ODDS)).orderBy(F.desc("bound"), "stem", F.desc(F.length("t")), "t").limit(8 * LEXICON).collect()
-    chosen: list[tuple[str, bool]] = []
+    best = counts.withColumn("bound", bound).where((F.col("bound") > LEAST_BOUND) & (odds > LEAST_ODDS)).collect()
+    best.sort(key=lambda r: (-r["bound"], r["stem"], -len(r["t"]), r["t"]))
+    chosen: dict[tuple[str, bool], None] = {}
+    stems: set[str] = set()
+    begun: set[str] = set()  # beginnings of the chosen terms
     for row in best:
-        term = folded(row["t"])
-        covered = any(term == t or stem and term.startswith(t) or row["stem"] and t.startswith(term) for t, stem in chosen)
-        if not covered and len(chosen) < LEXICON:
-            chosen.append((term, row["stem"]))
-    return chosen
+        term, stem = folded(row["t"]), row["stem"]
+        covered = (term, False) in chosen or any(term[:k] in stems for k in range(1, len(term) + 1)) or stem and term in begun
+        if not covered:
+            chosen[term, stem] = None
+            begun.update(term[:k] for k in range(1, len(term) + 1))
+            if stem:
+                stems.add(term)
+    return list(chosen)
 
 
 def regression(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -377,7 +421,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, cle
     terms = lexicon(rows, toxic, clean)
     if not terms:
         return nothing
-    a = automaton(terms)
+    a = automata(terms)
 
     def seen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
