@@ -15,7 +15,8 @@ one letter.  The language with the largest sum wins (ties: the first by name);
 
 Words are runs of letters, lower-cased.  A text that is null or has no letter is
 ``und`` with score 0; so is any text when nothing could be learned.  Rows that
-repeat a doc_id are predicted each.
+repeat a doc_id are predicted each; an empty table gives no row.  Texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -41,15 +42,21 @@ _BOUNDARY = 32
 
 @dataclass
 class Table:
-    """A hash table of keys without collisions: a key whose slot a more frequent one has is left out."""
+    """A hash table of keys; one whose slot is taken has the next free slot behind it."""
 
     slots: np.ndarray
     keys: np.ndarray
     logs: np.ndarray
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        at = self.slots[slot(keys)]
-        return np.where((at >= 0) & (self.keys[at] == keys), at, -1)
+        place = slot(keys)
+        found = self.slots[place]
+        left = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
+        while len(left):
+            place[left] = (place[left] + 1) & (len(self.slots) - 1)
+            found[left] = self.slots[place[left]]
+            left = left[(found[left] >= 0) & (self.keys[found[left]] != keys[left])]
+        return found
 
 
 @dataclass
@@ -119,8 +126,10 @@ def table(names: list[str], counts: np.ndarray, key) -> Table:
     """``counts``: a row for each name, most frequent first, a column for each language."""
     keys = np.array([key(n) for n in names], np.uint64) if names else np.empty(0, np.uint64)
     slots = np.full(1 << _SLOTS, -1, np.int32)
-    at = slot(keys)
-    slots[at[::-1]] = np.arange(len(keys))[::-1]
+    for i, at in enumerate(slot(keys).tolist()):
+        while slots[at] >= 0:
+            at = (at + 1) & (len(slots) - 1)
+        slots[at] = i
     smooth = 0.1
     logs = np.log((counts + smooth) / (counts.sum(axis=0) + smooth * max(1, len(names)))) if names else np.zeros((1, counts.shape[1]))
     return Table(slots, keys if len(keys) else np.zeros(1, np.uint64), logs.astype(np.float32))
@@ -140,33 +149,39 @@ def fit(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE, words: i
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
         "doc_id is not null and lang is not null and text is not null"
     ).where(~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    languages = sorted(counts)
+    counts = known.groupBy("lang").count()
+    languages = sorted(r["lang"] for r in counts.select("lang").collect())
     if not languages:
         return Model([], None, [])
+    number = {name: i for i, name in enumerate(languages)}
     # The share of a language's rows that the bound allows, of a hash spread evenly over 0 ... 10^9.
-    share = F.coalesce(*(F.when(F.col("lang") == name, F.lit(min(1.0, rows_per_language / n))) for name, n in counts.items()))
-    lower = F.lower("text")
+    share = F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.col("count"))
+    chosen = known.join(counts.withColumnRenamed("lang", "counted"), F.col("lang") == F.col("counted"))
     rows = written(
-        known.where(F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < share * 10**9)
-        .select("lang", F.explode(F.split(lower, r"[^\p{L}]+")).alias("w"))
+        chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < share * 10**9)
+        .select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
         .where("w <> ''")
         .groupBy("lang", "w")
         .agg(F.count("*").alias("n")),
         "language-words",
     )
-    per = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)).alias(f"l{i}") for i, name in enumerate(languages)]
 
     def top(frame: DataFrame, column: str, limit: int) -> tuple[list[str], np.ndarray]:
-        best = frame.groupBy(column).agg(F.sum("n").alias("n_all"), *per).orderBy(F.desc("n_all"), column).limit(limit).collect()
-        return [r[column] for r in best], np.array([[r[f"l{i}"] for i in range(len(languages))] for r in best], float).reshape(len(best), len(languages))
-
-    several = rows.where("n > 1 and length(w) <= 64")
-    found = table(*top(several, "w", words), word_key)
+        """The most frequent values, and a row of counts by language for each."""
+        best = frame.groupBy(column).agg(F.sum("n").alias("n_all")).orderBy(F.desc("n_all"), column).limit(limit)
+        of = best.join(frame, column).groupBy(column, "n_all").agg(F.collect_list(F.struct("lang", "n")).alias("by")).collect()
+        of.sort(key=lambda r: (-r["n_all"], r[column].encode()))
+        matrix = np.zeros((len(of), len(languages)))
+        for i, r in enumerate(of):
+            for lang, n in r["by"]:
+                matrix[i, number[lang]] = n
+        return [r[column] for r in of], matrix
+
+    found = table(*top(rows, "w", words), word_key)
     each = F.expr(
         f"explode(flatten(transform(sequence(1, length(w)), i -> transform(sequence(1, least({longest}, i + 1)), n -> substring(concat(' ', w), i + 2 - n, n)))))"
     )
-    parts = rows.where("length(w) <= 64").select("lang", F.lit(1).alias("n"), each.alias("g")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
+    parts = rows.select("lang", F.lit(1).alias("n"), each.alias("g")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
     tables = [table(*top(parts.where(F.length("g") == n), "g", grams), gram_key) for n in range(1, longest + 1)]
     return Model(languages, found, tables)
 
