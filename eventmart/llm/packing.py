@@ -1,11 +1,12 @@
 """Packing of documents into token sequences along a space-filling curve.
 
-1. Each document's words are hashed into a few signed sums (a random projection
-   of its word-count vector); their directions are cut to ``BITS`` bits a
+1. Each document's tokens are hashed into a few signed sums (a random projection
+   of its token-count vector); their directions are cut to ``BITS`` bits a
    dimension and give its place on a Hilbert curve, so that documents with
-   alike words lie near each other.
+   alike tokens lie near each other.
 2. Documents are range-sorted by (place, doc_id).  A place that many documents
-   share - copies, empty texts - is split among partitions by the id.
+   share - copies, empty texts - is split among partitions by the id, and rows
+   that share that too by a hash of their number in the written table.
 3. Along each partition documents follow one another without a gap and are cut
    at every multiple of ``length``.  Only a partition's last sequence is short,
    which is all the padding there is.
@@ -145,9 +146,12 @@ def pack(docs: DataFrame, tokenizer_file: str, *, length: int = 2048, end_id: in
     small_batches(spark)
     marked = written(tokenised(docs, tokenizer_file, end_id), "tokens")
     parts = partitions(spark)
+    # Rows of one id, or without one, are dealt by where the written table has them.
+    salt = F.xxhash64("_metadata.file_name", "_metadata.row_index")
     dealt = (
-        marked.repartitionByRange(parts, F.col("place"), F.col("doc_id"))
-        .sortWithinPartitions("place", "doc_id", "ids")
+        marked.withColumn("salt", salt).repartitionByRange(parts, F.col("place"), F.col("doc_id"), F.col("salt"))
+        .sortWithinPartitions("place", "doc_id", "ids", "salt")
+        .drop("salt")
         .withColumn("part", F.spark_partition_id())
     )
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
