@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, ids_and_texts
+from .common import NULL_ID, ids_and_texts, partitions
 from .spans import SPAN, count_of, digest, matches
 
 RULE_VERSION = "1"
@@ -66,8 +66,17 @@ def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> Data
     versions = ids_and_texts(docs).withColumn("blob", F.unhex(F.sha2("text", 256))).withColumn("at", F.coalesce("doc_id", F.lit(NULL_ID)))
     current = lambda: ledger_of(spark, ledger).where(F.col("rule_version") == rule_version)
     new = versions.groupBy("blob").agg(F.min("at").alias("at")).join(current().select("blob"), "blob", "left_anti")
-    # One version of each unseen blob; rows that repeat it are dropped after the scan, when they are small.
-    unseen = versions.select("blob", "at", "text").join(new, ["blob", "at"], "left_semi")
+    # One row of each unseen blob: those of its smallest id meet by (blob, id).  Where that is
+    # many rows - copies without an id - tasks first keep one each.
+    pairs = versions.groupBy("blob", "at").agg(F.count("*").alias("n"))
+    total, parts = pairs.agg(F.sum("n")).first()[0] or 0, partitions(spark)
+    often = pairs.where(F.col("n") > max(1, total // parts)).select("blob", "at").collect()  # at most ``parts``
+    texts = versions.select("blob", "at", "text")
+    if often:
+        hot = F.broadcast(spark.createDataFrame([tuple(r) for r in often], "blob binary, at long"))
+        few = texts.join(hot, ["blob", "at"], "left_semi").groupBy("blob", "at").agg(F.first("text").alias("text"))
+        texts = texts.join(hot, ["blob", "at"], "left_anti").unionByName(few)
+    unseen = texts.join(new, ["blob", "at"], "left_semi").dropDuplicates(["blob", "at"])
     scanned = found_in(unseen).select("blob", F.lit(rule_version).alias("rule_version"), "spans").dropDuplicates(["blob"])
     scanned.write.mode("append").option("compression", "zstd").parquet(ledger)
     findings = current().where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
