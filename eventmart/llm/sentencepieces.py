@@ -100,6 +100,16 @@ class Chunks:
             self.changed.pop(word, None)
 
 
+#: The worker's tables by model file; a Python worker serves many tasks.
+_TABLES: dict[str, Chunks] = {}
+
+
+def table_of(model_file: str) -> Chunks:
+    if model_file not in _TABLES:
+        _TABLES[model_file] = Chunks(model_file)
+    return _TABLES[model_file]
+
+
 def groups_of(texts: list[str], chars: int = 1_000_000) -> Iterator[slice]:
     """Slices of about ``chars`` characters, of one text at least."""
     start, held = 0, 0
@@ -120,7 +130,7 @@ def encode_documents(docs: DataFrame, model_file: str, *, keep_ids: bool = False
     schema += ", ids string, decoded string" if keep_ids else ""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Chunks(model_file)
+        table = table_of(model_file)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             rows: list[tuple] = []
