@@ -6,8 +6,11 @@
 4. PII: personal data is replaced by its kind
 5. packing: what is left becomes token sequences
 
-Stages 1 to 4 return the columns of their input; a document whose text was cut
-to nothing stays, with an empty text.
+Stages 1 to 4 return the columns of their input, extra ones included; a document whose
+text was cut to nothing stays, with an empty text.  Null texts count as empty, and empty
+texts are near copies of one another (fingerprint zero).  Rows that repeat a doc_id are
+documents of their own; rows without one come after all others.  An empty table passes
+through every stage; the last one then gives no row.  Texts of any length are read whole.
 """
 
 from __future__ import annotations

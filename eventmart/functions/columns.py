@@ -33,6 +33,10 @@ def first_present(*cols: Column | str, default: str | None = None) -> Column:
     return F.coalesce(*parts)
 
 
+# Averaged measures are summed as fixed-point numbers.
+SUM_TYPE = "decimal(38,18)"
+
+
 def default_if_blank(c: Column | str, default: str) -> Column:
     """``value or default`` for text: NULL *and* empty string take the default."""
     col = F.col(c) if isinstance(c, str) else c
@@ -50,5 +54,9 @@ def sum_zero_filled(c: Column | str) -> Column:
 
 
 def avg_zero_filled(c: Column | str) -> Column:
-    """``avg(coalesce(x, 0))`` (A4): divides by *all* rows of the group, not the non-NULL ones."""
-    return F.avg(zero_if_null(c))
+    """``avg(coalesce(x, 0))`` (A4): divides by *all* rows of the group, not the non-NULL ones.
+
+    The sum is a fixed-point number, as the warehouse's is, so the average does not
+    depend on the order of the rows.
+    """
+    return F.sum(zero_if_null(c).cast(SUM_TYPE)).cast("double") / F.count(F.lit(1))

@@ -78,7 +78,7 @@ def sized_broadcast(
     return df, False
 
 
-def _row_hash(df: DataFrame):
+def row_hash(df: DataFrame):
     """Deterministic hash of a row's hashable columns (maps cannot be hashed)."""
     cols = [F.col(f"`{f.name}`") for f in df.schema.fields
             if not isinstance(f.dataType, T.MapType)]
@@ -99,7 +99,7 @@ def hot_keys(fact: DataFrame, key: str, partitions: int) -> DataFrame:
         .groupBy("_hk").agg(F.count(F.lit(1)).alias("_n"))
     total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
     parts = F.lit(max(1, partitions))
-    return per_key.filter(F.col("_n") * parts > total).select(
+    return per_key.filter((F.col("_n") * parts > total) & (F.col("_n") > 1)).select(
         "_hk", F.greatest(F.ceil(F.col("_n") * parts / total), F.lit(2)).cast("int")
         .alias("_salts"))
 
@@ -146,11 +146,11 @@ def skew_left_join(
     hot = F.broadcast(spark.createDataFrame(
         [(r["_hk"], r["_salts"]) for r in found],
         T.StructType([T.StructField("_hk", key_type), T.StructField("_salts", T.IntegerType())])))
-    row_hash = _row_hash(fact) if salt_by is None else F.xxhash64(F.col(f"`{salt_by}`"))
+    hashed = row_hash(fact) if salt_by is None else F.xxhash64(F.col(f"`{salt_by}`"))
     salted_fact = fact.join(hot, fk == F.col("_hk"), "left").select(
         *[F.col(f"`{c}`") for c in fact.columns],
-        F.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
-        .when(fk.isNull(), F.pmod(row_hash, F.lit(parts)))
+        F.when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")))
+        .when(fk.isNull(), F.pmod(hashed, F.lit(parts)))
         .otherwise(F.lit(0)).cast("int").alias("__fsalt"),
     )
     salted_dim = dim.join(hot, dk == F.col("_hk"), "left").select(

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import (
+    SUM_TYPE,
     avg_zero_filled,
     count_rows,
     first_present,
@@ -80,34 +81,45 @@ def events_enriched(
     groups: DataFrame,
     venues: DataFrame,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """M1: one row per event (per matching group × venue row), 69 columns."""
-    g = _prefixed(groups, "g__")
-    v = _prefixed(venues, "v__")
+    """M1: one row per event (per matching group × venue row), 69 columns.
+
+    With ``columns`` only these: the dimensions are cut to what they need before their
+    size is measured, so a mart over a few columns reads and broadcasts no others.
+    """
+    from_group = {c: c for c in ENRICHED_GROUP_COLUMNS}
+    from_venue = {out: v for out, _, v in ENRICHED_VENUE_FALLBACKS + ENRICHED_VENUE_FALLBACKS_2}
+    from_venue |= dict(ENRICHED_VENUE_ONLY)
+
+    def pruned(dim: DataFrame, key: str, prefix: str, sources: dict[str, str]) -> DataFrame:
+        if columns is not None:
+            dim = dim.select(*dict.fromkeys([key, *(src for out, src in sources.items() if out in columns)]))
+        return _prefixed(dim, prefix)
+
+    g = pruned(groups, "group_id", "g__", from_group)
+    v = pruned(venues, "venue_id", "v__", from_venue)
     joined = skew_left_join(events, g, "group_id", "g__group_id", broadcast_rows,
                             salt_by="event_id")
     joined = skew_left_join(joined, v, "venue_id", "v__venue_id", broadcast_rows,
                             key_source=events, salt_by="event_id")
-
-    def fallback(out: str, ecol: str, vcol: str) -> Column:
-        return first_present(F.col(ecol), F.col(f"v__{vcol}")).alias(out)
-
-    cols: list[Column] = [F.col(c) for c in ENRICHED_EVENT_COLUMNS]
-    cols += [F.col(f"g__{c}").alias(c) for c in ENRICHED_GROUP_COLUMNS]
-    cols.append(F.col("venue_id"))
-    cols += [fallback(*spec) for spec in ENRICHED_VENUE_FALLBACKS]
-    cols.append(F.col("venue_address_2"))
-    cols += [fallback(*spec) for spec in ENRICHED_VENUE_FALLBACKS_2]
-    cols += [F.col("venue_phone"), F.col("venue_repinned"), F.col("venue_zip")]
-    cols += [F.col(f"v__{src}").alias(out) for out, src in ENRICHED_VENUE_ONLY]
+    made = {c: c for c in ENRICHED_EVENT_COLUMNS}
+    made |= {c: f"g__{c}" for c in ENRICHED_GROUP_COLUMNS}
+    made["venue_id"] = "venue_id"
+    made |= {out: (own, f"v__{v}") for out, own, v in ENRICHED_VENUE_FALLBACKS}
+    made["venue_address_2"] = "venue_address_2"
+    made |= {out: (own, f"v__{v}") for out, own, v in ENRICHED_VENUE_FALLBACKS_2}
+    made |= {c: c for c in ("venue_phone", "venue_repinned", "venue_zip")}
+    made |= {out: f"v__{src}" for out, src in ENRICHED_VENUE_ONLY}
+    cols = [(F.col(of) if isinstance(of, str) else first_present(*map(F.col, of))).alias(out)
+            for out, of in made.items() if columns is None or out in columns]
     return joined.select(*cols)
 
 
 # Averaged measures are summed as fixed-point numbers: a stored state can then be
 # corrected by subtracting old and adding new contributions without drift, and a
 # full rebuild gives bit-identical averages (the warehouse also averages in
-# fixed point).
-SUM_TYPE = "decimal(38,18)"
+# fixed point, ``SUM_TYPE``).
 
 CITY_KEYS = ["venue_city", "venue_state", "venue_country"]
 CITY_COUNTERS = [("total_yes_rsvp", "yes_rsvp_count"), ("total_maybe_rsvp", "maybe_rsvp_count"),
@@ -120,6 +132,11 @@ GROUP_COUNTERS = [("total_yes_rsvp", "yes_rsvp_count")]
 GROUP_AVERAGES = [("avg_event_rating", "event_rating_average"),
                   ("avg_group_rating", "group_rating")]
 
+# What M2 and M5 read of M1.
+CITY_INPUTS = CITY_KEYS + [src for _, src in CITY_COUNTERS + CITY_AVERAGES]
+GROUP_INPUTS = ["group_id", "event_group_name", "category_id", "category_name"] + [
+    src for _, src in GROUP_COUNTERS + GROUP_AVERAGES]
+
 
 def _state(grouped, counters, averages) -> DataFrame:
     return grouped.agg(

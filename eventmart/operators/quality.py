@@ -87,6 +87,38 @@ def expected_delta_rows(
     ).agg(F.coalesce(F.max("row_count"), F.lit(0)).cast("bigint").alias("expected_rows"))
 
 
+# The audit event of a delta file's rows as they were loaded.
+ARRIVED_EVENT_TYPE = "DELTA_ARRIVED"
+
+
+def reconcile_deltas(audit: DataFrame) -> DataFrame:
+    """Announced against arrived rows of every delta file and run of the log.
+
+    Announcements and arrivals of a file are two entries of one append log; of either the
+    latest counts (a file can be announced, or sent, again).  A file that only one side
+    knows counts as 0 rows on the other.  One row per run - that of the arrival, else of
+    the announcement: dag_id, run_id, files, announced_rows, arrived_rows, wrong_files,
+    status.
+    """
+    def latest(events: Sequence[str], name: str) -> DataFrame:
+        hit = audit.filter(F.col("event_type").isin(*events) & (F.col("status") == "SUCCESS"))
+        at = F.struct("processed_at", "row_count")
+        return hit.groupBy(F.col("s3_key").alias(f"{name}_key")).agg(
+            F.max_by(F.struct("dag_id", "run_id", "row_count"), at).alias(name))
+
+    announced, arrived = latest(DELTA_EVENT_TYPES, "announced"), latest([ARRIVED_EVENT_TYPE], "arrived")
+    files = announced.join(arrived, F.col("announced_key").eqNullSafe(F.col("arrived_key")), "full_outer")
+    rows = lambda side: F.coalesce(F.col(f"{side}.row_count"), F.lit(0))
+    of = lambda c: F.coalesce(F.col(f"arrived.{c}"), F.col(f"announced.{c}")).alias(c)
+    return files.groupBy(of("dag_id"), of("run_id")).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum(rows("announced")).cast("bigint").alias("announced_rows"),
+        F.sum(rows("arrived")).cast("bigint").alias("arrived_rows"),
+        F.count_if(rows("announced") != rows("arrived")).cast("bigint").alias("wrong_files"),
+        F.when(F.count_if(rows("announced") != rows("arrived")) == 0, "PASS").otherwise("FAIL").alias("status"),
+    )
+
+
 def stage_check_results(metrics: DataFrame, expected: Column | int) -> DataFrame:
     """One row per check with PASS/FAIL and, on failure, a message (Q7).
 

@@ -6,20 +6,22 @@ and runs the production operators on them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from eventmart.config.schemas import EVENT_UPDATE_COLUMNS
+from eventmart.config.schemas import EVENT_UPDATE_COLUMNS, FILE_AUDIT_SCHEMA
 from eventmart.config.settings import load_settings
-from eventmart.functions.columns import first_present
+from eventmart.functions import stamps
+from eventmart.functions.columns import default_if_blank, first_present
 from eventmart.operators import marts, quality, sampling, staging
 from eventmart.operators import upsert as upsert_ops
 from eventmart.plans import standins
 from eventmart.plans.flows import Pipeline, RunContext
 from eventmart.session import scratch_path
-from eventmart.sinks import exports
+from eventmart.sinks import exports, monitoring
 from eventmart.sinks.tables import (
     BUCKET_COL,
     TableStore,
@@ -36,13 +38,13 @@ def staged_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return staging.stage_all(standins.raw_tables(spark, sf_dir))
 
 
-def q_events_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_events_enriched(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     s = staged_tables(spark, sf_dir)
-    return marts.events_enriched(s["events"], s["groups"], s["venues"])
+    return marts.events_enriched(s["events"], s["groups"], s["venues"], columns=columns)
 
 
 def q_agg_events_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.agg_events_by_city(q_events_enriched(spark, sf_dir))
+    return marts.agg_events_by_city(q_events_enriched(spark, sf_dir, marts.CITY_INPUTS))
 
 
 def q_agg_groups_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +58,7 @@ def q_agg_groups_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_agg_events_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.agg_events_by_group(q_events_enriched(spark, sf_dir))
+    return marts.agg_events_by_group(q_events_enriched(spark, sf_dir, marts.GROUP_INPUTS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -85,20 +87,33 @@ def q_dq_stage_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.stage_check_results(quality.stage_metrics(stage), expected)
 
 
-def all_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def tested_models(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """The staged tables and marts of these names.  M1 is written once, with the columns that
+    its tests and the marts over it read."""
     s = staged_tables(spark, sf_dir)
     models = {f"stg_{k}": v for k, v in s.items()}
-    built = marts.build_all(s)
-    models.update(built)
-    return models
+    over_m1 = {"agg_events_by_city": marts.CITY_INPUTS, "agg_events_by_group": marts.GROUP_INPUTS}
+    if wanted := {n for n in names if n == "events_enriched" or n in over_m1}:
+        columns = {"event_id", "group_id"}.union(*(over_m1.get(n, []) for n in wanted))
+        path = scratch_path(spark, "tested_m1")
+        marts.events_enriched(s["events"], s["groups"], s["venues"], columns=sorted(columns)).write.parquet(path)
+        models["events_enriched"] = spark.read.parquet(path)
+    builders = {
+        "agg_events_by_city": lambda: marts.agg_events_by_city(models["events_enriched"]),
+        "agg_events_by_group": lambda: marts.agg_events_by_group(models["events_enriched"]),
+        "agg_groups_by_category": lambda: marts.agg_groups_by_category(s["groups"], s["categories"]),
+        "agg_groups_by_topic": lambda: marts.agg_groups_by_topic(s["groups_topics"], s["topics"], s["groups"]),
+    }
+    models.update({n: build() for n, build in builders.items() if n in names})
+    return {n: models[n] for n in names}
 
 
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_model_tests(all_models(spark, sf_dir), kinds=["not_null"])
+    return quality.run_model_tests(tested_models(spark, sf_dir, quality.NOT_NULL_TESTS), kinds=["not_null"])
 
 
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_model_tests(all_models(spark, sf_dir), kinds=["unique"])
+    return quality.run_model_tests(tested_models(spark, sf_dir, quality.UNIQUE_TESTS), kinds=["unique"])
 
 
 def q_having_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -588,3 +603,105 @@ QUERIES.update({
     "csv_quoted_breaks": q_csv_quoted_breaks,
     "csv_exact_decimals": q_csv_exact_decimals,
 })
+
+
+# ---------------------------------------------------------------------------
+# Logs (K9, K10, G3, Q6), the canonical copy (S13), generated delta columns
+# and a merge into a target with a hot key.
+# ---------------------------------------------------------------------------
+
+def _announced_and_arrived(spark: SparkSession, sf_dir: str, store: TableStore) -> None:
+    """The audit log of a file per event type and day: announced (signups first with a wrong
+    count), and arrived, without some clicks and without the error files.  The arrivals are
+    recorded twice, as a replayed batch does."""
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd")
+    files = standins.read_table(spark, sf_dir, "events").groupBy("event_type", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("announced"),
+        F.count_if((F.col("event_type") != "click") | (F.col("value") >= 5)).alias("arrived"))
+
+    def rows(df: DataFrame, event: str, n: Column, at: str) -> DataFrame:
+        name = F.concat(F.col("event_type"), F.lit("_"), F.col("day"), F.lit(".csv"))
+        return csv_src.bind_by_name(df.select(
+            F.lit("eventmart_incremental").alias("dag_id"), F.concat(F.lit("run_"), F.col("day")).alias("run_id"),
+            F.lit("audit").alias("task_id"), name.alias("file_name"),
+            F.concat(F.lit("incremental/"), name).alias("s3_key"), n.cast("bigint").alias("row_count"),
+            F.lit("SUCCESS").alias("status"), F.lit(event).alias("event_type"),
+            F.lit(at).cast("timestamp_ntz").alias("processed_at")), FILE_AUDIT_SCHEMA)
+
+    n, signups = F.col("announced"), files.filter("event_type = 'signup'")
+    for df, event, count, at, once in (
+            (signups, "DELTA_GENERATED", n + 10, "2024-01-01 00:00:00", False),
+            (files, "DELTA_UPLOADED", n, "2024-01-01 01:00:00", False),
+            (files.filter("event_type <> 'error'"), quality.ARRIVED_EVENT_TYPE, F.col("arrived"), "2024-01-01 02:00:00", True),
+            (files.filter("event_type <> 'error'"), quality.ARRIVED_EVENT_TYPE, F.col("arrived"), "2024-01-01 03:00:00", True)):
+        monitoring.append_log(store, "monitoring", monitoring.AUDIT_TABLE, rows(df, event, count, at), FILE_AUDIT_SCHEMA, once)
+
+
+def q_delta_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: announced and arrived rows of every run, its files summed; wrong ones fail."""
+    store = TableStore(spark, scratch_path(spark, "reconciliation"), use_catalog=False)
+    _announced_and_arrived(spark, sf_dir, store)
+    return quality.reconcile_deltas(store.read("monitoring", monitoring.AUDIT_TABLE))
+
+
+def q_logs_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both logs after every batch was replayed; each row is there once, under its own id."""
+    store = TableStore(spark, scratch_path(spark, "logs"), use_catalog=False)
+    _announced_and_arrived(spark, sf_dir, store)
+    gate = [r.asDict() for r in q_dq_stage_checks(spark, sf_dir).collect()]  # six rows
+    for _ in range(2):
+        monitoring.insert_dq_results(spark, store, "monitoring", monitoring.dq_rows(
+            gate, dag_id="eventmart_incremental", task_id="gate", run_id="run_20240101",
+            source_table="raw.events_stage"))
+    audit, dq = (store.read("monitoring", t) for t in (monitoring.AUDIT_TABLE, monitoring.DQ_TABLE))
+    one_id = lambda df: df.withColumn("same_id", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    return one_id(audit).select(
+        F.lit("file_audit").alias("log"), F.col("file_name").alias("name"), F.col("event_type").alias("kind"),
+        "status", F.col("row_count").alias("n"), "same_id").unionByName(one_id(dq).select(
+            F.lit("dq_results").alias("log"), F.col("check_name").alias("name"), F.col("error_message").alias("kind"),
+            "status", F.col("metric_value").alias("n"), "same_id"))
+
+
+def q_normalized_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the canonical copy of a landing file whose fields have blanks around
+    them and needless quotes."""
+    root = scratch_path(spark, "normalized_copy")
+    nation = standins.read_table(spark, sf_dir, "nation")
+    quoted = F.concat(F.lit('"'), F.col("n_name"), F.lit(' ""x"", "'))
+    line = F.concat_ws(",", F.col("n_nationkey").cast("string"), F.concat(F.lit('"  '), F.col("n_name"), F.lit('"')),
+                       F.concat(F.lit(" "), F.lower("n_name"), F.lit("  ")), quoted)
+    header = spark.createDataFrame([("id, name ,plain,\"quo ted\"",)], "value string")
+    header.unionAll(nation.select(line.alias("value"))).coalesce(1).write.text(f"{root}/landing")
+    text = csv_src.read_csv_text(spark, f"{root}/landing", trim=False)
+    csv_src.write_normalized(text, f"{root}/copy")
+    return spark.read.option("lineSep", "\r\n").text(f"{root}/copy").select(F.col("value").alias("line"))
+
+
+def q_delta_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that a delta's producer fills: a status where it is blank,
+    a seeded key, a compact stamp."""
+    ev = standins.read_table(spark, sf_dir, "events")
+    status = F.when(F.col("event_type") == "view", "").when(F.col("event_type") == "click", F.lit(None)).otherwise(F.col("event_type"))
+    return ev.select("event_id", default_if_blank(status, "upcoming").alias("event_status"),
+                     stamps.delta_event_id(F.col("event_id")).alias("delta_id"),
+                     stamps.compact_stamp_col(F.col("ts").cast("timestamp")).alias("stamp"))
+
+
+def q_merge_hot_target_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The large-delta merge into a target with a third of its rows under one key."""
+    target = standins.target_events(spark, sf_dir).withColumn(
+        "event_id", F.when(F.col("event_id").cast("bigint") % 3 == 0, "3").otherwise(F.col("event_id")))
+    delta = standins.delta_events(spark, sf_dir).filter("event_id <> '3'")
+    hot = delta.orderBy("event_id").limit(1).withColumn("event_id", F.lit("3")).withColumns({
+        "event_name": F.lit("Delta 3"), "event_status": F.lit("cancelled"), "created": F.lit(0).cast("bigint"), "updated": F.lit(1).cast("bigint"),
+        "yes_rsvp_count": F.lit(7).cast("bigint"), "maybe_rsvp_count": F.lit(None).cast("bigint"), "waitlist_count": F.lit(9).cast("bigint")})
+    return upsert_ops.upsert(target, delta.unionByName(hot), "event_id", EVENT_UPDATE_COLUMNS, broadcast_rows=0)
+
+
+QUERIES.update({
+    "delta_reconciliation": q_delta_reconciliation,
+    "logs_replayed": q_logs_replayed,
+    "normalized_copy": q_normalized_copy,
+    "delta_columns": q_delta_columns,
+    "merge_hot_target_key": q_merge_hot_target_key,
+})

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.config.schemas import FILE_AUDIT_SCHEMA
-from eventmart.operators.quality import DataQualityError
+from eventmart.operators.quality import ARRIVED_EVENT_TYPE, DataQualityError
 from eventmart.plans.flows import EVENTS_TABLE, DeltaLoadError, Pipeline, RunContext
 from eventmart.sinks import monitoring
 from eventmart.sinks.tables import BUCKET_COL
@@ -85,6 +85,11 @@ def start_incremental(
         stage = csv_src.read_by_name(spark, paths, target_schema, multi_line=multi_line)
         ctx = RunContext(dag_id=dag_id, run_id=f"{stream_name}_batch_{batch_id}",
                          task_id="stream_batch")
+        # What arrived, next to what was announced: quality.reconcile_deltas joins the two.
+        text = csv_src.read_csv_text(spark, paths, multi_line=multi_line, with_file_path=True)
+        arrived = text.groupBy(F.col("_file_path").alias("file")).agg(
+            F.count(F.lit(1)).alias("row_count"))
+        _announce(pipeline, arrived, ctx, [ARRIVED_EVENT_TYPE], once=True)
         try:
             pipeline.run_batch(stage, ctx, file_keys=paths, build=build,
                                export_root=export_root)
@@ -113,17 +118,19 @@ def announce_manifest(pipeline: Pipeline, manifest: DataFrame, context: RunConte
     _announce(pipeline, manifest, context, ["DELTA_GENERATED", "DELTA_UPLOADED"])
 
 
-def _announce(pipeline: Pipeline, files: DataFrame, context: RunContext, events: list[str]) -> DataFrame:
+def _announce(pipeline: Pipeline, files: DataFrame, context: RunContext, events: list[str],
+              once: bool = False) -> DataFrame:
     """One audit row for each file (file, row_count) and event, appended as a table."""
     rows = files.select(
         F.lit(context.dag_id).alias("dag_id"), F.lit(context.run_id).alias("run_id"),
-        F.lit("announce").alias("task_id"),
+        F.lit("announce" if ARRIVED_EVENT_TYPE not in events else context.task_id).alias("task_id"),
         F.regexp_extract("file", "[^/]+$", 0).alias("file_name"), F.col("file").alias("s3_key"),
         F.col("row_count").cast("bigint").alias("row_count"), F.lit("SUCCESS").alias("status"),
         F.explode(F.array(*map(F.lit, events))).alias("event_type"),
         F.current_timestamp().alias("processed_at"))
     bound = csv_src.bind_by_name(rows, FILE_AUDIT_SCHEMA)
-    pipeline.store.append(bound, pipeline.settings.catalog.monitoring_db, monitoring.AUDIT_TABLE)
+    monitoring.append_log(pipeline.store, pipeline.settings.catalog.monitoring_db,
+                          monitoring.AUDIT_TABLE, bound, FILE_AUDIT_SCHEMA, once=once)
     return bound
 
 

@@ -585,6 +585,48 @@ SQL_CSV_EXACT_DECIMALS = """SELECT l_orderkey || '-' || l_linenumber AS line,
 FROM lineitem"""
 
 
+_DELTA_FILES = """files AS (
+  SELECT event_type, strftime(ts, '%Y%m%d') AS day, count(*) AS announced,
+         count(*) FILTER (WHERE event_type <> 'click' OR value >= 5) AS arrived
+  FROM events GROUP BY 1, 2
+)"""
+
+SQL_DELTA_RECONCILIATION = f"WITH {_DELTA_FILES}\n" + """SELECT 'eventmart_incremental' AS dag_id, 'run_' || day AS run_id,
+  count(*) AS files, CAST(sum(announced) AS BIGINT) AS announced_rows,
+  CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE arrived END) AS BIGINT) AS arrived_rows,
+  count(*) FILTER (WHERE event_type = 'error' OR arrived <> announced) AS wrong_files,
+  CASE WHEN count(*) FILTER (WHERE event_type = 'error' OR arrived <> announced) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM files GROUP BY day"""
+
+SQL_LOGS_REPLAYED = f"WITH gate AS ({SQL_DQ_STAGE_CHECKS}),\n{_DELTA_FILES},\n" + """log AS (
+  SELECT event_type, day, 'DELTA_GENERATED' AS kind, announced + 10 AS n FROM files WHERE event_type = 'signup'
+  UNION ALL SELECT event_type, day, 'DELTA_UPLOADED', announced FROM files
+  UNION ALL SELECT event_type, day, 'DELTA_ARRIVED', arrived FROM files WHERE event_type <> 'error'
+)
+SELECT 'file_audit' AS log, event_type || '_' || day || '.csv' AS name, kind, 'SUCCESS' AS status, n, CAST(1 AS BIGINT) AS same_id FROM log
+UNION ALL SELECT 'dq_results', check_name, error_message, status, metric_value, 1 FROM gate"""
+
+SQL_NORMALIZED_COPY = """SELECT 'id, name ,plain,quo ted' AS line
+UNION ALL SELECT n_nationkey || ',  ' || n_name || ', ' || lower(n_name) || '  ,"' || n_name || ' ""x"", "' FROM nation"""
+
+SQL_DELTA_COLUMNS = """SELECT event_id,
+  CASE WHEN event_type IN ('view', 'click') THEN 'upcoming' ELSE event_type END AS event_status,
+  'delta-' || substr(sha256(CAST(event_id AS VARCHAR)), 1, 12) AS delta_id,
+  strftime(ts, '%Y%m%d%H%M%S') AS stamp
+FROM events"""
+
+SQL_MERGE_HOT_TARGET_KEY = SQL_MERGE_EVENTS.replace(
+    "WITH tgt AS (", "WITH tgt0 AS (").replace(",\nsrc AS (", """,
+tgt AS (SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN '3' ELSE event_id END AS event_id) FROM tgt0),
+src0 AS (""").replace("""WHERE event_type IN ('click', 'purchase')
+)""", """WHERE event_type IN ('click', 'purchase')
+),
+src AS (
+  SELECT * FROM src0 WHERE event_id <> '3'
+  UNION ALL SELECT '3', 'Delta 3', 'cancelled', 0, 1, 7, NULL, 9
+)""")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_enriched": SQL_EVENTS_ENRICHED,
@@ -627,4 +669,9 @@ def oracle_sql() -> dict[str, str]:
         "flow_failed_test": SQL_FLOW_FAILED_TEST,
         "csv_quoted_breaks": SQL_CSV_QUOTED_BREAKS,
         "csv_exact_decimals": SQL_CSV_EXACT_DECIMALS,
+        "delta_reconciliation": SQL_DELTA_RECONCILIATION,
+        "logs_replayed": SQL_LOGS_REPLAYED,
+        "normalized_copy": SQL_NORMALIZED_COPY,
+        "delta_columns": SQL_DELTA_COLUMNS,
+        "merge_hot_target_key": SQL_MERGE_HOT_TARGET_KEY,
     }
