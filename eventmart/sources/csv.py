@@ -166,10 +166,11 @@ def header_groups(spark: SparkSession, paths: Sequence[str], multi_line: bool, r
     return [(bytes(r["header"]), r["label"], r["files"]) for r in groups.collect()]
 
 
-def column_names(header: str) -> list[str]:
+def column_names(header: str, trim: bool = True) -> list[str]:
     """The column names of a header record, by the rules of Spark's reader: an empty name
     becomes its place, repeated ones get theirs added."""
-    names = [n.strip(" ") for n in next(csv.reader([header], skipinitialspace=True))]
+    names = next(csv.reader([header], skipinitialspace=trim))
+    names = [n.strip(" ") for n in names] if trim else names
     lower = [n.lower() for n in names]
     return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n
             for i, n in enumerate(names)]
@@ -214,7 +215,7 @@ def read_csv_text(
             continue
         # Spark's reader skips the same line, but takes the names from another one where a
         # line of tabs comes first.
-        names = column_names(header.decode(encoding, errors="replace"))
+        names = column_names(header.decode(encoding, errors="replace"), trim)
         if multi_line:
             rows = quoted_records(spark, files, recursive).where(~F.col("first"))
             text = F.col("value").cast("string") if encoding == "UTF-8" else F.decode("value", encoding)
@@ -227,7 +228,7 @@ def read_csv_text(
             if with_file_path:
                 df = df.withColumn("_file_path", plain_path(F.col("_metadata.file_path")))
         if decode_name is not None:
-            df = df.toDF(*column_names(decode_name(header, label)), *own)
+            df = df.toDF(*column_names(decode_name(header, label), trim), *own)
         parts.append(df)
     out = parts[0]
     for df in parts[1:]:
