@@ -72,8 +72,8 @@ def test_the_lexicon_has_no_fixed_size(spark):
     rnd = random.Random(3)
     bad = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(8)) for _ in range(150)]
     good = [f"plain{i}" for i in range(60)]
-    rows = [(1, " ".join(rnd.sample(bad, 40) + rnd.sample(good, 10))) for _ in range(60)] + [(0, " ".join(rnd.sample(good, 30))) for _ in range(120)]
-    found = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, text string"), 60, 12_000)
+    rows = [(1, " ".join(rnd.sample(bad, 40) + rnd.sample(good, 10))) for _ in range(60)] + [(0, " ".join(rnd.sample(good, 30))) for _ in range(1200)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, text string"), 60, 1200)
     assert sum(any(w == t or stem and w.startswith(t) for t, stem in found) for w in bad) == len(bad) > toxicity.TRIE
     assert not any(t.startswith("plai") for t, _ in found)
 
