@@ -147,6 +147,7 @@ STAGING = ",\n".join([
     _stg("stg_groups_topics", schemas.STG_GROUPS_TOPICS, "raw_groups_topics"),
 ])
 
+# The marts' columns, fallbacks and formulas, restated for the oracle.
 EVENTS_ENRICHED_BODY = """SELECT
     e.event_id, e.event_name, e.event_description, e.event_url, e.event_status,
     e.event_visibility, e.event_created, e.event_updated, e.event_time, e.duration,

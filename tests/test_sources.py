@@ -33,6 +33,7 @@ def test_utf8_file_is_labelled_utf8_sig(spark, tmp_path):
     assert cols == ["id", "name"] and data == [("1", "Marta")]
 
 
+# Fixed value: the name in this fixture.
 def test_latin1_file_is_labelled_cp1252(spark, tmp_path):
     p = _write(str(tmp_path), "a.csv", "id,name\n1,José\n".encode("latin-1"))
     label, _, data = _label_and_rows(spark, p)
