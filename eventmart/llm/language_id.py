@@ -149,16 +149,17 @@ def fit(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE, words: i
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
         "doc_id is not null and lang is not null and text is not null"
     ).where(~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").count()
-    languages = sorted(r["lang"] for r in counts.select("lang").collect())
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    languages = sorted(counts)
     if not languages:
         return Model([], None, [])
     number = {name: i for i, name in enumerate(languages)}
     # The share of a language's rows that the bound allows, of a hash spread evenly over 0 ... 10^9.
-    share = F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.col("count"))
-    chosen = known.join(counts.withColumnRenamed("lang", "counted"), F.col("lang") == F.col("counted"))
+    # A row for each language: the model has far more of each, and it goes to every task.
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, rows_per_language / n)) for name, n in counts.items()], "counted string, share double")
+    chosen = known.join(F.broadcast(shares), F.col("lang") == F.col("counted"))
     rows = written(
-        chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < share * 10**9)
+        chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < F.col("share") * 10**9)
         .select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
         .where("w <> ''")
         .groupBy("lang", "w")
