@@ -43,9 +43,9 @@ FILTER_BITS = 26
 SEGMENT = 1 << 14
 #: Bits of a 64-bit hash that are left out; keys and words that a task adds up before it hands them on.
 KEY_SHIFT = np.uint64(24)
-MOST_KEYS, MOST_WORDS = 1 << 22, 1 << 21
+MOST_KEYS, MOST_WORDS = 1 << 21, 1 << 20
 #: Rows of phrases that a task hands over at once.
-ROWS = 1 << 18
+ROWS = 1 << 16
 
 _BREAKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _FORM = np.arange(256, dtype=np.uint8)
@@ -289,7 +289,7 @@ class Tally:
 
     def add_keys(self, keys: np.ndarray, times: np.ndarray) -> None:
         self.keys.append(keys >> KEY_SHIFT)
-        self.times.append(np.minimum(times, self.least))
+        self.times.append(np.minimum(times, self.least).astype(np.int32))
         self.keys_held += len(keys)
 
     def full(self) -> bool:
@@ -324,7 +324,7 @@ def summed(keys: np.ndarray, times: np.ndarray, least: int) -> tuple[np.ndarray,
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     opens = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[opens], np.minimum(np.add.reduceat(times[order], opens), least) if len(keys) else times
+    return keys[opens], np.minimum(np.add.reduceat(times[order], opens, dtype=np.int64), least) if len(keys) else times
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
