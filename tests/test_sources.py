@@ -182,3 +182,25 @@ def test_label_is_per_file_not_per_line(spark, tmp_path):
     label, _, rows_ = _label_and_rows(spark, p)
     assert label == {"cp1252"}
     assert sorted(rows_) == [("1", "ZoÃ«"), ("2", "José")]
+
+
+def test_wide_tables_code_their_values_by_one_expression(spark, monkeypatch):
+    calls = []
+    code = inference.value_code
+    monkeypatch.setattr(inference, "value_code", lambda c: calls.append(1) or code(c))
+    names = [f"c.{i}" for i in range(60)]
+    rows = [tuple("7" if i % 3 == 0 else None if i % 3 == 1 else f"x{i}" for i in range(60)),
+            tuple("8.5" if i % 6 == 0 else None if i % 3 == 1 else "9" for i in range(60))]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    kinds = [f.dataType.simpleString() for f in inference.infer_schema(df).fields]
+    assert kinds == ["double" if i % 6 == 0 else "bigint" if i % 3 == 0 else "string" for i in range(60)]
+    assert len(calls) == 1
+
+
+def test_first_characters_decide_no_type_alone(spark):
+    values = ["t", "True", "-", "+7", ".5", "f", "FALSE", "e5", " 7", "2024-01-02", "2024-13-02", "", "-.5e3"]
+    kinds = ["string", "boolean", "string", "bigint", "double", "string", "boolean", "string", "string",
+             "timestamp", "string", "string", "double"]
+    df = spark.createDataFrame([tuple(values)], T.StructType(
+        [T.StructField(f"c{i}", T.StringType()) for i in range(len(values))]))
+    assert [f.dataType.simpleString() for f in inference.infer_schema(df).fields] == kinds
