@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -183,3 +185,47 @@ def test_sql_sees_the_current_version_without_a_gap(spark, tmp_path):
     assert spark.sql("SELECT count(*), max(id) FROM ver_t.t").first()[:] == (51, 99)
     store.replace(spark.createDataFrame([(1.5,)], "`a.b` double"), "ver_t", "t")
     assert spark.sql("SELECT `a.b` FROM ver_t.t").first()[0] == 1.5
+
+
+def test_merge_of_a_large_table_goes_bucket_by_bucket(spark, tmp_path, monkeypatch):
+    from eventmart.sinks import tables
+
+    schema = "event_id string, event_status string, yes_rsvp_count bigint"
+    store = tables.TableStore(spark, str(tmp_path / "wh"), use_catalog=False)
+    rows = [(None if i % 10 == 0 else f"e{i % 40}", "upcoming", i) for i in range(60)]
+    delta = [(f"e{i}", "cancelled", None) for i in range(30, 50)]
+    old, new = spark.createDataFrame(rows, schema), spark.createDataFrame(delta, schema)
+    columns, merged = ["event_status", "yes_rsvp_count"], {}
+    writes = []
+    stage = tables.spread_by_bucket
+    monkeypatch.setattr(tables, "spread_by_bucket", lambda *a: writes.append(1) or stage(*a))
+    for name, most in (("whole", 1000), ("sliced", 16)):
+        monkeypatch.setattr(tables, "SLICE_ROWS", most)
+        tables.write_bucketed(store, old, "raw", name, "event_id", 4)
+        writes.clear()
+        touched = tables.merge_into(store, new, "raw", name, "event_id", columns, 4)
+        assert len(writes) == (1 if name == "whole" else 4)
+        version = store.version("raw", name)
+        assert version.number == 2 and touched == [0, 1, 2, 3]
+        merged[name] = sorted(map(str, store.read("raw", name).collect()))
+    assert merged["whole"] == merged["sliced"] and len(merged["whole"]) > 60
+
+
+def test_shuffle_files_go_when_their_query_ends(spark, tmp_path):
+    import os
+
+    from eventmart.session import FREE_SHUFFLES, shuffles_freed
+
+    def files() -> set[str]:
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f"{top}/{f}" for d in dirs for top, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(FREE_SHUFFLES)
+    with shuffles_freed(spark):
+        spark.range(10_000).repartition(4, "id").write.parquet(str(tmp_path / "freed"))
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        assert not files() - before
+    assert spark.conf.get(FREE_SHUFFLES) == setting

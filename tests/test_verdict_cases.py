@@ -96,3 +96,13 @@ def test_exports_keep_their_layout_at_any_size(spark, tmp_path):
     one = exports.export_csv(df, str(tmp_path), "agg_events_by_city", "2", single_file=True)
     parts = lambda p: len(spark.read.text(p).inputFiles())
     assert (parts(many), parts(one)) == (3, 1)
+
+
+def test_compressed_files_are_bound_by_their_headers(spark, tmp_path):
+    from eventmart.sources import csv as csv_src
+
+    wide = spark.range(40).selectExpr("cast(id as string) a", "concat('x', id) b")
+    csv_src.write_csv(wide, str(tmp_path / "in" / "one"), compression="gzip", maxRecordsPerFile=7)
+    csv_src.write_csv(wide.select("b", "a"), str(tmp_path / "in" / "two"), compression="gzip")
+    got = csv_src.read_csv_text(spark, [str(tmp_path / "in" / x) for x in ("one", "two")])
+    assert sorted(map(tuple, got.select("a", "b").collect())) == sorted(2 * [(str(i), f"x{i}") for i in range(40)])
