@@ -576,10 +576,11 @@ def q_flow_failed_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web pages - quotes, commas and line breaks in their text - as one CSV file."""
+    """Web pages - quotes, commas and line breaks in their text - as CSV files: one for
+    each split of the table, so that no task writes them all."""
     pages = standins.read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     path = scratch_path(spark, "csv_quoted_breaks")
-    csv_src.write_csv(pages.coalesce(1), path, quoteAll="true")
+    csv_src.write_csv(pages, path, quoteAll="true")
     rows = csv_src.null_tokens_to_null(csv_src.read_csv_text(spark, path, multi_line=True))
     return rows.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
 

@@ -106,3 +106,21 @@ def test_compressed_files_are_bound_by_their_headers(spark, tmp_path):
     csv_src.write_csv(wide.select("b", "a"), str(tmp_path / "in" / "two"), compression="gzip")
     got = csv_src.read_csv_text(spark, [str(tmp_path / "in" / x) for x in ("one", "two")])
     assert sorted(map(tuple, got.select("a", "b").collect())) == sorted(2 * [(str(i), f"x{i}") for i in range(40)])
+
+
+def test_no_task_writes_all_pages(spark, tmp_path, monkeypatch):
+    from eventmart.plans import registry
+
+    rows = [(i, f"http://x/{i}", f'<p class="a">\r\n{i}, ""</p>' * 20) for i in range(400)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4) \
+        .write.parquet(str(tmp_path / "pages.parquet"))
+    written = []
+    write = registry.csv_src.write_csv
+    monkeypatch.setattr(registry.csv_src, "write_csv", lambda df, *a, **k: written.append(
+        df.rdd.getNumPartitions()) or write(df, *a, **k))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = registry.q_csv_quoted_breaks(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert written[0] > 1 and sorted(map(tuple, got)) == rows
