@@ -382,3 +382,25 @@ def test_old_versions_and_staging_are_removed(pipeline, spark):
              for x in pipeline.store.version("raw", "events", n).loads}
     assert {x for x in os.listdir(folder) if x.startswith("load=")} == named
     assert os.listdir(os.path.join(pipeline.warehouse_root, "_raw_staging")) == []
+
+
+def test_marts_of_many_events_are_built_some_buckets_at_a_time(pipeline, spark, monkeypatch):
+    from eventmart.operators import marts
+    from eventmart.sinks import tables
+
+    def marts_now():
+        return {n: sorted(map(str, pipeline.read_mart(n).drop("processed_at").collect()))
+                for n in marts.MART_NAMES}
+
+    pipeline.build_marts()
+    whole = marts_now()
+    monkeypatch.setattr(tables, "SLICE_ROWS", 1)
+    made = []
+    m1 = marts.events_enriched
+    monkeypatch.setattr(marts, "events_enriched", lambda *a, **k: made.append(1) or m1(*a, **k))
+    pipeline.build_marts()
+    assert len(made) > 1 and marts_now() == whole
+    pipeline.run_batch(_one_event(spark, "e2", 50), RunContext(run_id="one"), expected_rows=1)
+    refreshed = marts_now()
+    pipeline.build_marts()
+    assert refreshed == marts_now() != whole
