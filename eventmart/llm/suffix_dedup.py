@@ -15,7 +15,7 @@ is left, and never cross from one document into the next.
    ``HOT`` contexts is dealt out by its windows' own contents instead, each window
    a context, equal ones of a block as one: no text pattern gathers in one task.
 4. Suffix array.  Where a key has different contexts, the task sorts their
-   suffixes, takes the common-prefix lengths of neighbours, and scans them with a
+   suffixes, the keys of about ``PART_WINDOWS`` windows at a time, takes the common-prefix lengths of neighbours, and scans them with a
    stack.  Each interval of ``window`` bytes or more whose occurrences differ in
    the byte before them is a maximal repeat; it is returned with all occurrences.
    Every repeated window lies in a maximal repeat with the same occurrences (moved
@@ -30,6 +30,7 @@ without a doc_id come after all others.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -49,6 +50,9 @@ BUCKET_BYTES = 8_000_000
 HOT = 2048
 #: Windows of one context at most; longer runs (periodic texts) become several.
 RUN = 128
+#: Bytes hashed, and windows sorted, at a time: a task's arrays do not grow with its bucket.
+PART_BYTES = 1 << 20
+PART_WINDOWS = 1 << 17
 _PAD = 40
 
 
@@ -198,28 +202,51 @@ def maximal_repeats(order: np.ndarray, lcp: np.ndarray, before: np.ndarray, wind
                 stack.append([now, start, mark])
 
 
-def repeated_spans(contexts: list[bytes], docs: list[int], window: int) -> list[list[tuple[int, int]]]:
-    """For each of the distinct ``contexts`` the byte ranges that repeat in one with a smaller doc."""
-    spans: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    sizes = np.array([len(c) for c in contexts], np.int64)
-    data = np.frombuffer(b"".join(c + bytes(_PAD) for c in contexts), np.uint8)
-    starts = np.cumsum(sizes + _PAD) - sizes - _PAD
-    # Only contexts that share their key with another one can have a window in common with it.
-    h = gram_hashes(data)
-    valid = np.ones(len(data), bool)
-    for back in range(GRAM - 1 + _PAD):
-        valid[starts + sizes + _PAD - 1 - back] = False
-    h[~valid] = np.iinfo(np.uint64).max
-    keys = np.minimum.reduceat(h, starts)
+def context_keys(contexts: list[bytes]) -> np.ndarray:
+    """The smallest gram hash of each context, ``PART_BYTES`` of text at a time."""
+    sizes = np.array([len(c) + _PAD for c in contexts], np.int64)
+    part = (np.cumsum(sizes) - sizes) // PART_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(contexts)]
+    out = []
+    for a, b in itertools.pairwise(cuts):
+        data = np.frombuffer(b"".join(c + bytes(_PAD) for c in contexts[a:b]), np.uint8)
+        ends = np.cumsum(sizes[a:b])
+        h = gram_hashes(data)
+        for back in range(GRAM - 1 + _PAD):
+            h[ends - 1 - back] = np.iinfo(np.uint64).max
+        out.append(np.minimum.reduceat(h, ends - sizes[a:b]))
+    return np.concatenate(out)
+
+
+def repeated_spans(contexts: list[bytes], docs: np.ndarray, window: int) -> np.ndarray:
+    """(context, start, end), sorted: of the distinct ``contexts`` the byte ranges that repeat in one with a smaller doc.
+
+    Contexts of one key meet in one suffix array; one array holds about
+    ``PART_WINDOWS`` windows, or those of a single key.
+    """
+    if not contexts:
+        return np.empty((0, 3), np.int64)
+    # Only contexts that share their key with another one can have a window in common
+    # with it, and of two that are single windows neither has the other's.
+    keys = context_keys(contexts)
+    windows = np.array([len(c) for c in contexts], np.int64) - window + 1
     order = np.argsort(keys, kind="stable")
-    twin = keys[order][1:] == keys[order][:-1]
-    many = np.zeros(len(contexts), bool)
-    many[order[1:][twin]] = many[order[:-1][twin]] = True
-    chosen = np.flatnonzero(many)
+    first = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
+    count = np.diff(np.append(first, len(order)))
+    many = (count > 1) & (np.maximum.reduceat(windows[order], first) > 1)
+    chosen = order[np.repeat(many, count)]
     if not len(chosen):
-        return spans
-    data = np.frombuffer(b"".join(contexts[c] + bytes(_PAD) for c in chosen), np.uint8)
-    sizes = sizes[chosen]
+        return np.empty((0, 3), np.int64)
+    of_key = np.add.reduceat(windows[order], first)[many]
+    part = np.repeat((np.cumsum(of_key) - of_key) // PART_WINDOWS, count[many])
+    found = [spans_of(contexts, own, docs, window) for own in np.split(chosen, np.flatnonzero(np.diff(part)) + 1)]
+    return np.array(merged(np.concatenate(found)), np.int64).reshape(-1, 3)
+
+
+def spans_of(contexts: list[bytes], chosen: np.ndarray, docs: np.ndarray, window: int) -> np.ndarray:
+    """(context, start, end) by one suffix array over the ``chosen`` contexts."""
+    data = np.frombuffer(b"".join(contexts[c] + bytes(_PAD) for c in chosen.tolist()), np.uint8)
+    sizes = np.array([len(contexts[c]) for c in chosen.tolist()], np.int64)
     starts = np.cumsum(sizes + _PAD) - sizes - _PAD
     windows = sizes - window + 1
     of = np.repeat(np.arange(len(chosen)), windows)
@@ -228,16 +255,14 @@ def repeated_spans(contexts: list[bytes], docs: list[int], window: int) -> list[
     before = np.where(offset > 0, data[places - 1].astype(np.int64), 256 + of)
     order, lcp = suffix_array(data, places, before, sizes[of] - offset, window)
     # Of each suffix the longest repeat that a smaller doc has too.
-    doc = np.array(docs, np.int64)[chosen[of[order]]]
+    doc = docs[chosen[of[order]]]
     longest = np.zeros(len(order), np.int64)
     for length, first, end in maximal_repeats(order, lcp, before, window):
         own = doc[first:end]
         part = longest[first:end]
         np.maximum(part, np.where(own > own.min(), length, 0), out=part)
     gone = np.flatnonzero(longest)
-    for c, a, b in merged(np.column_stack((chosen[of[order[gone]]], offset[order[gone]], offset[order[gone]] + longest[gone]))):
-        spans[c].append((a, b))
-    return spans
+    return np.column_stack((chosen[of[order[gone]]], offset[order[gone]], offset[order[gone]] + longest[gone]))
 
 
 # ---- steps ------------------------------------------------------------------
@@ -407,33 +432,36 @@ def spans(sent: DataFrame, window: int) -> DataFrame:
     def meet(rows):
         import pandas as pd
 
-        least: dict[bytes, int] = {}
-        held = []
+        number: dict[bytes, int] = {}
+        held, lows = [], []
         for block, raw in zip(rows["block"], rows["contexts"], strict=True):
             text, sizes, times, row, at, doc = unpacked(raw, *CONTEXT_KINDS)
-            text, ends, stops = text.tobytes(), np.cumsum(sizes).tolist(), np.cumsum(times).tolist()
-            low = np.minimum.reduceat(doc, np.concatenate(([0], np.array(stops[:-1], np.int64)))).tolist()
-            own = [text[e - s : e] for s, e in zip(sizes.tolist(), ends, strict=True)]
-            for c, d in zip(own, low, strict=True):
-                if d < least.get(c, d + 1):
-                    least[c] = d
-            held.append((block, own, times.tolist(), row.tolist(), at.tolist(), doc.tolist()))
-        all_contexts = list(least)
-        ranges = dict(zip(all_contexts, repeated_spans(all_contexts, [least[c] for c in all_contexts], window), strict=True))
+            text, ends = text.tobytes(), np.cumsum(sizes).tolist()
+            own = np.array([number.setdefault(text[e - s : e], len(number)) for s, e in zip(sizes.tolist(), ends, strict=True)], np.int64)
+            lows.append((own, np.minimum.reduceat(doc, np.cumsum(times, dtype=np.int64) - times)))
+            held.append((block, own, times, row, at, doc))
+        all_contexts = list(number)
+        number.clear()
+        sizes = np.array([len(c) for c in all_contexts], np.int64)
+        least = np.full(len(all_contexts), NULL_ID)
+        for own, low in lows:
+            np.minimum.at(least, own, low)
+        ranges = repeated_spans(all_contexts, least, window)
+        start = np.searchsorted(ranges[:, 0], np.arange(len(all_contexts) + 1))
         out = []
         for block, own, times, row, at, doc in held:
-            gone: list[tuple[int, int, int]] = []
-            i = 0
-            for c, n in zip(own, times, strict=True):
-                low, part = least[c], ranges[c]
-                for x in range(i, i + n):
-                    if doc[x] > low:
-                        gone.append((row[x], at[x], at[x] + len(c)))
-                    else:
-                        gone.extend((row[x], at[x] + a, at[x] + b) for a, b in part)
-                i += n
-            if gone:
-                out.append((block, packed(np.array(gone, "<u4"))))
+            context = np.repeat(own, times)
+            whole = doc > least[context]
+            # What occurs first keeps all but what its ranges name.
+            n = np.where(whole, 1, start[context + 1] - start[context])
+            of = np.repeat(np.arange(len(n)), n)
+            if not len(of):
+                continue
+            context, whole = context[of], whole[of]
+            a, b = np.zeros(len(of), np.int64), sizes[context]
+            part = (start[context] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))[~whole]
+            a[~whole], b[~whole] = ranges[part, 1], ranges[part, 2]
+            out.append((block, packed(np.column_stack((row[of], at[of] + a, at[of] + b)).astype("<u4"))))
         return pd.DataFrame(out, columns=["block", "spans"])
 
     return sent.groupBy("bucket").applyInPandas(meet, "block long, spans binary")

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -187,6 +188,25 @@ def test_suffix_dedup_edges(spark, edge_docs, no_docs):
     assert suffix_dedup.without_repeats(no_docs).count() == 0
 
 
+def test_repeats_are_found_in_parts_of_bounded_memory(monkeypatch):
+    """A bucket's arrays are those of a part of its keys; the parts find what one array does."""
+    rnd = random.Random(5)
+    noise = lambda k: bytes(rnd.choices(b"abcdefgh ", k=k))
+    shared = [noise(66) for _ in range(20_000)]
+    contexts = [c for m in shared for c in (noise(9) + m, m + noise(9))]
+    docs = np.array([rnd.randint(0, 999) for _ in contexts], np.int64)
+    tracemalloc.start()
+    found = suffix_dedup.repeated_spans(contexts, docs, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    assert len(found) > 10_000
+    for part in (1 << 8, 1 << 40):
+        monkeypatch.setattr(suffix_dedup, "PART_BYTES", part)
+        monkeypatch.setattr(suffix_dedup, "PART_WINDOWS", part)
+        assert suffix_dedup.repeated_spans(contexts[:4000], docs, 50).tolist() == found[found[:, 0] < 4000].tolist()
+
+
 def test_maximal_repeats_with_all_occurrences():
     rnd = random.Random(7)
     for _ in range(60):
