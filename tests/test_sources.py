@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.sources import csv as csv_src
@@ -204,3 +205,51 @@ def test_first_characters_decide_no_type_alone(spark):
     df = spark.createDataFrame([tuple(values)], T.StructType(
         [T.StructField(f"c{i}", T.StringType()) for i in range(len(values))]))
     assert [f.dataType.simpleString() for f in inference.infer_schema(df).fields] == kinds
+
+
+def test_codes_of_numbers_are_those_of_their_patterns(spark):
+    import re
+
+    from eventmart.sources import inference as inf
+
+    texts = ["0", "7", "-7", "+7", "007", "+-7", "-", "+", "7-", "7 ", "7\t", "7.", ".7", "7.5", "-.5", "1e5", "1e", "12345678901234",
+             "123456789012345", "-12345678901234", "-123456789012345", "1234567890123456", "9" * 19, "1" * 39, "7\u00a0", "\u0667", "7a",
+             "0x7", "1_000", "1,000", "7L", "true", "FALSE", "tru", "2024-01-01", "2024-13-01", "text", "7\u0000"]
+    got = {r["v"]: r["code"] for r in spark.createDataFrame([(t,) for t in texts], "v string").select(
+        "v", inf.value_code(F.col("v")).alias("code")).collect()}
+    for t in texts:
+        whole = re.fullmatch(r"[+-]?[0-9]+", t, re.ASCII)
+        digits = len(t.strip("+-"))
+        if whole and digits <= 15:
+            assert got[t] == inf._INT * inf._SIZES, t
+        elif not whole:
+            assert got[t] // inf._SIZES != inf._INT, t
+    assert got["true"] == got["FALSE"] == inf._BOOL * inf._SIZES and got["tru"] == inf._TEXT * inf._SIZES
+    assert got["1" * 39] == inf._TEXT * inf._SIZES
+
+
+def test_bytes_of_valid_characters_count_for_a_file_that_is_not_utf8(spark, tmp_path):
+    from eventmart.sources import encoding as enc
+
+    (tmp_path / "a.csv").write_bytes(b"k\n\xc3\x81\n\xe9\n")   # 81 is unassigned in cp1252
+    (tmp_path / "b.csv").write_bytes(b"k\nabc\n\xe9\n")
+    (tmp_path / "c.csv").write_bytes(b"k\n\xc3\x81\n")
+    found = {r["file_path"][-5]: r["detected_encoding"] for r in enc.detect_encodings(spark, str(tmp_path)).collect()}
+    assert found == {"a": "iso-8859-1", "b": "cp1252", "c": "utf-8-sig"}
+
+
+def test_landing_files_of_the_csv_queries_are_compressed(spark, tmp_path, monkeypatch):
+    from eventmart.plans import registry
+
+    for query, left in ((registry.q_csv_load_typed, True), (registry.q_inferred_template, False)):
+        path = tmp_path / query.__name__
+        monkeypatch.setattr(registry, "scratch_path", lambda *a, path=path: str(path))
+        written = []
+        write = registry.csv_src.write_csv
+        with monkeypatch.context() as m:
+            m.setattr(registry.csv_src, "write_csv", lambda df, to, **k: write(df, to, **k) or written.extend(
+                x.name for x in path.glob("part-*")))
+            out = query(spark, "/root/testdata/sf0.001")
+            assert out.count() > 40
+        assert written and all(x.endswith(".csv.gz") for x in written)
+        assert path.exists() == left
