@@ -23,6 +23,7 @@ from eventmart.plans import standins
 from eventmart.plans.flows import Pipeline, RunContext
 from eventmart.session import scratch_path
 from eventmart.sinks import exports, monitoring
+from eventmart.sinks.files import Files
 from eventmart.sinks.tables import (
     BUCKET_COL,
     TableStore,
@@ -354,9 +355,10 @@ def q_counter_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_inferred_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column template inferred from the raw events CSV, in file order."""
     path = scratch_path(spark, "inferred_template")
-    csv_src.write_csv(standins.raw_events(spark, sf_dir), path, nullValue="null")
+    write_landing(standins.raw_events(spark, sf_dir), path, nullValue="null")
     text = csv_src.null_tokens_to_null(csv_src.read_csv_text(spark, path))
     schema = inference.infer_schema(text)
+    Files(spark).remove(path)   # nothing of the answer reads the file again
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
     return spark.createDataFrame(rows, "order_id int, column_name string, data_type string")
 
