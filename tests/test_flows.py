@@ -404,3 +404,29 @@ def test_marts_of_many_events_are_built_some_buckets_at_a_time(pipeline, spark,
     refreshed = marts_now()
     pipeline.build_marts()
     assert refreshed == marts_now() != whole
+
+
+def test_a_large_raw_load_is_written_in_slices(spark, tmp_path, monkeypatch):
+    from eventmart.plans import flows
+    from eventmart.sinks import tables
+
+    _landing(str(tmp_path / "landing"))
+    lines = (tmp_path / "landing" / "events.csv").read_bytes().splitlines(keepends=True)
+    os.remove(tmp_path / "landing" / "events.csv")
+    os.makedirs(tmp_path / "landing" / "events.csv")
+    for i, line in enumerate(lines[1:]):
+        (tmp_path / "landing" / "events.csv" / f"{i}.csv").write_bytes(lines[0] + line)
+    monkeypatch.setattr(tables, "SLICE_ROWS", 2)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")   # a task, and a part, for each file
+    parts = []
+    write = flows.write_bucketed
+    monkeypatch.setattr(flows, "write_bucketed", lambda store, rows, *a: write(
+        store, (parts.append(r.count()) or r for r in rows), *a))
+    try:
+        p = Pipeline(spark, load_settings(), warehouse_root=str(tmp_path / "wh"), event_buckets=4, use_catalog=False)
+        p.setup()
+        assert p.load_raw(source_dir=str(tmp_path / "landing"))["events"] == 4
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts == [2, 2] and set(_events(p)) == {"e1", "e2", "e3", "e4"}
+    assert _events(p)["e1"]["event_name"] == "\u00c9vent 1"
