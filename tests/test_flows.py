@@ -406,6 +406,38 @@ def test_marts_of_many_events_are_built_some_buckets_at_a_time(pipeline, spark,
     assert refreshed == marts_now() != whole
 
 
+def _m1(p):
+    rows = p.read_mart("events_enriched").drop("processed_at").collect()
+    return sorted(map(tuple, rows), key=str)
+
+
+def test_a_batch_joins_only_its_new_events_to_the_dimensions(pipeline, spark, monkeypatch):
+    from eventmart.operators import marts
+
+    pipeline.files_per_bucket = 1
+    pipeline.build_marts()
+    joined = []
+    m1 = marts.events_enriched
+    monkeypatch.setattr(marts, "events_enriched",
+                        lambda events, *a, **k: joined.append(events.count()) or m1(events, *a, **k))
+    delta = _one_event(spark, "e2", 50).unionByName(_one_event(spark, "new", 7))
+    pipeline.run_batch(delta, RunContext(run_id="one"), expected_rows=2)
+    assert joined == [1]
+    after = _m1(pipeline)
+    pipeline.build_marts()
+    assert _m1(pipeline) == after and len(after) == 5
+
+    # Other dimensions: the touched buckets are recomputed, and so are those of the next batch.
+    groups = pipeline.store.read("raw", "groups")
+    pipeline.store.replace(groups.withColumn("city", F.concat("city", F.lit(" 2"))), "raw", "groups")
+    for run in ("two", "three"):
+        joined.clear()
+        pipeline.run_batch(_one_event(spark, "e2", 60), RunContext(run_id=run), expected_rows=1)
+        assert len(joined) == 1 and joined[0] >= 1
+        mine = {r["event_id"]: r["group_city"] for r in pipeline.read_mart("events_enriched").collect()}
+        assert mine["e2"] == "Lima 2"
+
+
 def test_a_large_raw_load_is_written_in_slices(spark, tmp_path, monkeypatch):
     from eventmart.plans import flows
     from eventmart.sinks import tables

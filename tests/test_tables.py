@@ -229,3 +229,20 @@ def test_shuffle_files_go_when_their_query_ends(spark, tmp_path):
             time.sleep(0.1)
         assert not files() - before
     assert spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_a_small_merge_shuffles_only_its_inserts(spark, tmp_path, monkeypatch):
+    from eventmart.sinks import tables
+
+    store = tables.TableStore(spark, str(tmp_path), use_catalog=False)
+    base = spark.range(40).selectExpr("concat('e', id) event_id", "id n", "'kept' note")
+    tables.write_bucketed(store, base, "raw", "t", "event_id", 4)
+    spread, dealt = tables.spread_by_bucket, []
+    monkeypatch.setattr(tables, "spread_by_bucket", lambda df, *a: dealt.append(df.count()) or spread(df, *a))
+    delta = spark.range(30, 50).selectExpr("concat('e', id) event_id", "-id n", "'new' note")
+    tables.merge_into(store, delta, "raw", "t", "event_id", ["n"], 4)
+    assert dealt == [10]
+    now = store.read("raw", "t").withColumn("own", tables.bucket_of("event_id", 4) == F.col("key_bucket"))
+    assert {r["event_id"]: (r["n"], r["note"], r["own"]) for r in now.collect()} == {
+        f"e{i}": (i if i < 30 else -i, "kept" if i < 40 else "new", True) for i in range(50)}
+    assert tables.stored_buckets(store, "raw", "t", "event_id") == 4
